@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The source jobs are full-refresh batch loads: no watermark, stream window,
+state store or late-data rule appears in them, so nothing is built here.
+The jobs in ``wellmart.plans`` are plain batch DataFrame plans; none of
+their steps would change under a file-stream trigger, so no streaming
+variant is offered either.
+"""
