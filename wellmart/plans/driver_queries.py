@@ -503,3 +503,368 @@ def month_window_join_q(spark, sf):
     return j.select(F.col("h.o_orderkey").alias("o_orderkey"), F.col("h.api").alias("api"),
                     F.col("h.dateRank").alias("headerRank"), F.col("w.l_orderkey").alias("testOrder"),
                     F.col("w.l_linenumber").alias("testLine"), F.col("w.testDate").alias("testDate"))
+
+
+# --------------------------------------------------------------------------
+# Distinct lists and per-well aggregates
+# --------------------------------------------------------------------------
+
+def _materials(spark, sf) -> DataFrame:
+    """Material rows: line items with their part and order (well = customer)."""
+    li, p, o = _t(spark, sf, "lineitem"), _t(spark, sf, "part"), _t(spark, sf, "orders")
+    return (li.join(p, p["p_partkey"] == li["l_partkey"])
+            .join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == li["l_orderkey"]))
+
+
+_MATERIALS_SQL = """lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+     JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+
+@register("distinct_list_pair", f"""
+WITH u AS (
+  SELECT o.o_custkey AS api10, l.l_orderkey AS completionId,
+         CASE WHEN p.p_size > 45 THEN NULL ELSE p.p_type END AS materialType,
+         CASE WHEN p.p_size < 3 THEN NULL ELSE upper(p.p_name) END AS materialName
+  FROM {_MATERIALS_SQL}),
+g AS (
+  SELECT api10, completionId,
+         string_agg(DISTINCT item, '' ORDER BY item)
+           FILTER (WHERE upper(rtrim(materialType)) NOT IN ('ECONOMY', 'SMALL')) AS s
+  FROM (SELECT *, coalesce(', ' || materialType, '') || coalesce(', ' || materialName, '') AS item FROM u) x
+  GROUP BY api10, completionId)
+SELECT api10, completionId, CASE WHEN s IS NULL OR s = '' THEN NULL ELSE substr(s, 2) END AS materialStuff
+FROM g
+""")
+def distinct_list_pair(spark, sf):
+    m = _materials(spark, sf).select(
+        F.col("o_custkey").alias("api10"), F.col("l_orderkey").alias("completionId"),
+        F.when(F.col("p_size") > 45, None).otherwise(F.col("p_type")).alias("materialType"),
+        F.when(F.col("p_size") < 3, None).otherwise(F.upper("p_name")).alias("materialName"))
+    return distinct_list(m, ["api10", "completionId"], prefixed("materialType", "materialName"),
+                         "materialStuff", where=not_in_ci("materialType", ["Economy", "small "]), drop=1)
+
+
+def _frac_rows(spark, sf) -> DataFrame:
+    """Published-detail shape (api10, materialType, lists' fields, cumWaterBbl) from material rows."""
+    return _materials(spark, sf).select(
+        F.col("o_custkey").alias("api10"),
+        F.when(F.col("l_returnflag") == "R", "PROPPANT").when(F.col("l_returnflag") == "A", "BASE CARRIER")
+        .otherwise(F.upper("p_type")).alias("materialType"),
+        F.col("p_type").alias("proppantType"),
+        F.upper(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))).alias("treatmentType"),
+        F.col("p_size").cast("string").alias("proppantMeshSize"),
+        F.upper("p_name").alias("materialName"),
+        F.col("l_quantity").alias("cumWaterBbl"))
+
+
+_FRAC_ROWS_SQL = f"""
+  SELECT o.o_custkey AS api10,
+         CASE WHEN l.l_returnflag = 'R' THEN 'PROPPANT' WHEN l.l_returnflag = 'A' THEN 'BASE CARRIER'
+              ELSE upper(p.p_type) END AS materialType,
+         p.p_type AS proppantType, upper(split_part(p.p_name, ' ', 1)) AS treatmentType,
+         CAST(p.p_size AS VARCHAR) AS proppantMeshSize, upper(p.p_name) AS materialName,
+         l.l_quantity AS cumWaterBbl
+  FROM {_MATERIALS_SQL}"""
+
+_LISTS_SQL = f"""
+lists AS (
+  SELECT api10,
+    CASE WHEN pt IS NULL OR pt = '' THEN NULL ELSE substr(pt, 3) END AS proppantTypeStuff,
+    CASE WHEN tt IS NULL OR tt = '' THEN NULL ELSE substr(tt, 3) END AS treatmentTypeStuff,
+    CASE WHEN pm IS NULL OR pm = '' THEN NULL ELSE substr(pm, 3) END AS proppantMeshSizeStuff,
+    CASE WHEN bc IS NULL OR bc = '' THEN NULL ELSE substr(bc, 2) END AS baseCarrierTypeStuff,
+    cumWaterBbl
+  FROM (
+    SELECT api10,
+      string_agg(DISTINCT ', ' || proppantType, '' ORDER BY ', ' || proppantType)
+        FILTER (WHERE upper(rtrim(materialType)) = 'PROPPANT') AS pt,
+      string_agg(DISTINCT ', ' || treatmentType, '' ORDER BY ', ' || treatmentType)
+        FILTER (WHERE upper(rtrim(materialType)) <> 'PROPPANT') AS tt,
+      string_agg(DISTINCT ', ' || proppantMeshSize, '' ORDER BY ', ' || proppantMeshSize)
+        FILTER (WHERE upper(rtrim(materialType)) = 'PROPPANT') AS pm,
+      string_agg(DISTINCT ', ' || materialName, '' ORDER BY ', ' || materialName)
+        FILTER (WHERE upper(rtrim(materialType)) = 'BASE CARRIER' OR upper(materialName) LIKE '%WATER%'
+                OR upper(materialName) LIKE '%SILVERSTIM%' OR upper(materialName) LIKE '%FRAC FLUID%') AS bc,
+      max(cumWaterBbl) AS cumWaterBbl
+    FROM ({_FRAC_ROWS_SQL}) f
+    GROUP BY api10) a)"""
+
+
+@register("conditional_lists", f"""
+WITH {_LISTS_SQL}
+SELECT c.c_custkey, f.proppantTypeStuff, f.treatmentTypeStuff, f.proppantMeshSizeStuff,
+       f.baseCarrierTypeStuff, f.cumWaterBbl
+FROM customer c LEFT JOIN lists f ON f.api10 = c.c_custkey
+""")
+def conditional_lists(spark, sf):
+    lists = header_mart.material_lists(_frac_rows(spark, sf), with_base_carrier=True)
+    c = _t(spark, sf, "customer")
+    return c.join(lists, lists["api10"] == c["c_custkey"], "left").select(
+        "c_custkey", "proppantTypeStuff", "treatmentTypeStuff", "proppantMeshSizeStuff",
+        "baseCarrierTypeStuff", "cumWaterBbl")
+
+
+@register("label_if_total", f"""
+WITH {_LISTS_SQL}
+SELECT c_custkey,
+  CASE WHEN proppantTypeStuff IS NOT NULL AND lbs IS NOT NULL THEN proppantTypeStuff
+       WHEN lbs IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS proppantType,
+  CASE WHEN proppantMeshSizeStuff IS NOT NULL AND lbs IS NOT NULL THEN proppantMeshSizeStuff
+       WHEN lbs IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS proppantMeshSize,
+  CASE WHEN treatmentTypeStuff IS NOT NULL AND bbls IS NOT NULL THEN treatmentTypeStuff
+       WHEN bbls IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS treatmentType
+FROM (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS lbs,
+             CASE WHEN c_acctbal > 5000 THEN c_acctbal END AS bbls FROM customer) c
+LEFT JOIN lists f ON f.api10 = c.c_custkey
+""")
+def label_if_total_q(spark, sf):
+    lists = header_mart.material_lists(_frac_rows(spark, sf))
+    c = _t(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("lbs"),
+        F.when(F.col("c_acctbal") > 5000, F.col("c_acctbal")).alias("bbls"))
+    j = c.join(lists, lists["api10"] == c["c_custkey"], "left")
+    return j.select("c_custkey",
+                    label_if_total("proppantTypeStuff", "lbs").alias("proppantType"),
+                    label_if_total("proppantMeshSizeStuff", "lbs").alias("proppantMeshSize"),
+                    label_if_total("treatmentTypeStuff", "bbls").alias("treatmentType"))
+
+
+# --------------------------------------------------------------------------
+# Latest record, ranks, partition aggregates
+# --------------------------------------------------------------------------
+
+@register("latest_row", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, minDate FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS rn,
+         min(o_orderdate) OVER (PARTITION BY o_custkey) AS minDate
+  FROM orders) x
+WHERE rn = 1
+""")
+def latest_row_q(spark, sf):
+    o = _t(spark, sf, "orders")
+    return latest_row(o, ["o_custkey"], ["o_orderdate"], payload=["o_orderkey", "o_orderdate", "o_totalprice"],
+                      partition_min={"minDate": "o_orderdate"})
+
+
+@register("latest_group", """
+SELECT c.c_custkey, c.c_name, h.o_orderkey, h.o_orderdate
+FROM (SELECT *, DENSE_RANK() OVER (PARTITION BY o_custkey
+                                   ORDER BY year(o_orderdate) DESC NULLS LAST, o_orderdate DESC NULLS LAST) AS dr
+      FROM orders) h
+JOIN customer c ON c.c_custkey = h.o_custkey AND h.dr = 1
+WHERE c.c_acctbal > 0
+""")
+def latest_group_q(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                       F.year("o_orderdate").alias("orderYear"))
+    top = top_group(o, ["o_custkey"], ["orderYear", "o_orderdate"])
+    c = _t(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    return top.join(c, c["c_custkey"] == top["o_custkey"]).select("c_custkey", "c_name", "o_orderkey",
+                                                                   "o_orderdate")
+
+
+@register("rank_across_join", """
+WITH ip AS (
+  SELECT o_custkey AS API, o_orderkey AS CompletionID, o_orderdate AS completionDate,
+         CASE WHEN o_totalprice > 300000 THEN NULL ELSE o_totalprice END AS gas,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_orderdate END AS TestDate
+  FROM orders),
+d AS (
+  SELECT o.o_custkey AS API, l.l_orderkey AS CompletionID, l.l_linenumber AS dLine, l.l_quantity AS bottomHoleTemp
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  WHERE l.l_returnflag = 'R' AND l.l_linenumber <= 2),
+h AS (
+  SELECT h_api, fpd FROM (
+    SELECT o_custkey AS h_api, o_orderdate AS fpd,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS rn
+    FROM orders) x WHERE rn = 1),
+j AS (
+  SELECT ip.*, d.dLine, d.bottomHoleTemp, h.h_api, h.fpd
+  FROM ip LEFT JOIN d ON d.API = ip.API AND d.CompletionID = ip.CompletionID
+  LEFT JOIN h ON h.h_api = ip.API
+  WHERE d.bottomHoleTemp IS NOT NULL OR ip.gas IS NOT NULL)
+SELECT CompletionID, dLine, API,
+       CAST(DENSE_RANK() OVER (PARTITION BY h_api ORDER BY fpd DESC NULLS LAST, completionDate DESC NULLS LAST,
+                                TestDate DESC NULLS LAST) AS BIGINT) AS dateRank
+FROM j
+""")
+def rank_across_join(spark, sf):
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
+    ip = o.select(F.col("o_custkey").alias("API"), F.col("o_orderkey").alias("CompletionID"),
+                  F.col("o_orderdate").alias("completionDate"),
+                  F.when(F.col("o_totalprice") > 300000, None).otherwise(F.col("o_totalprice")).alias("gas"),
+                  F.when(F.col("o_orderpriority") == "1-URGENT", None).otherwise(F.col("o_orderdate"))
+                  .alias("TestDate"))
+    d = (li.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
+         .join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+         .select(F.col("o_custkey").alias("d_API"), F.col("l_orderkey").alias("d_CompletionID"),
+                 F.col("l_linenumber").alias("dLine"), F.col("l_quantity").alias("bottomHoleTemp")))
+    h = latest_row(o, ["o_custkey"], ["o_orderdate"], payload=["o_orderkey", "o_orderdate"]).select(
+        F.col("o_custkey").alias("h_api"), F.col("o_orderdate").alias("fpd"))
+    j = (ip.join(d, (F.col("d_API") == F.col("API")) & (F.col("d_CompletionID") == F.col("CompletionID")), "left")
+         .join(h, F.col("h_api") == F.col("API"), "left")
+         .where(any_not_null("bottomHoleTemp", "gas")))
+    r = dense_rank_by(j, ["h_api"], ["fpd", "completionDate", "TestDate"], "dateRank")
+    return r.select("CompletionID", "dLine", "API", "dateRank")
+
+
+@register("min_threshold", """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN min(o_orderdate) OVER (PARTITION BY o_custkey) >= TIMESTAMP '1995-03-01'
+            THEN min(o_orderdate) OVER (PARTITION BY o_custkey) ELSE NULL END AS firstProducedDate
+FROM orders
+""")
+def min_threshold(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    m = partition_agg(o, ["o_custkey"], {"__min": F.min("o_orderdate")})
+    return m.select("o_orderkey", "o_custkey",
+                    F.when(F.col("__min") >= _ts("1995-03-01"), F.col("__min")).alias("firstProducedDate"))
+
+
+@register("stage_fill", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN stage = -1 THEN NULL ELSE stage END AS stageNumber,
+       CASE WHEN nos IS NULL AND stage <> -1 AND stage IS NOT NULL
+            THEN max(stage) OVER (PARTITION BY l_orderkey) ELSE nos END AS numberOfStages
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_linenumber = 7 THEN -1 ELSE l_linenumber END AS stage,
+             CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS nos
+      FROM lineitem) x
+""")
+def stage_fill(spark, sf):
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") == 7, -1).otherwise(F.col("l_linenumber")).alias("stage"),
+        F.when(F.col("l_tax") == 0, None).otherwise(F.col("l_quantity").cast("int")).alias("nos"))
+    m = partition_agg(li, ["l_orderkey"], {"__maxStage": F.max("stage")})
+    stage, nos = F.col("stage"), F.col("nos")
+    return m.select("l_orderkey", "l_linenumber",
+                    F.when(stage == -1, None).otherwise(stage).alias("stageNumber"),
+                    F.when(nos.isNull() & (stage != -1) & stage.isNotNull(), F.col("__maxStage"))
+                    .otherwise(nos).alias("numberOfStages"))
+
+
+@register("sum_by_unit", """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN upper(materialName) LIKE '%RING%' AND upper(rtrim(materialUnit)) = 'LB'
+         THEN SUM(materialAmount) OVER (PARTITION BY api10, completionId) / (8.33 * 42)
+       WHEN upper(materialName) LIKE '%RING%' AND upper(rtrim(materialUnit)) = 'GAL'
+         THEN SUM(materialAmount) OVER (PARTITION BY api10, completionId) / 42
+       WHEN upper(materialName) LIKE '%RING%' AND upper(rtrim(materialUnit)) = 'BBL'
+         THEN SUM(materialAmount) OVER (PARTITION BY api10, completionId)
+       ELSE NULL END AS cumWaterBbl
+FROM (SELECT l.l_orderkey, l.l_linenumber, l.l_orderkey AS api10, l.l_linestatus AS completionId,
+             p.p_name AS materialName, l.l_quantity AS materialAmount,
+             CASE WHEN l.l_returnflag = 'A' THEN 'lb' WHEN l.l_returnflag = 'N' THEN 'GAL' ELSE 'bbl' END
+               AS materialUnit
+      FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey) x
+""")
+def sum_by_unit_q(spark, sf):
+    li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    rows = li.join(p, p["p_partkey"] == li["l_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("l_orderkey").alias("api10"), F.col("l_linestatus").alias("completionId"),
+        F.col("p_name").alias("materialName"), F.col("l_quantity").alias("materialAmount"),
+        F.when(F.col("l_returnflag") == "A", "lb").when(F.col("l_returnflag") == "N", "GAL").otherwise("bbl")
+        .alias("materialUnit"))
+    out = sum_by_unit(rows, ["api10", "completionId"], "materialAmount", "materialName", "materialUnit",
+                      name_pattern="%RING%")
+    return out.select("l_orderkey", "l_linenumber", "cumWaterBbl")
+
+
+# --------------------------------------------------------------------------
+# Set operations
+# --------------------------------------------------------------------------
+
+@register("union_feeds", """
+SELECT CAST(l_orderkey AS VARCHAR) AS fracDetailId, l_orderkey AS api10, l_quantity AS materialAmount,
+       upper(l_linestatus) AS materialDisclosueStatus, 'FRACFOCUS' AS sourceColumn,
+       CAST(NULL AS INTEGER) AS stageNumber, l_shipdate AS jobDate
+FROM lineitem
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS materialDisclosureStatus,
+       'STATE ANGENCY', CASE WHEN o_orderstatus = 'F' THEN 1 END, o_orderdate
+FROM orders
+""")
+def union_feeds(spark, sf):
+    li, o = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
+    a = li.select(F.col("l_orderkey").cast("string").alias("fracDetailId"), F.col("l_orderkey").alias("api10"),
+                  F.col("l_quantity").alias("materialAmount"),
+                  F.upper("l_linestatus").alias("materialDisclosueStatus"), F.lit("FRACFOCUS").alias("sourceColumn"),
+                  typed_null("int").alias("stageNumber"), F.col("l_shipdate").alias("jobDate"))
+    b = o.select(F.col("o_orderkey").cast("string").alias("fracDetailId"), F.col("o_custkey").alias("api10"),
+                 F.col("o_totalprice").alias("materialAmount"),
+                 typed_null("string").alias("materialDisclosureStatus"), F.lit("STATE ANGENCY").alias("sourceColumn"),
+                 F.when(F.col("o_orderstatus") == "F", 1).alias("stageNumber"), F.col("o_orderdate").alias("jobDate"))
+    return union_all(a, b)
+
+
+_CHILD_BASE_SQL = """
+  SELECT o.o_custkey AS API, l.l_orderkey AS CompletionID, l.l_returnflag AS flag,
+         CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 2 END AS RunNumber,
+         l.l_quantity AS volumePerDay, l.l_extendedprice AS BottomHoleTemp, l.l_linestatus AS TimeOfRun
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey"""
+
+
+@register("keys_only_in", f"""
+WITH base AS ({_CHILD_BASE_SQL}),
+gm AS (SELECT API, CompletionID, RunNumber, volumePerDay FROM base WHERE flag = 'A'),
+ft AS (SELECT API, CompletionID, RunNumber, BottomHoleTemp, TimeOfRun FROM base WHERE flag = 'R'),
+hdr AS (SELECT o_custkey AS API, o_orderkey AS CompletionID, o_orderpriority AS FormType,
+               o_orderstatus AS state FROM orders),
+a AS (
+  SELECT h.API, h.CompletionID, h.FormType, ft.BottomHoleTemp, ft.TimeOfRun, g.volumePerDay,
+         ft.RunNumber AS FT_RunNumber, g.RunNumber AS GM_RunNumber
+  FROM hdr h JOIN gm g ON g.CompletionID = h.CompletionID JOIN ft ON ft.CompletionID = h.CompletionID
+  WHERE upper(rtrim(h.state)) = 'F' AND h.CompletionID <> -1 AND g.RunNumber = 1 AND ft.RunNumber = 1),
+gmo AS (SELECT h.* FROM (SELECT API, CompletionID FROM gm EXCEPT SELECT API, CompletionID FROM ft) x
+        JOIN hdr h ON h.API = x.API AND h.CompletionID = x.CompletionID),
+fto AS (SELECT h.* FROM (SELECT API, CompletionID FROM ft EXCEPT SELECT API, CompletionID FROM gm) x
+        JOIN hdr h ON h.API = x.API AND h.CompletionID = x.CompletionID),
+b AS (
+  SELECT x.API, x.CompletionID, x.FormType, CAST(NULL AS DOUBLE) AS BottomHoleTemp,
+         CAST(NULL AS VARCHAR) AS TimeOfRun, y.volumePerDay, CAST(NULL AS INTEGER) AS FT_RunNumber,
+         y.RunNumber AS GM_RunNumber
+  FROM gmo x JOIN gm y ON y.API = x.API AND y.CompletionID = x.CompletionID WHERE y.RunNumber = 1),
+c AS (
+  SELECT x.API, x.CompletionID, x.FormType, y.BottomHoleTemp, y.TimeOfRun, CAST(NULL AS DOUBLE) AS volumePerDay,
+         y.RunNumber AS FT_RunNumber, CAST(NULL AS INTEGER) AS GM_RunNumber
+  FROM fto x JOIN ft y ON y.API = x.API AND y.CompletionID = x.CompletionID WHERE y.RunNumber = 1)
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c
+""")
+def keys_only_in_q(spark, sf):
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
+    base = li.join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_custkey").alias("API"), F.col("l_orderkey").alias("CompletionID"), F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("RunNumber"),
+        F.col("l_quantity").alias("volumePerDay"), F.col("l_extendedprice").alias("BottomHoleTemp"),
+        F.col("l_linestatus").alias("TimeOfRun"))
+    gm = base.where(F.col("flag") == "A").select("API", "CompletionID", "RunNumber", "volumePerDay")
+    ft = base.where(F.col("flag") == "R").select("API", "CompletionID", "RunNumber", "BottomHoleTemp", "TimeOfRun")
+    hdr = o.select(F.col("o_custkey").alias("h_API"), F.col("o_orderkey").alias("h_CID"),
+                   F.col("o_orderpriority").alias("FormType"), F.col("o_orderstatus").alias("state"))
+    g1 = gm.where(F.col("RunNumber") == 1).select(
+        F.col("API").alias("g_API"), F.col("CompletionID").alias("g_CID"), "volumePerDay",
+        F.col("RunNumber").alias("GM_RunNumber"))
+    f1 = ft.where(F.col("RunNumber") == 1).select(
+        F.col("API").alias("f_API"), F.col("CompletionID").alias("f_CID"), "BottomHoleTemp", "TimeOfRun",
+        F.col("RunNumber").alias("FT_RunNumber"))
+    out_cols = ["API", "CompletionID", "FormType", "BottomHoleTemp", "TimeOfRun", "volumePerDay",
+                "FT_RunNumber", "GM_RunNumber"]
+    a = (hdr.where(eq_ci("state", "f") & (F.col("h_CID") != -1))
+         .join(g1, F.col("g_CID") == F.col("h_CID")).join(f1, F.col("f_CID") == F.col("h_CID"))
+         .select(F.col("h_API").alias("API"), F.col("h_CID").alias("CompletionID"), "FormType", "BottomHoleTemp",
+                 "TimeOfRun", "volumePerDay", "FT_RunNumber", "GM_RunNumber"))
+
+    def only(x, y, side, cols):
+        k = keys_only_in(x, y, ["API", "CompletionID"]).join(
+            hdr, (F.col("h_API") == F.col("API")) & (F.col("h_CID") == F.col("CompletionID")))
+        pre = "g" if side is g1 else "f"
+        j = k.join(side, (F.col(f"{pre}_API") == F.col("API")) & (F.col(f"{pre}_CID") == F.col("CompletionID")))
+        return j.select("API", "CompletionID", "FormType", *cols)
+
+    b = only(gm, ft, g1, [typed_null("double").alias("BottomHoleTemp"), typed_null("string").alias("TimeOfRun"),
+                          "volumePerDay", typed_null("int").alias("FT_RunNumber"), "GM_RunNumber"])
+    c = only(ft, gm, f1, ["BottomHoleTemp", "TimeOfRun", typed_null("double").alias("volumePerDay"),
+                          "FT_RunNumber", typed_null("int").alias("GM_RunNumber")])
+    return union_all(a.select(*out_cols), b, c)
