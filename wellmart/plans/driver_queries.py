@@ -868,3 +868,369 @@ def keys_only_in_q(spark, sf):
     c = only(ft, gm, f1, ["BottomHoleTemp", "TimeOfRun", typed_null("double").alias("volumePerDay"),
                           "FT_RunNumber", typed_null("int").alias("GM_RunNumber")])
     return union_all(a.select(*out_cols), b, c)
+
+
+# --------------------------------------------------------------------------
+# Keyword classifiers
+# --------------------------------------------------------------------------
+# The benchmark part names carry no trade names, so a material description is
+# derived from each part row: a trade word picked by the part key, then the
+# part name (and, for mesh sizes, two numbers from the part size).
+
+# Description vocabularies for the benchmark rows (chosen here, not source rules).
+TRADE_WORDS = ("PRIME PLUS", "CoolSet", "Badger", "pearl", "UNIMIN", "Python", "CARBOLITE", "Titan",
+               "CERAPROP", "Ottawa", "resin", "Ceramic", "Northern White", "plain", "SB Excel", "atlas")
+TREATMENT_TYPE_WORDS = ("BASE CARRIER", "FRICTION REDUCER", "GELLING AGENT", "CROSSLINKER", "Biocide",
+                        "SURFACTANT", "FOAMER")
+TREATMENT_NAME_WORDS = ("WATER", "ACID", "PROPANE", "NITROGEN", "CO2", "GEL", "SLICKWATER", "X-LINK",
+                        "ENERGIZER", "CARBON DIOXIDE")
+
+
+def _pick(words, key_col):
+    """``words[key mod n]`` as a column (1-based element_at)."""
+    return F.element_at(F.array(*[F.lit(w) for w in words]), (key_col % len(words) + 1).cast("int"))
+
+
+def _pick_sql(words, key_sql):
+    arr = ", ".join(f"'{w}'" for w in words)
+    return f"[{arr}][({key_sql} % {len(words)}) + 1]"
+
+
+def _vendor_sql():
+    return rules.rule_case_sql("d", "g", rules.VENDOR_RULES,
+                               [("contractor IS NOT NULL", "upper(contractor)"), ("g", "'UNKNOWN'")])
+
+
+def _ptype_sql():
+    return rules.rule_case_sql("d", "g", rules.PROPPANT_TYPE_RULES, [("g", "'UNKNOWN'")])
+
+
+def _mesh_sql():
+    return rules.rule_case_sql("d", "g", rules.MESH_RULES, [("g", "'UNKNOWN'")])
+
+
+@register("vendor_classify", f"""
+SELECT p_partkey, {_vendor_sql()} AS supplierName, {_ptype_sql()} AS proppantType
+FROM (SELECT p_partkey, upper({_pick_sql(TRADE_WORDS, 'p_partkey')} || ' ' || p_name) AS d,
+             upper(rtrim(p_type)) = 'PROMO' AS g,
+             CASE WHEN p_size > 40 THEN NULL ELSE p_brand END AS contractor
+      FROM part) x
+""")
+def vendor_classify(spark, sf):
+    from wellmart.plans.frac_detail import proppant_type, vendor
+    p = _t(spark, sf, "part").select(
+        "p_partkey", F.upper(F.concat(_pick(TRADE_WORDS, F.col("p_partkey")), F.lit(" "), F.col("p_name"))).alias("d"),
+        eq_ci("p_type", "promo").alias("g"),
+        F.when(F.col("p_size") > 40, None).otherwise(F.col("p_brand")).alias("contractor"))
+    d, g = F.col("d"), F.col("g")
+    return p.select("p_partkey", vendor(d, g, F.col("contractor")).alias("supplierName"),
+                    proppant_type(d, g).alias("proppantType"))
+
+
+@register("mesh_classify", f"""
+SELECT p_partkey, {_mesh_sql()} AS proppantMeshSize
+FROM (SELECT p_partkey,
+             upper(p_name || ' ' || CAST(p_size AS VARCHAR) || CASE WHEN p_size % 2 = 0 THEN '/' ELSE '-' END
+                   || CAST(p_size + 10 * (1 + p_partkey % 6) AS VARCHAR)) AS d,
+             upper(rtrim(p_type)) = 'PROMO' AS g
+      FROM part) x
+""")
+def mesh_classify(spark, sf):
+    from wellmart.plans.frac_detail import mesh_size
+    size = F.col("p_size")
+    p = _t(spark, sf, "part").select(
+        "p_partkey",
+        F.upper(F.concat(F.col("p_name"), F.lit(" "), size.cast("string"),
+                         F.when(size % 2 == 0, "/").otherwise("-"),
+                         (size + 10 * (1 + F.col("p_partkey") % 6)).cast("string"))).alias("d"),
+        eq_ci("p_type", "promo").alias("g"))
+    return p.select("p_partkey", mesh_size(F.col("d"), F.col("g")).alias("proppantMeshSize"))
+
+
+_EXCLUDED_SQL = ", ".join(f"'{t.upper()}'" for t in rules.LIST_EXCLUDED_TYPES)
+
+
+@register("treatment_classify", f"""
+WITH u AS (
+  SELECT l.l_orderkey, l.l_linenumber, o.o_custkey AS api10, l.l_orderkey AS completionId,
+         {_pick_sql(TREATMENT_TYPE_WORDS, 'l.l_partkey')} AS materialType,
+         {_pick_sql(TREATMENT_NAME_WORDS, 'l.l_suppkey')} || ' ' || upper(p.p_name) AS materialName
+  FROM {_MATERIALS_SQL}),
+g AS (
+  SELECT api10, completionId,
+         string_agg(DISTINCT item, '' ORDER BY item)
+           FILTER (WHERE upper(rtrim(materialType)) NOT IN ({_EXCLUDED_SQL})) AS s
+  FROM (SELECT *, coalesce(', ' || materialType, '') || coalesce(', ' || materialName, '') AS item FROM u) x
+  GROUP BY api10, completionId),
+m AS (SELECT api10, completionId, upper(CASE WHEN s IS NULL OR s = '' THEN NULL ELSE substr(s, 2) END) AS m FROM g),
+t AS (
+  SELECT api10, completionId,
+    CASE WHEN m LIKE '%FRICTION REDUCER%'
+              AND (m LIKE '%GELLING AGENT%' OR m LIKE '% GEL%' OR m LIKE '%GELLED%' OR m LIKE '%MGEL%' OR m LIKE '%GELW%')
+              AND (m LIKE '%CROSSLINKER%' OR m LIKE '%X-LINK%' OR m LIKE '%X LINK%') AND m LIKE '%ACID%' THEN 'HYBRID'
+         WHEN m NOT LIKE '%BASE CARRIER, WATER%'
+              AND (m LIKE '%PROPANE %' OR m LIKE '%PROPANE, %' OR m LIKE '%GAS FRAC%') THEN 'GAS FRAC'
+         WHEN (m LIKE '%BASE CARRIER, ACID%' OR m LIKE '%BASE CARRIER, 15%ACID%' OR m LIKE '%BASE CARRIER, GEL%ACID%'
+               OR m LIKE '%ACID FRAC%') AND NOT (m LIKE 'PROPPANT') THEN 'ACID FRAC'
+         WHEN (m LIKE '%BASE CARRIER, NITROGEN%' OR m LIKE '%BASE CARRIER, CO2%' OR m LIKE '%BASE CARRIER, CARBON%')
+              OR (m LIKE '%FOAM%' AND (m LIKE '%CO2%' OR m LIKE '%CARBON%DIOXIDE' OR m LIKE '%NITROGEN%'))
+              OR (m LIKE '%ENERGIZED%' OR m LIKE '%ENERGIZER%') THEN 'ENERGIZED'
+         WHEN (m LIKE '%GELLING AGENT%' AND m LIKE '%CROSSLINKER%') AND NOT (m LIKE '%FRICTION REDUCER%')
+           THEN 'CONVENTIONAL'
+         WHEN (m LIKE '%BASE CARRIER, WATER%' AND m LIKE '%FRICTION REDUCER%' AND m NOT LIKE '%CROSSLINKER%')
+              OR m LIKE '%SLICKWATER%' THEN 'WATER FRAC'
+         ELSE 'UNKNOWN' END AS treatmentType
+  FROM m)
+SELECT u.l_orderkey, u.l_linenumber, t.treatmentType
+FROM u LEFT JOIN t ON t.api10 = u.api10 AND t.completionId = u.completionId
+""")
+def treatment_classify(spark, sf):
+    from wellmart.plans.frac_detail import completion_summary
+    u = _materials(spark, sf).select(
+        "l_orderkey", "l_linenumber", F.col("o_custkey").alias("api10"), F.col("l_orderkey").alias("completionId"),
+        _pick(TREATMENT_TYPE_WORDS, F.col("l_partkey")).alias("materialType"),
+        F.concat(_pick(TREATMENT_NAME_WORDS, F.col("l_suppkey")), F.lit(" "), F.upper("p_name")).alias("materialName"),
+        F.col("l_quantity").alias("materialAmount"))
+    t = completion_summary(u)
+    j = u.join(t, (F.col("__t_api10") == F.col("api10")) & (F.col("__t_cid") == F.col("completionId")), "left")
+    return j.select("l_orderkey", "l_linenumber", "treatmentType")
+
+
+# --------------------------------------------------------------------------
+# Well-test rules, dates, casts
+# --------------------------------------------------------------------------
+
+@register("rate_fill", """
+SELECT event_id,
+  CASE WHEN upper(rtrim(state)) = 'LOUISIANA' AND oil24 IS NULL THEN TestOil
+       WHEN (upper(rtrim(state)) = 'MONTANA' OR upper(rtrim(state)) = 'TEXAS') AND upper(Duration) LIKE '24%'
+            AND oil24 IS NULL THEN TestOil
+       WHEN oil24 IS NULL AND gas24 IS NOT NULL THEN 0
+       ELSE oil24 END AS "24HourOil",
+  CASE WHEN upper(rtrim(state)) = 'LOUISIANA' AND gas24 IS NULL THEN TestGas
+       WHEN (upper(rtrim(state)) = 'MONTANA' OR upper(rtrim(state)) = 'TEXAS') AND upper(Duration) LIKE '24%'
+            AND gas24 IS NULL THEN TestGas
+       WHEN oil24 IS NOT NULL AND gas24 IS NULL THEN 0
+       ELSE gas24 END AS "24HourGas",
+  CASE WHEN upper(rtrim(state)) = 'LOUISIANA' AND water24 IS NULL THEN TestWater
+       WHEN (upper(rtrim(state)) = 'MONTANA' OR upper(rtrim(state)) = 'TEXAS') AND upper(Duration) LIKE '24%'
+            AND water24 IS NULL THEN TestWater
+       WHEN water24 IS NULL AND oil24 IS NOT NULL AND gas24 IS NOT NULL THEN 0
+       ELSE water24 END AS "24HourWater",
+  CASE WHEN upper(ChokeSize) LIKE '0.0%' THEN NULL ELSE ChokeSize END AS chokeSize,
+  upper(CASE WHEN upper(rtrim(method)) = 'ERROR' THEN NULL ELSE method END) AS producingMethod
+FROM (
+  SELECT e.event_id,
+         CASE c.c_mktsegment WHEN 'HOUSEHOLD' THEN 'Louisiana' WHEN 'MACHINERY' THEN 'MONTANA'
+                             WHEN 'BUILDING' THEN 'texas ' ELSE 'Oklahoma' END AS state,
+         CASE WHEN e.value > 250 THEN '24 HRS' ELSE '12 HRS' END AS Duration,
+         e.value + 1 AS TestOil, e.value + 2 AS TestGas, e.value + 3 AS TestWater,
+         CASE WHEN e.event_type IN ('click', 'view') THEN NULL ELSE e.value END AS oil24,
+         CASE WHEN e.event_type IN ('view', 'signup') THEN NULL ELSE e.value * 2 END AS gas24,
+         CASE WHEN e.event_type IN ('error', 'view') THEN NULL ELSE e.value / 2 END AS water24,
+         CASE WHEN e.value < 10 THEN '0.0' || e.event_type ELSE upper(e.event_type) END AS ChokeSize,
+         e.event_type AS method
+  FROM events e JOIN customer c ON c.c_custkey = e.user_id) x
+""")
+def rate_fill_q(spark, sf):
+    from wellmart.plans.well_test import choke_size, rate_fill
+    ev, c = _t(spark, sf, "events"), _t(spark, sf, "customer")
+    seg, v, et = F.col("c_mktsegment"), F.col("value"), F.col("event_type")
+    x = ev.join(c, c["c_custkey"] == ev["user_id"]).select(
+        "event_id",
+        F.when(seg == "HOUSEHOLD", "Louisiana").when(seg == "MACHINERY", "MONTANA").when(seg == "BUILDING", "texas ")
+        .otherwise("Oklahoma").alias("state"),
+        F.when(v > 250, "24 HRS").otherwise("12 HRS").alias("Duration"),
+        (v + 1).alias("TestOil"), (v + 2).alias("TestGas"), (v + 3).alias("TestWater"),
+        F.when(et.isin("click", "view"), None).otherwise(v).alias("oil24"),
+        F.when(et.isin("view", "signup"), None).otherwise(v * 2).alias("gas24"),
+        F.when(et.isin("error", "view"), None).otherwise(v / 2).alias("water24"),
+        F.when(v < 10, F.concat(F.lit("0.0"), et)).otherwise(F.upper(et)).alias("ChokeSize"),
+        et.alias("method"))
+    c_ = F.col
+    oil, gas, water = rate_fill(c_("state"), c_("Duration"), c_("oil24"), c_("gas24"), c_("water24"),
+                                c_("TestOil"), c_("TestGas"), c_("TestWater"))
+    return x.select("event_id", oil.cast("double").alias("24HourOil"), gas.cast("double").alias("24HourGas"),
+                    water.cast("double").alias("24HourWater"), choke_size(c_("ChokeSize")).alias("chokeSize"),
+                    F.upper(null_if_ci("method", ["error"])).alias("producingMethod"))
+
+
+@register("first_date_reconcile", """
+SELECT u.o_orderkey,
+       CASE WHEN date_diff('month', h.minDate, u.o_orderdate) >= -3 AND date_diff('month', h.minDate, u.o_orderdate) <= 0
+            THEN u.o_orderdate ELSE h.minDate END AS firstProducedDate
+FROM orders u
+LEFT JOIN (SELECT o.o_custkey AS api, min(l.l_shipdate) AS minDate
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY o.o_custkey) h
+  ON h.api = u.o_custkey
+""")
+def first_date_reconcile(spark, sf):
+    from wellmart.plans.frac_detail import first_produced
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
+    h = (li.join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+         .groupBy(F.col("o_custkey").alias("h_api")).agg(F.min("l_shipdate").alias("minDate")))
+    j = o.join(h, F.col("h_api") == F.col("o_custkey"), "left")
+    return j.select("o_orderkey", first_produced(F.col("minDate"), F.col("o_orderdate")).alias("firstProducedDate"))
+
+
+@register("ratios_and_casts", """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_shipdate <= TIMESTAMP '1995-03-01' THEN NULL ELSE l_shipdate END AS testDate,
+  CASE WHEN l_extendedprice > 0 AND l_quantity - 10 > 0 THEN l_extendedprice / (l_quantity - 10) ELSE NULL END
+    AS gasOilRatio,
+  CASE WHEN l_tax * 1000 > 0 AND l_quantity - 10 > 0 THEN (l_tax * 1000) / (l_quantity - 10) ELSE NULL END
+    AS waterOilRatio,
+  coalesce(CAST(trunc(CASE WHEN l_linestatus = 'O' THEN NULL ELSE l_extendedprice / 100 END) AS BIGINT),
+           CAST(trunc(l_quantity * 1.5) AS BIGINT)) AS oilGravity,
+  coalesce(CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END,
+           substr(CAST(l_orderkey AS VARCHAR), 1, 34)) AS chokeSize
+FROM lineitem
+""")
+def ratios_and_casts(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    c = F.col
+    oil = c("l_quantity") - 10
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(c("l_shipdate") <= _ts("1995-03-01"), None).otherwise(c("l_shipdate")).alias("testDate"),
+        guarded_ratio(c("l_extendedprice"), oil).alias("gasOilRatio"),
+        guarded_ratio(c("l_tax") * 1000, oil).alias("waterOilRatio"),
+        isnull(F.when(c("l_linestatus") == "O", None).otherwise(c("l_extendedprice") / 100).cast("bigint"),
+               (c("l_quantity") * 1.5).cast("bigint"), "bigint").alias("oilGravity"),
+        isnull(F.when(c("l_returnflag") == "N", None).otherwise(c("l_returnflag")), varchar("l_orderkey", 34),
+               "string").alias("chokeSize"))
+
+
+# --------------------------------------------------------------------------
+# Flagship: the well-header mart on the role-mapped tables
+# --------------------------------------------------------------------------
+
+MART_COLUMNS = (("state", "state", False), ("totalDepth", "totalDepth", False), ("playArea", "playArea", True),
+                ("completionDate", "completionDate", False), ("firstProductionDate", "firstProductionDate", False),
+                ("proppantLbs", "totalProppantLbs", False), ("treatmentBbls", "totalTreatmentBbls", False))
+
+
+def mart_inputs(spark, sf):
+    o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    col = F.col
+    header = (o.join(c, c["c_custkey"] == o["o_custkey"]).join(n, n["n_nationkey"] == c["c_nationkey"]).select(
+        col("o_custkey").cast("string").alias("api"), col("o_orderkey").alias("hpdiEntityId"),
+        col("c_mktsegment").alias("play"), col("c_name").alias("operator"),
+        F.when(col("o_orderpriority") == "5-LOW", None)
+        .otherwise(F.timestamp_add("DAY", F.lit(45), col("o_orderdate"))).alias("firstProductionDate"),
+        col("o_orderdate").alias("completionDate"), col("n_name").alias("state"),
+        col("o_totalprice").alias("totalDepth"), F.lower("c_mktsegment").alias("playArea"),
+        F.when(col("c_acctbal") > 0, col("c_acctbal")).alias("proppantLbs"),
+        F.when(col("c_acctbal") > 5000, col("c_acctbal")).alias("treatmentBbls")))
+    lo = li.join(o.select("o_orderkey", "o_custkey"), col("o_orderkey") == col("l_orderkey"))
+    frac = (lo.where(col("l_quantity") > 25).join(p, p["p_partkey"] == col("l_partkey")).select(
+        col("o_custkey").cast("string").alias("api10"),
+        F.when(col("l_returnflag") == "R", "PROPPANT").otherwise(F.upper("p_type")).alias("materialType"),
+        col("p_type").alias("proppantType"),
+        F.upper(F.split_part(col("p_name"), F.lit(" "), F.lit(1))).alias("treatmentType"),
+        col("p_size").cast("string").alias("proppantMeshSize"), F.upper("p_name").alias("materialName"),
+        col("l_quantity").alias("cumWaterBbl")))
+    piping = lo.where(col("l_returnflag").isin("R", "A") & (col("l_discount") > 0.05)).select(
+        col("o_custkey").cast("string").alias("API"),
+        F.when(col("l_returnflag") == "R", "surface").otherwise("PRODUCTION").alias("casingType"),
+        col("l_extendedprice").alias("casingBottom"))
+    gas, oil, water = col("l_extendedprice"), col("l_quantity"), col("l_linenumber").cast("double")
+    tests = lo.where((col("l_returnflag") == "N") & (col("l_tax") > 0.04)).select(
+        col("o_custkey").cast("string").alias("api"), col("l_shipdate").alias("completionDate"),
+        col("l_linestatus").alias("testFormation"), gas.alias("24HourGas"), oil.alias("24HourOil"),
+        water.alias("24HourWater"), guarded_ratio(gas, oil).alias("24HourGasOilRatio"),
+        guarded_ratio(water, oil).alias("24HourWaterOilRatio"), oil.cast("bigint").alias("oilGravity"),
+        typed_null("double").alias("casingPressure"), typed_null("double").alias("flowingTubePressue"),
+        F.upper("l_returnflag").alias("producingMethod"), typed_null("string").alias("pumpType"),
+        (gas / 10).alias("bottomHoleTemp"), typed_null("double").alias("bottomHoleTempDepth"),
+        col("l_linenumber").cast("string").alias("chokeSize"), typed_null("double").alias("dryGasGravity"))
+    tests = dense_rank_by(tests, ["api"], ["completionDate"], "dateRank")
+    return header, frac, piping, tests
+
+
+_MART_TEST_SQL = ", ".join(
+    f'w."{src}" AS "{name}"' for src, name in header_mart.MART_TEST_COLUMNS)
+
+
+@register("header_mart", f"""
+WITH lo AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+hdr AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS api, o.o_orderkey AS hpdiEntityId, c.c_mktsegment AS play,
+         c.c_name AS operator,
+         CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE o.o_orderdate + INTERVAL 45 DAY END AS firstProductionDate,
+         o.o_orderdate AS completionDate, n.n_name AS state, o.o_totalprice AS totalDepth,
+         lower(c.c_mktsegment) AS playArea,
+         CASE WHEN c.c_acctbal > 0 THEN c.c_acctbal END AS proppantLbs,
+         CASE WHEN c.c_acctbal > 5000 THEN c.c_acctbal END AS treatmentBbls
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey),
+frac AS (
+  SELECT CAST(lo.o_custkey AS VARCHAR) AS api10,
+         CASE WHEN lo.l_returnflag = 'R' THEN 'PROPPANT' ELSE upper(p.p_type) END AS materialType,
+         p.p_type AS proppantType, upper(split_part(p.p_name, ' ', 1)) AS treatmentType,
+         CAST(p.p_size AS VARCHAR) AS proppantMeshSize, upper(p.p_name) AS materialName,
+         lo.l_quantity AS cumWaterBbl
+  FROM lo JOIN part p ON p.p_partkey = lo.l_partkey WHERE lo.l_quantity > 25),
+piping AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS API,
+         CASE WHEN l_returnflag = 'R' THEN 'surface' ELSE 'PRODUCTION' END AS casingType,
+         l_extendedprice AS casingBottom
+  FROM lo WHERE l_returnflag IN ('R', 'A') AND l_discount > 0.05),
+wt0 AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS api, l_shipdate AS completionDate, l_linestatus AS testFormation,
+         l_extendedprice AS "24HourGas", l_quantity AS "24HourOil", CAST(l_linenumber AS DOUBLE) AS "24HourWater",
+         CASE WHEN l_extendedprice > 0 AND l_quantity > 0 THEN l_extendedprice / l_quantity END AS "24HourGasOilRatio",
+         CASE WHEN l_linenumber > 0 AND l_quantity > 0 THEN CAST(l_linenumber AS DOUBLE) / l_quantity END
+           AS "24HourWaterOilRatio",
+         CAST(trunc(l_quantity) AS BIGINT) AS oilGravity, CAST(NULL AS DOUBLE) AS casingPressure,
+         CAST(NULL AS DOUBLE) AS flowingTubePressue, upper(l_returnflag) AS producingMethod,
+         CAST(NULL AS VARCHAR) AS pumpType, l_extendedprice / 10 AS bottomHoleTemp,
+         CAST(NULL AS DOUBLE) AS bottomHoleTempDepth, CAST(l_linenumber AS VARCHAR) AS chokeSize,
+         CAST(NULL AS DOUBLE) AS dryGasGravity
+  FROM lo WHERE l_returnflag = 'N' AND l_tax > 0.04),
+wt AS (SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY completionDate DESC NULLS LAST) AS dateRank FROM wt0),
+ms AS (
+  SELECT api10,
+    CASE WHEN pt IS NULL OR pt = '' THEN NULL ELSE substr(pt, 3) END AS proppantTypeStuff,
+    CASE WHEN tt IS NULL OR tt = '' THEN NULL ELSE substr(tt, 3) END AS treatmentTypeStuff,
+    CASE WHEN pm IS NULL OR pm = '' THEN NULL ELSE substr(pm, 3) END AS proppantMeshSizeStuff,
+    cumWaterBbl
+  FROM (
+    SELECT api10,
+      string_agg(DISTINCT ', ' || proppantType, '' ORDER BY ', ' || proppantType)
+        FILTER (WHERE upper(rtrim(materialType)) = 'PROPPANT') AS pt,
+      string_agg(DISTINCT ', ' || treatmentType, '' ORDER BY ', ' || treatmentType)
+        FILTER (WHERE upper(rtrim(materialType)) <> 'PROPPANT') AS tt,
+      string_agg(DISTINCT ', ' || proppantMeshSize, '' ORDER BY ', ' || proppantMeshSize)
+        FILTER (WHERE upper(rtrim(materialType)) = 'PROPPANT') AS pm,
+      max(cumWaterBbl) AS cumWaterBbl
+    FROM frac GROUP BY api10) a),
+ut AS (SELECT DISTINCT api FROM (SELECT api10 AS api FROM frac UNION ALL SELECT api FROM wt
+                                 UNION ALL SELECT API FROM piping) x),
+hp AS (
+  SELECT DISTINCT h.api, h.hpdiEntityId, upper(h.play) AS play, h.operator,
+         CAST(DENSE_RANK() OVER (PARTITION BY h.api ORDER BY h.firstProductionDate DESC NULLS LAST,
+                                 h.completionDate DESC NULLS LAST) AS BIGINT) AS dateRank,
+         h.state, h.totalDepth, upper(h.playArea) AS playArea, h.completionDate, h.firstProductionDate,
+         h.proppantLbs AS totalProppantLbs, h.treatmentBbls AS totalTreatmentBbls
+  FROM hdr h WHERE EXISTS (SELECT api FROM ut u WHERE u.api = h.api))
+SELECT DISTINCT h.*, f.cumWaterBbl AS totalWaterBbl,
+  MIN(p.casingBottom) OVER (PARTITION BY p.API) AS surfaceCasingDepth,
+  CASE WHEN f.proppantTypeStuff IS NOT NULL AND h.totalProppantLbs IS NOT NULL THEN f.proppantTypeStuff
+       WHEN h.totalProppantLbs IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS proppantType,
+  CASE WHEN f.proppantMeshSizeStuff IS NOT NULL AND h.totalProppantLbs IS NOT NULL THEN f.proppantMeshSizeStuff
+       WHEN h.totalProppantLbs IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS proppantMeshSize,
+  CASE WHEN f.treatmentTypeStuff IS NOT NULL AND h.totalTreatmentBbls IS NOT NULL THEN f.treatmentTypeStuff
+       WHEN h.totalTreatmentBbls IS NOT NULL THEN 'UNKNOWN' ELSE NULL END AS treatmentType,
+  {_MART_TEST_SQL}
+FROM hp h
+LEFT JOIN ms f ON f.api10 = h.api
+LEFT JOIN piping p ON p.API = h.api AND upper(rtrim(p.casingType)) = 'SURFACE'
+LEFT JOIN wt w ON w.api = h.api AND h.dateRank = 1 AND w.dateRank = 1
+  AND ((w.completionDate + INTERVAL 1 MONTH >= h.completionDate AND w.completionDate - INTERVAL 1 MONTH <= h.completionDate)
+    OR (w.completionDate + INTERVAL 1 MONTH >= h.firstProductionDate
+        AND w.completionDate - INTERVAL 1 MONTH <= h.firstProductionDate))
+""")
+def header_mart_q(spark, sf):
+    header, frac, piping, tests = mart_inputs(spark, sf)
+    return header_mart.build(header, frac, piping, tests, columns=MART_COLUMNS)
