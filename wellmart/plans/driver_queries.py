@@ -875,11 +875,15 @@ def keys_only_in_q(spark, sf):
 # --------------------------------------------------------------------------
 # The benchmark part names carry no trade names, so a material description is
 # derived from each part row: a trade word picked by the part key, then the
-# part name (and, for mesh sizes, two numbers from the part size).
+# part name; for mesh sizes the part name, then a grade picked by the part key
+# written with a separator picked by the part size.
 
 # Description vocabularies for the benchmark rows (chosen here, not source rules).
 TRADE_WORDS = ("PRIME PLUS", "CoolSet", "Badger", "pearl", "UNIMIN", "Python", "CARBOLITE", "Titan",
                "CERAPROP", "Ottawa", "resin", "Ceramic", "Northern White", "plain", "SB Excel", "atlas")
+MESH_GRADES = ("20/40", "30/50", "40/70", "100", "16/30", "12/20", "8/12", "20/70", "30/70", "40/80",
+               "10/20", "16/20", "12/18", "13/40")
+MESH_SEPARATORS = ("/", "-", " ")
 TREATMENT_TYPE_WORDS = ("BASE CARRIER", "FRICTION REDUCER", "GELLING AGENT", "CROSSLINKER", "Biocide",
                         "SURFACTANT", "FOAMER")
 TREATMENT_NAME_WORDS = ("WATER", "ACID", "PROPANE", "NITROGEN", "CO2", "GEL", "SLICKWATER", "X-LINK",
@@ -930,19 +934,16 @@ def vendor_classify(spark, sf):
 @register("mesh_classify", f"""
 SELECT p_partkey, {_mesh_sql()} AS proppantMeshSize
 FROM (SELECT p_partkey,
-             upper(p_name || ' ' || CAST(p_size AS VARCHAR) || CASE WHEN p_size % 2 = 0 THEN '/' ELSE '-' END
-                   || CAST(p_size + 10 * (1 + p_partkey % 6) AS VARCHAR)) AS d,
+             upper(p_name || ' ' || replace({_pick_sql(MESH_GRADES, 'p_partkey')}, '/',
+                                            {_pick_sql(MESH_SEPARATORS, 'p_size')})) AS d,
              upper(rtrim(p_type)) = 'PROMO' AS g
       FROM part) x
 """)
 def mesh_classify(spark, sf):
     from wellmart.plans.frac_detail import mesh_size
-    size = F.col("p_size")
+    grade = F.replace(_pick(MESH_GRADES, F.col("p_partkey")), F.lit("/"), _pick(MESH_SEPARATORS, F.col("p_size")))
     p = _t(spark, sf, "part").select(
-        "p_partkey",
-        F.upper(F.concat(F.col("p_name"), F.lit(" "), size.cast("string"),
-                         F.when(size % 2 == 0, "/").otherwise("-"),
-                         (size + 10 * (1 + F.col("p_partkey") % 6)).cast("string"))).alias("d"),
+        "p_partkey", F.upper(F.concat(F.col("p_name"), F.lit(" "), grade)).alias("d"),
         eq_ci("p_type", "promo").alias("g"))
     return p.select("p_partkey", mesh_size(F.col("d"), F.col("g")).alias("proppantMeshSize"))
 
