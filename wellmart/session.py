@@ -12,24 +12,44 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs rely on. AQE re-plans joins from measured shuffle sizes
-# (broadcast only when a side is proven small at runtime), coalesces small
-# shuffle partitions and splits skewed join partitions.
-DEFAULT_CONF = {
+# SQL settings the jobs rely on (all runtime-settable, applied by configure()).
+# * AQE re-plans joins from measured shuffle sizes, coalesces small shuffle
+#   partitions and splits skewed join partitions (a hot well key).
+# * No broadcast from plan-time size estimates (-1): a side is broadcast only
+#   when AQE has measured its shuffle output below 32 MB; beyond that the
+#   join stays a sort-merge join.
+JOB_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+}
+
+DEFAULT_CONF = {
+    **JOB_SQL_CONF,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+def configure(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply JOB_SQL_CONF (plus overrides) to an existing session, e.g. a cluster's."""
+    for k, v in {**JOB_SQL_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "wellmart", extra: dict | None = None) -> SparkSession:
     """A local[N] session for tests and the bench (Spark UI off)."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(DEFAULT_CONF)
+    for kv in filter(None, os.environ.get("WELLMART_CONF", "").split(";")):
+        k, v = kv.split("=", 1)
+        conf[k.strip()] = v.strip()
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("WELLMART_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
