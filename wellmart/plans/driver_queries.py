@@ -41,7 +41,7 @@ from wellmart.operators.joins import month_window_join, null_as_zero_on
 from wellmart.operators.lists import collect_items, distinct_list, prefixed, stuff_join
 from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
-from wellmart.operators.setops import keys_only_in, union_all, union_distinct
+from wellmart.operators.setops import keys_only_in_each, union_all, union_distinct
 from wellmart.plans import header_mart
 from wellmart.sources.tables import read_table
 
@@ -856,17 +856,17 @@ def keys_only_in_q(spark, sf):
          .select(F.col("h_API").alias("API"), F.col("h_CID").alias("CompletionID"), "FormType", "BottomHoleTemp",
                  "TimeOfRun", "volumePerDay", "FT_RunNumber", "GM_RunNumber"))
 
-    def only(x, y, side, cols):
-        k = keys_only_in(x, y, ["API", "CompletionID"]).join(
-            hdr, (F.col("h_API") == F.col("API")) & (F.col("h_CID") == F.col("CompletionID")))
-        pre = "g" if side is g1 else "f"
+    gas_keys, field_keys = keys_only_in_each(gm, ft, ["API", "CompletionID"])
+
+    def only(keys, side, pre, cols):
+        k = keys.join(hdr, (F.col("h_API") == F.col("API")) & (F.col("h_CID") == F.col("CompletionID")))
         j = k.join(side, (F.col(f"{pre}_API") == F.col("API")) & (F.col(f"{pre}_CID") == F.col("CompletionID")))
         return j.select("API", "CompletionID", "FormType", *cols)
 
-    b = only(gm, ft, g1, [typed_null("double").alias("BottomHoleTemp"), typed_null("string").alias("TimeOfRun"),
-                          "volumePerDay", typed_null("int").alias("FT_RunNumber"), "GM_RunNumber"])
-    c = only(ft, gm, f1, ["BottomHoleTemp", "TimeOfRun", typed_null("double").alias("volumePerDay"),
-                          "FT_RunNumber", typed_null("int").alias("GM_RunNumber")])
+    b = only(gas_keys, g1, "g", [typed_null("double").alias("BottomHoleTemp"), typed_null("string").alias("TimeOfRun"),
+                                 "volumePerDay", typed_null("int").alias("FT_RunNumber"), "GM_RunNumber"])
+    c = only(field_keys, f1, "f", ["BottomHoleTemp", "TimeOfRun", typed_null("double").alias("volumePerDay"),
+                                   "FT_RunNumber", typed_null("int").alias("GM_RunNumber")])
     return union_all(a.select(*out_cols), b, c)
 
 
