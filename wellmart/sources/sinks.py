@@ -1,14 +1,17 @@
 """Full-refresh sinks and lineage cuts.
 
 The source drops and recreates every output (schema on write). Here that is
-``mode("overwrite")``. Intermediates read more than once are cut with
-``checkpoint()`` into the shared folder the session names in
-``spark.checkpoint.dir``: it survives executor loss, unlike a cache or a
-local checkpoint, and it bounds recomputation on retries.
+``mode("overwrite")``. Intermediates read more than once are cut by writing
+them as a Parquet table into the shared folder the session names in
+``spark.checkpoint.dir`` and reading that table back: one pass over the
+input, reliable storage that survives executor loss (unlike a cache or a
+local checkpoint), and later reads get column pruning and filter pushdown.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -25,12 +28,16 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint directory (reliable storage)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set; call session.ensure_checkpoint_dir()")
-        sc.setCheckpointDir(configured)
-    return df.checkpoint(eager=True)
+def checkpoint_root(df: DataFrame) -> str:
+    spark = df.sparkSession
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set; call session.ensure_checkpoint_dir()")
+    return root.rstrip("/")
+
+
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` under the checkpoint directory and return the table read back."""
+    path = f"{checkpoint_root(df)}/wellmart/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
