@@ -23,15 +23,16 @@ import duckdb  # noqa: E402
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
+# Exact type correspondence (an int column must not come back as BIGINT).
 _SPARK_FAMILY = {
-    "bigint": "int", "int": "int", "smallint": "int", "tinyint": "int",
-    "double": "float", "float": "float", "string": "str", "boolean": "bool",
-    "timestamp_ntz": "ts", "timestamp": "ts", "date": "date",
+    "bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8",
+    "double": "float64", "float": "float32", "string": "str", "boolean": "bool",
+    "timestamp_ntz": "ts", "timestamp": "ts_tz", "date": "date",
 }
 _DUCK_FAMILY = {
-    "BIGINT": "int", "INTEGER": "int", "SMALLINT": "int", "TINYINT": "int", "HUGEINT": "int",
-    "DOUBLE": "float", "FLOAT": "float", "VARCHAR": "str", "BOOLEAN": "bool",
-    "TIMESTAMP": "ts", "DATE": "date",
+    "BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8",
+    "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "str", "BOOLEAN": "bool",
+    "TIMESTAMP": "ts", "TIMESTAMP WITH TIME ZONE": "ts_tz", "DATE": "date",
 }
 
 
