@@ -922,9 +922,8 @@ def vendor_classify(spark, sf):
         "p_partkey", F.upper(F.concat(_pick(TRADE_WORDS, F.col("p_partkey")), F.lit(" "), F.col("p_name"))).alias("d"),
         eq_ci("p_type", "promo").alias("g"),
         F.when(F.col("p_size") > 40, None).otherwise(F.col("p_brand")).alias("contractor"))
-    d, g = F.col("d"), F.col("g")
-    return p.select("p_partkey", vendor(d, g, F.col("contractor")).alias("supplierName"),
-                    proppant_type(d, g).alias("proppantType"))
+    return p.select("p_partkey", vendor("d", "g", F.col("contractor")).alias("supplierName"),
+                    proppant_type("d", "g").alias("proppantType"))
 
 
 @register("mesh_classify", f"""
@@ -941,7 +940,7 @@ def mesh_classify(spark, sf):
     p = _t(spark, sf, "part").select(
         "p_partkey", F.upper(F.concat(F.col("p_name"), F.lit(" "), grade)).alias("d"),
         eq_ci("p_type", "promo").alias("g"))
-    return p.select("p_partkey", mesh_size(F.col("d"), F.col("g")).alias("proppantMeshSize"))
+    return p.select("p_partkey", mesh_size("d", "g").alias("proppantMeshSize"))
 
 
 _EXCLUDED_SQL = ", ".join(f"'{t.upper()}'" for t in rules.LIST_EXCLUDED_TYPES)

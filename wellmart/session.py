@@ -31,6 +31,10 @@ DEFAULT_CONF = {
     **JOB_SQL_CONF,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark captures the Python call site of every DataFrame/Column call for
+    # error messages (a JVM round trip each); building the jobs' large plans
+    # does not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -106,6 +106,19 @@ class Catalog:
         return reader.load(self.path(name, db))
 
 
+_INFERRED: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the benchmark tables (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the benchmark tables (``<sf_dir>/<name>.parquet``).
+
+    The schema is inferred from the file footer once per path and process;
+    later reads pass it explicitly (no footer read at plan time).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _INFERRED.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _INFERRED[path] = df.schema
+    return df
