@@ -44,3 +44,11 @@ def test_batch_run_writes_all_outputs(spark, tmp_path):
     mart = {r.api: r for r in spark.read.parquet(paths["header_mart"]).collect()}
     assert mart["4201"].proppantType == "SAND" and mart["4201"].surfaceCasingDepth == 500.0
     assert mart["4202"]["24HourGas"] == 1.0 and mart["4202"].treatmentType == "UNKNOWN"
+    # one job on its own, through the command line (same session via getOrCreate)
+    from wellmart.__main__ import main
+    stage2 = str(tmp_path / "stage2")
+    main(["--raw", raw, "--live", live, "--stage", stage2, "--jobs", "piping"])
+    assert spark.read.parquet(f"{stage2}/espPiping").count() == spark.read.parquet(paths["piping"]).count()
+    import pytest
+    with pytest.raises(ValueError):
+        batch.run(spark, Catalog(raw=raw, live=live, stage=stage2), ["nope"])
