@@ -24,6 +24,7 @@ JOB_SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.exchange.reuse": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
