@@ -1,9 +1,11 @@
 """Command line: run the jobs on a cluster session (spark-submit friendly).
 
-    spark-submit --py-files wellmart.zip -m wellmart \\
-        --raw s3://bucket/esp_data --live s3://bucket/esp_live --stage s3://bucket/esp_stage \\
+    spark-submit --py-files wellmart.zip wellmart/__main__.py \\
+        --raw <raw base> --live <published base> --stage <output base> \\
         [--jobs frac_detail,piping,well_test,header_mart] [--format parquet]
 
+or ``python -m wellmart ...`` where a session can be created locally.
+
 The session comes from the cluster (``getOrCreate``); lineage cuts go to its
 ``spark.checkpoint.dir``.
 """
