@@ -1229,4 +1229,5 @@ LEFT JOIN wt w ON w.api = h.api AND h.dateRank = 1 AND w.dateRank = 1
 """)
 def header_mart_q(spark, sf):
     header, frac, piping, tests = mart_inputs(spark, sf)
-    return header_mart.build(header, frac, piping, tests, columns=MART_COLUMNS)
+    # A driver query stays lazy (no writes while the plan is built).
+    return header_mart.build(header, frac, piping, tests, columns=MART_COLUMNS, materialize=False)
