@@ -69,7 +69,7 @@ def initial_plan(df) -> str:
 
 
 def job_plans(spark):
-    """The four jobs over empty inputs of the declared schemas (plan shape only)."""
+    """The four jobs over empty inputs of the declared schemas (plan shape only, job defaults)."""
     from pyspark.sql.types import StructType
 
     from wellmart.plans import frac_detail, header_mart, piping, well_test
@@ -80,13 +80,11 @@ def job_plans(spark):
 
     ch, hdr = empty("cmpHeader"), empty("espHeader")
     initial, tests = well_test.build(ch, empty("cmpInitialPotentialTest"), empty("cmpOKProductionTest"),
-                                     empty("cmpGasMeasurementTest"), empty("cmpFieldTest"), hdr,
-                                     materialize=False)
-    frac = frac_detail.build(empty("cmpASvFactJobDetailDenormalized"), ch, empty("cmpFracDetail_New"), hdr,
-                             materialize=False)
+                                     empty("cmpGasMeasurementTest"), empty("cmpFieldTest"), hdr)
+    frac = frac_detail.build(empty("cmpASvFactJobDetailDenormalized"), ch, empty("cmpFracDetail_New"), hdr)
     pipe = piping.build(ch, empty("cmpPipe"), hdr)
     mart = header_mart.build(hdr, spark.createDataFrame([], frac.schema), spark.createDataFrame([], pipe.schema),
-                             spark.createDataFrame([], StructType(tests.schema.fields)), materialize=False)
+                             spark.createDataFrame([], StructType(tests.schema.fields)))
     return {"job piping": pipe, "job frac_detail": frac, "job well_test initial tests": initial,
             "job well_test": tests, "job header_mart": mart}
 
@@ -109,9 +107,8 @@ def main(argv):
     print("# The four jobs: plans before execution\n")
     print("Built over empty inputs with the declared schemas; with plan-time broadcast off these are the "
           "plans large inputs get (AQE may still broadcast a side measured under 32 MB or split a skewed "
-          "partition at runtime). Shown without the written intermediates the jobs use by default "
-          "(frac-detail union, rows before each rank), so operators feeding those appear once per reader; "
-          "with them each reader scans the written table.\n")
+          "partition at runtime). As the jobs run them: the frac-detail union and the rows before each "
+          "rank are written once under spark.checkpoint.dir and read back (the scans listed as '?').\n")
     for name, df in job_plans(spark).items():
         print(f"## {name}")
         for line in digest(initial_plan(df)):
