@@ -32,6 +32,7 @@ def piping_out(spark):
         dict(API10="4203", CompletionID="C3", state_name="Kansas"),
         dict(API10="4204", CompletionID="-1", state_name="TEXAS "),
         dict(API10="4205", CompletionID="C5", state_name="TEXAS "),
+        dict(API10="4206", CompletionID=None, state_name="TEXAS"),
     ])
     pipe = frame(spark, "cmpPipe", [
         dict(CompletionID="C1", CasingRecordType="CASING", StringType="SURFACE", CasingSize=9.625, HoleSize=12.25,
@@ -45,6 +46,7 @@ def piping_out(spark):
         dict(CompletionID="C3", CasingRecordType="LINER", CasingBottom=100.0),
         dict(CompletionID="-1", CasingRecordType="LINER", CasingBottom=100.0),
         dict(CompletionID="C5", CasingRecordType="liner", CasingBottom=100.0, CasingTop=50.0),
+        dict(CompletionID=None, CasingRecordType="LINER", CasingBottom=100.0),
     ])
     hdr = frame(spark, "espHeader", [
         dict(api="4201", play="Permian", operator="OP A", firstProductionDate=D(2015, 3, 1), completionDate=D(2015, 1, 1)),
@@ -53,6 +55,7 @@ def piping_out(spark):
         dict(api="4202", play="Haynesville", operator="OP B", firstProductionDate=D(2015, 5, 1)),
         dict(api="4205", play="Eagle Ford", operator="OP C"),
         dict(api="0", play="Nowhere"),
+        dict(api=None, play="Null api"),
     ])
     return piping.build(ch, pipe, hdr).collect()
 
@@ -108,6 +111,8 @@ def frac_out(spark):
              materialType="FRICTION REDUCER", materialAmount=10.0, materialUnit="GAL", StageNumber=5),
         dict(cmpFracDetailId="F4", API10=None, CompletionID="C9", materialDescription="16-30 white",
              materialType="ADDITIVE", materialAmount=5.0, materialUnit="unknown"),
+        dict(cmpFracDetailId="F5", API10="4201", CompletionID="C2", materialDescription="Fresh Water",
+             materialType="BASE CARRIER", materialAmount=100.0, materialUnit="bbl"),
     ])
     hdr = frame(spark, "espHeader", [
         dict(api="4201", play="Permian", operator="OP A", firstProductionDate=D(2015, 3, 1), stages=20, tvd=1.0),
@@ -120,8 +125,8 @@ def frac_out(spark):
 def test_frac_detail_shape(frac_out):
     assert len(frac_out[0]) == 48
     assert list(frac_out[0].asDict())[:4] == ["api10", "play", "completionId", "fracDetailId"]
-    # disclosure: 2 rows of well 4201 x 2 completions with different TVD + 1 row; state: 4 rows
-    assert len(frac_out) == 9
+    # disclosure: 2 rows of well 4201 x 2 completions with different TVD + 1 row; state: 5 rows
+    assert len(frac_out) == 10
     assert sorted(r.trueVerticalDepth for r in frac_out if r.fracDetailId == "D1") == [8000.0, 8000.0, 8500.0, 8500.0]
 
 
@@ -155,6 +160,8 @@ def test_frac_detail_state_rules(frac_out):
     assert (f4.api10, f4.treatmentType, f4.proppantMeshSize, f4.materialUnit, f4.firstProducedDate) == \
         (None, None, "16/30", None, None)
     assert f1.currentOperator == "OP A" and f1.trueVerticalDepth == 8000.0
+    f5 = by["F5"]
+    assert (f5.cumWaterBbl, f5.treatmentType, f5.completionId) == (100.0, "UNKNOWN", "C2")  # Bbl: as is
 
 
 # ----------------------------------------------------------------- well test
@@ -166,6 +173,7 @@ def well_test_out(spark):
         dict(API10="4202", CompletionID="C2", state_name="Louisiana", FormType="F"),
         dict(API10="4203", CompletionID="C3", state_name="oklahoma"),
         dict(API10="4204", CompletionID="C4", state_name="MONTANA", FormType="G-1"),
+        dict(API10="4205", CompletionID="C5", state_name="Texas", FormType="W-2"),
     ])
     cols = "`24HourOil`"
     assert cols
@@ -177,6 +185,8 @@ def well_test_out(spark):
          "TestGas": 20.0, "24HourWater": 5.0, "ProducingMethod": "flowing"},
         {"completion_dr_id": "C4", "testDate": D(2015, 2, 1), "Duration": "12 HRS", "24HourGas": 30.0},
         {"completion_dr_id": "C3", "testDate": D(2015, 3, 1), "24HourOil": 5.0, "OilGravity": 40.0},
+        {"completion_dr_id": "C5", "testDate": D(1951, 1, 1), "24HourOil": 1.0},
+        {"completion_dr_id": "C5", "testDate": D(1951, 1, 2), "24HourOil": 2.0},
     ])
     ok = frame(spark, "cmpOKProductionTest", [
         {"completionID": "C3", "TestDate": D(2015, 3, 1), "TestFormation": "HUNTON", "24HourGas": 0.0,
@@ -188,11 +198,15 @@ def well_test_out(spark):
         dict(API="4201", CompletionID="C1", RunNumber=1, volumePerDay=99.0),
         dict(API="4201", CompletionID="C1", RunNumber=2, volumePerDay=50.0),
         dict(API="4204", CompletionID="C4", RunNumber=1, volumePerDay=77.0),
+        dict(API="4205", CompletionID="C5", RunNumber=2, volumePerDay=55.0),
+        dict(API=None, CompletionID=None, RunNumber=1, volumePerDay=1.0),
     ])
     ft = frame(spark, "cmpFieldTest", [
         dict(API="4201", CompletionID="C1", RunNumber=1, BottomHoleTemp=180.0, GravityLiquidHydrocarbon=41.7,
              RunChokeSize="16/64", TimeOfRun="24"),
         dict(API="4202", CompletionID="C2", RunNumber=1, BottomHoleTemp=150.0, GravityLiquidHydrocarbon=38.2),
+        dict(API="4205", CompletionID="C5", RunNumber=2, BottomHoleTemp=99.0),
+        dict(API=None, CompletionID=None, RunNumber=1, BottomHoleTemp=1.0),
     ])
     hdr = frame(spark, "espHeader", [
         dict(api="4201", play="Permian", operator="OP A", firstProductionDate=D(2015, 3, 1)),
@@ -213,13 +227,22 @@ def test_initial_tests_rate_fill(well_test_out):
     assert (c1["24HourOil"], c1["24HourGas"], c1["24HourWater"]) == (10.0, 20.0, 5.0)  # Texas, 24 hours
     assert (c4["24HourOil"], c4["24HourGas"], c4["24HourWater"]) == (0.0, 30.0, None)  # 0 from the sibling
     assert c3.TestFormation == "HUNTON"  # Oklahoma: NULL gas matched 0 gas; the other test date did not match
-    assert len(initial) == 4
+    assert len(initial) == 6
 
 
 def test_well_tests_children_and_rank(well_test_out):
     _, tests = well_test_out
     assert len(tests[0]) == 30
-    by = {r.completionId: r for r in tests}
+    # both tables but run 2 only: no child row; test dates on/after the 1951 floor
+    c5 = sorted((r for r in tests if r.completionId == "C5"), key=lambda r: r["24HourOil"])
+    assert [(r.testDate, r.bottomHoleTemp, r.runNUmberGM, r.runNumberFT) for r in c5] == \
+        [(None, None, None, None), (D(1951, 1, 2), None, None, None)]
+    # no published header for C3 or C5: they share the NULL rank partition, ranked
+    # on the raw test date (C3 2015-03-01, then 1951-01-02, then 1951-01-01)
+    assert [r.dateRank for r in c5] == [3, 2]
+    assert [r.dateRank for r in tests if r.completionId == "C3"] == [1]
+    assert all(r.api is not None for r in tests)  # NULL child keys match nothing
+    by = {r.completionId: r for r in tests if r.completionId != "C5"}
     c1, c2, c3, c4 = by["C1"], by["C2"], by["C3"], by["C4"]
     assert (c1["24HourGas"], c1.oilGravity, c1.bottomHoleTemp, c1.chokeSize, c1.runNumberFT, c1.runNUmberGM) == \
         (20.0, 41, 180.0, "16/64", 1, 1)
@@ -228,7 +251,7 @@ def test_well_tests_children_and_rank(well_test_out):
     assert (c3.bottomHoleTemp, c3.testFormation, c3.play, c3.oilGravity) == (None, "HUNTON", None, 40)
     assert (c1.play, c1.currentOperator, c1.firstProductionDate) == ("Permian", "OP A", D(2015, 3, 1))
     assert c1["24HourGasOilRatio"] == 2.0
-    assert {r.dateRank for r in tests} == {1}
+    assert {r.dateRank for r in tests if r.completionId != "C5"} == {1}
 
 
 # ----------------------------------------------------------------- header mart
