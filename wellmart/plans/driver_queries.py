@@ -38,7 +38,9 @@ from wellmart.operators.lists import distinct_list, prefixed
 from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
 from wellmart.operators.setops import keys_only_in_each, union_all, union_distinct
-from wellmart.plans import header_mart
+from wellmart.plans import header_mart, piping
+from wellmart.plans.frac_detail import completion_summary, first_produced, mesh_size, proppant_type, vendor
+from wellmart.plans.well_test import choke_size, rate_fill
 from wellmart.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,10 +316,9 @@ def casing_type_normalise(spark, sf):
 
 
 def casing_type(record_type, string_type):
-    """Casing record type: the string type for listed CASING strings, CASING for blanks/unknown."""
-    from wellmart.plans.piping import casing_type as _ct
-    return _ct(record_type, string_type, casing_value="PROMO",
-               strings=("ring", "gear", "rod", "bolt", "plate", "anvil"))
+    """The piping job's casing-type rule with part types / part nouns in the roles of record / string types."""
+    return piping.casing_type(record_type, string_type, casing_value="PROMO",
+                              strings=("ring", "gear", "rod", "bolt", "plate", "anvil"))
 
 
 # --------------------------------------------------------------------------
@@ -917,7 +918,6 @@ FROM (SELECT p_partkey, upper({_pick_sql(TRADE_WORDS, 'p_partkey')} || ' ' || p_
       FROM part) x
 """)
 def vendor_classify(spark, sf):
-    from wellmart.plans.frac_detail import proppant_type, vendor
     p = _t(spark, sf, "part").select(
         "p_partkey", F.upper(F.concat(_pick(TRADE_WORDS, F.col("p_partkey")), F.lit(" "), F.col("p_name"))).alias("d"),
         eq_ci("p_type", "promo").alias("g"),
@@ -935,7 +935,6 @@ FROM (SELECT p_partkey,
       FROM part) x
 """)
 def mesh_classify(spark, sf):
-    from wellmart.plans.frac_detail import mesh_size
     grade = F.replace(_pick(MESH_GRADES, F.col("p_partkey")), F.lit("/"), _pick(MESH_SEPARATORS, F.col("p_size")))
     p = _t(spark, sf, "part").select(
         "p_partkey", F.upper(F.concat(F.col("p_name"), F.lit(" "), grade)).alias("d"),
@@ -981,7 +980,6 @@ SELECT u.l_orderkey, u.l_linenumber, t.treatmentType
 FROM u LEFT JOIN t ON t.api10 = u.api10 AND t.completionId = u.completionId
 """)
 def treatment_classify(spark, sf):
-    from wellmart.plans.frac_detail import completion_summary
     u = _materials(spark, sf).select(
         "l_orderkey", "l_linenumber", F.col("o_custkey").alias("api10"), F.col("l_orderkey").alias("completionId"),
         _pick(TREATMENT_TYPE_WORDS, F.col("l_partkey")).alias("materialType"),
@@ -1029,7 +1027,6 @@ FROM (
   FROM events e JOIN customer c ON c.c_custkey = e.user_id) x
 """)
 def rate_fill_q(spark, sf):
-    from wellmart.plans.well_test import choke_size, rate_fill
     ev, c = _t(spark, sf, "events"), _t(spark, sf, "customer")
     seg, v, et = F.col("c_mktsegment"), F.col("value"), F.col("event_type")
     x = ev.join(c, c["c_custkey"] == ev["user_id"]).select(
@@ -1061,7 +1058,6 @@ LEFT JOIN (SELECT o.o_custkey AS api, min(l.l_shipdate) AS minDate
   ON h.api = u.o_custkey
 """)
 def first_date_reconcile(spark, sf):
-    from wellmart.plans.frac_detail import first_produced
     o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
     h = (li.join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
          .groupBy(F.col("o_custkey").alias("h_api")).agg(F.min("l_shipdate").alias("minDate")))
