@@ -100,3 +100,10 @@ def test_guarded_ratio_and_label(spark):  # RUL-24, RUL-26
 def test_bigint_cast_truncates_toward_zero(spark):  # S27
     df = spark.createDataFrame([(12.7,), (-12.7,)], "d double")
     assert col_values(df, F.col("d").cast("bigint")) == [12, -12]
+
+
+def test_like_ignores_trailing_blanks_of_the_value(spark):  # S2 for LIKE
+    df = spark.createDataFrame([("OTTAWA SAN  ",), ("SD ",), ("40/7 ",), ("40/7",)], "s string")
+    assert col_values(df, like_ci("s", "% SAN")) == [True, False, False, False]
+    assert col_values(df, like_ci("s", "SD")) == [False, True, False, False]
+    assert col_values(df, like_ci("s", "%40/7 %")) == [False, False, True, False]

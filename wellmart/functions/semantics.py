@@ -52,10 +52,14 @@ def not_in_ci(c: Column | str, values: Iterable[str]) -> Column:
 def like_ci(c: Column | str, pattern: str) -> Column:
     """Case-insensitive LIKE. Only ``%`` is used as a wildcard by the jobs.
 
-    Catalyst rewrites ``'%x%'`` / ``'x%'`` / ``'%x'`` into Contains /
+    Trailing blanks of the value are ignored (pattern characters are not):
+    a pattern that does not end in ``%`` is matched against the value with
+    its trailing blanks removed; one that does end in ``%`` is unaffected by
+    them. Catalyst rewrites ``'%x%'`` / ``'x%'`` / ``'%x'`` into Contains /
     StartsWith / EndsWith, so plain patterns cost one substring search.
     """
-    return F.upper(_c(c)).like(pattern.upper())
+    value = _c(c) if pattern.endswith("%") else F.rtrim(_c(c))
+    return F.upper(value).like(pattern.upper())
 
 
 def not_like_ci(c: Column | str, pattern: str) -> Column:

@@ -966,9 +966,9 @@ t AS (
          WHEN m NOT LIKE '%BASE CARRIER, WATER%'
               AND (m LIKE '%PROPANE %' OR m LIKE '%PROPANE, %' OR m LIKE '%GAS FRAC%') THEN 'GAS FRAC'
          WHEN (m LIKE '%BASE CARRIER, ACID%' OR m LIKE '%BASE CARRIER, 15%ACID%' OR m LIKE '%BASE CARRIER, GEL%ACID%'
-               OR m LIKE '%ACID FRAC%') AND NOT (m LIKE 'PROPPANT') THEN 'ACID FRAC'
+               OR m LIKE '%ACID FRAC%') AND NOT (rtrim(m) LIKE 'PROPPANT') THEN 'ACID FRAC'
          WHEN (m LIKE '%BASE CARRIER, NITROGEN%' OR m LIKE '%BASE CARRIER, CO2%' OR m LIKE '%BASE CARRIER, CARBON%')
-              OR (m LIKE '%FOAM%' AND (m LIKE '%CO2%' OR m LIKE '%CARBON%DIOXIDE' OR m LIKE '%NITROGEN%'))
+              OR (m LIKE '%FOAM%' AND (m LIKE '%CO2%' OR rtrim(m) LIKE '%CARBON%DIOXIDE' OR m LIKE '%NITROGEN%'))
               OR (m LIKE '%ENERGIZED%' OR m LIKE '%ENERGIZER%') THEN 'ENERGIZED'
          WHEN (m LIKE '%GELLING AGENT%' AND m LIKE '%CROSSLINKER%') AND NOT (m LIKE '%FRICTION REDUCER%')
            THEN 'CONVENTIONAL'
