@@ -163,18 +163,21 @@ class LicenseScanner:
                 yield a, b
 
     def _chains(self, k: int, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Chains of matches that move on in both text and template, with at most ``max_gap`` words between."""
+        """Chains of matches that move on in both text and template, with at most ``max_gap`` words between in either."""
         open_: list[dict] = []
         done = []
         for s, e, ts, te in sorted(matches):
-            fit = [c for c in open_ if c["e"] <= s + c["te"] - ts and ts >= c["ts"] and te > c["te"] and s - c["e"] <= self.max_gap]
             done += [c for c in open_ if s - c["e"] > self.max_gap]
             open_ = [c for c in open_ if s - c["e"] <= self.max_gap]
-            if fit:
-                c = max(fit, key=lambda c: c["cover"])
-                c.update(e=max(e, c["e"]), cover=c["cover"] + te - max(ts, c["te"]), te=te)
+            best, gain = None, 0
+            for c in open_:
+                twice = max(0, c["e"] - s, c["te"] - ts)  # words of this match that the chain has already
+                if ts - c["te"] <= self.max_gap and te - ts > twice and (best is None or c["cover"] - twice > gain):
+                    best, gain = c, c["cover"] - twice
+            if best:
+                best.update(e=e, te=te, cover=gain + te - ts)
             else:
-                open_.append({"s": s, "e": e, "ts": ts, "te": te, "cover": te - ts})
+                open_.append({"s": s, "e": e, "te": te, "cover": te - ts})
         return [(self.label[k], c["s"], c["e"], min(1.0, c["cover"] / self.size[k]))
                 for c in done + open_ if c["cover"] >= self.min_cover * self.size[k]]
 

@@ -9,7 +9,7 @@
    of all rows is counted by a pre-aggregated sum over its blocks.
 3. Draws: whole passes over a source take every block; what remains to the
    target is taken from a last pass in permuted block order, the block at the
-   border row by row. A row is taken whole or not.
+   border row by row (``nearest``). A row is taken whole or not.
 4. Shards: the block draws of all sources are split among the output shards by
    a binary tree. At each node the children's totals are fixed, and the
    sources' counts of the left child are one multivariate-hypergeometric draw
@@ -75,6 +75,35 @@ def split_counts(counts: np.ndarray, shards: int, seed: int = SEED) -> np.ndarra
     return out
 
 
+def nearest(sizes: list[int], lack: float, tail: int = 200) -> list[bool]:
+    """Which rows to take, in order, so that their sizes sum to nearly ``lack``.
+
+    All but the last ``tail`` rows are taken as long as the tail can still make
+    up about half its sum; the tail's choice is the subset sum nearest to what
+    is left (a bit set of reachable sums, in units of ``lack / 2 ** 16``).
+    """
+    cut = max(0, len(sizes) - tail)
+    reserve, chosen = sum(sizes[cut:]) / 2, [False] * len(sizes)
+    for i in range(cut):
+        if sizes[i] <= lack - reserve:
+            chosen[i] = True
+            lack -= sizes[i]
+    unit = max(1, int(lack) >> 16)
+    want, reach = max(0, round(lack / unit)), [1]
+    mask = (1 << (2 * want + 2)) - 1
+    for n in sizes[cut:]:
+        reach.append((reach[-1] | reach[-1] << round(n / unit)) & mask if n <= 2 * lack else reach[-1])
+    low = (reach[-1] & ((1 << (want + 1)) - 1)).bit_length() - 1
+    over = reach[-1] >> (want + 1)
+    above = want + 1 + (over & -over).bit_length() - 1 if over else None
+    at = above if above is not None and above - want < want - low else low
+    for k in range(len(sizes) - cut, 0, -1):
+        if not reach[k - 1] >> at & 1:
+            chosen[cut + k - 1] = True
+            at -= round(sizes[cut + k - 1] / unit)
+    return chosen
+
+
 def _key(source):
     """Null apart from every string; ordered by code point, null last."""
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("="), source))
@@ -91,8 +120,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     ``draws`` has one (pass, shard) per time the row is taken; ``taken`` is the
     row's size times their number, never over ``max_repeats`` times. A
-    source's taken words miss its target by less than its smallest untaken row
-    of one block. A null text has size 0 and a null source is a source of its
+    source's taken words miss its target by what the rows of one block cannot
+    make up between them: mostly nothing, at worst half their smallest. A null text has size 0 and a null source is a source of its
     own. Rows of equal id and size are taken together. An empty table gives an
     empty plan; a source without words has target 0 and no draws.
     """
@@ -129,14 +158,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     inside = inside.withColumn("_o", _hash(seed, 3, "_i", "size"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_o", "size"])
-        lack, chosen = float(pdf["lack"].iloc[0]), []
-        for words in (pdf["size"] * pdf["copies"]).tolist():
-            chosen.append(words <= lack)
-            lack -= words if words <= lack else 0
-        over = [(w, i) for i, w in enumerate((pdf["size"] * pdf["copies"]).tolist()) if not chosen[i]]
-        if over and min(over)[0] < 2 * lack:  # one more row lands nearer than none
-            chosen[min(over)[1]] = True
+        pdf = pdf.sort_values(["_o", "size", "_i"])
+        chosen = nearest((pdf["size"] * pdf["copies"]).tolist(), float(pdf["lack"].iloc[0]))
         return pdf.loc[chosen, ["_s", "block", "_i", "size"]]
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -20,7 +20,7 @@ m AS (SELECT l.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x2
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 10 * n_symbols > 3 * n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-    OR 10 * n_dup_lines > 3 * n_lines OR (n_letters > 0 AND 10 * n_upper > 6 * n_letters)) AS kept
+    OR 10 * n_dup_lines > 7 * n_lines OR (n_letters > 0 AND 10 * n_upper > 6 * n_letters)) AS kept
 FROM b
 """
 

@@ -25,7 +25,7 @@ RULES = (
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("many_symbols", "10 * n_symbols > 3 * n_words"),
     ("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    ("dup_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("dup_lines", "10 * n_dup_lines > 7 * n_lines"),
     ("shouting", "n_letters > 0 AND 10 * n_upper > 6 * n_letters"),
 )
 BIT = {name: i for i, (name, _) in enumerate(RULES)}
@@ -67,8 +67,7 @@ def _measured(docs: DataFrame, text_col: str) -> DataFrame:
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.size("_l").cast("long").alias("n_lines"),
         (n - F.length(letters)).cast("long").alias("n_upper"),
-        (n - F.length(F.translate(letters, "abcdefghijklmnopqrstuvwxyz", ""))
-         + n - F.length(letters)).cast("long").alias("n_letters"))
+        (n - F.length(F.translate(letters, "abcdefghijklmnopqrstuvwxyz", ""))).cast("long").alias("n_letters"))
     # Starts of windows whose text stands next to itself in sorted order, in text order.
     twice = F.filter(F.transform("_g", lambda x, k: F.when(
         (F.get("_g", k - 1)["g"] == x["g"]) | (F.get("_g", k + 1)["g"] == x["g"]), x["i"])), lambda i: i.isNotNull())
