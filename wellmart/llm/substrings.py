@@ -98,21 +98,41 @@ def super_kmers(docs: list[list[bytes]], k: int, m: int) -> tuple[bytes, np.ndar
     return buf, np.stack([doc[first], a - zero[doc[first]], start[a], end[b], _mix(low[first]).view(np.int64)], 1)
 
 
+def _thin(x: np.ndarray, kind) -> bytes:
+    """Differences of neighbours, byte plane by byte plane: what a compressor likes."""
+    d = np.diff(x.astype(kind), prepend=np.zeros(1, kind))
+    return d.view(np.uint8).reshape(-1, d.itemsize).T.tobytes()
+
+
+def _wide(raw: bytes, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    d = np.frombuffer(raw, np.uint8).reshape(size, n).T.copy().view(kind).reshape(n)
+    return np.cumsum(d, dtype=kind).astype(np.int64)
+
+
+_PLACE = (("doc", np.int64), ("key", np.int32), ("word", np.int32))
+
+
 def pack(strings: list[bytes], places: list[list[int]], doc: np.ndarray, key: np.ndarray, word: np.ndarray) -> bytes:
     """Strings with the (document, row key, first word) of their places, compressed."""
     flat = np.array([i for p in places for i in p], np.int64)
-    count = np.array([len(p) for p in places], np.int64)
+    count = np.array([len(p) for p in places], np.int32)
     body = b"\n".join(strings)
     head = np.array([len(strings), len(flat), len(body)], np.int64)
-    raw = b"".join([head.tobytes(), count.tobytes(), doc[flat].tobytes(), key[flat].tobytes(), word[flat].tobytes(), body])
-    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
+    cols = [_thin(x[flat], kind) for x, (_, kind) in zip((doc, key, word), _PLACE)]
+    raw = b"".join([head.tobytes(), _thin(count, np.int32), *cols, body])
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 6).compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     n, places, size = np.frombuffer(raw, np.int64, 3).tolist()
-    rest = np.frombuffer(raw, np.int64, n + 3 * places, 24)
-    return (raw[len(raw) - size:], rest[:n], *np.split(rest[n:], 3))
+    out, at = [_wide(raw[24:24 + 4 * n], n, np.int32)], 24 + 4 * n
+    for _, kind in _PLACE:
+        width = np.dtype(kind).itemsize * places
+        out.append(_wide(raw[at:at + width], places, kind))
+        at += width
+    return (raw[len(raw) - size:], *out)
 
 
 def repeats(blobs: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +187,9 @@ def repeats(blobs: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    """Rows with a key that tells texts of one doc_id apart (32 bits: it matters only where an id repeats)."""
+    key = F.shiftright(F.xxhash64(text_col), 32).cast("long").alias("key")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key, F.col(text_col).alias("text"))
 
 
 def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
