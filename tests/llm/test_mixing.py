@@ -54,6 +54,17 @@ def test_documents(docs):
         assert all(abs(taken[s] - target[s]) <= (most[s] / 2 if settings else 0.02 * size[s]) for s in size)
 
 
+def test_word_counts():
+    import pyarrow as pa
+
+    texts = [None, "", "a", " a  b\n", "", "\tx y\x0bz\r\f", None, "é 漢 字", "q", "q "]
+    col = pa.array(texts, pa.string())
+    want = [len((t or "").encode().split()) for t in texts]
+    assert mixing.word_counts(col).tolist() == want
+    assert mixing.word_counts(col[3:8]).tolist() == want[3:8]
+    assert mixing.word_counts(col[:0]).tolist() == [] and mixing.word_counts(col[:2]).tolist() == [0, 0]
+
+
 def test_nearest():
     import random
 

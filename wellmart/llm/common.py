@@ -17,8 +17,6 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ALNUM_LOWER = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-#: Java/Spark form of the blanks that part words: space, \t \n \v \f \r.
-BLANKS = " \t\n\u000b\f\r"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,14 +56,6 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def word_count(text) -> F.Column:
-    """Number of words parted by blanks, as a native expression (null: 0)."""
-    parts = F.split(text, "[\\x20\\x09-\\x0D]+")
-    n = F.size(parts) - (F.element_at(parts, 1) == "").cast("int") - (
-        (F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
-    return F.when(text.isNull(), F.lit(0)).otherwise(n).cast("long")
-
-
 def index_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenation of ``arange(s, s + n)`` for each start and length."""
     total = int(lengths.sum())

@@ -22,11 +22,14 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import word_count
+from .common import shared_table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -113,21 +116,57 @@ def _hash(seed: int, salt: int, *cols):
     return F.xxhash64(F.lit(seed), F.lit(salt), *cols)
 
 
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_counts(column: pa.Array) -> np.ndarray:
+    """Words of every text, counted in the column's bytes: a word starts where a blank or the text's start precedes it."""
+    col = column.cast(pa.binary())
+    off = np.frombuffer(col.buffers()[1], np.int32, len(col) + 1, 4 * col.offset) if len(col) else np.zeros(1, np.int32)
+    out = np.zeros(len(col), np.int64)
+    full = np.flatnonzero(np.diff(off))
+    if len(full):
+        blank = _BLANK[np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]]]
+        starts = ~blank
+        starts[1:] &= blank[:-1]
+        first = off[:-1][full] - off[0]
+        starts[first] = ~blank[first]
+        out[full] = np.add.reduceat(starts, first, dtype=np.int64)
+    return out
+
+
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, columns: list[str] | None = None) -> DataFrame:
+    """``row`` (the input row, or its ``columns``), source key ``_s``, row hash ``_k`` of id and text, ``size``."""
+    row = F.struct(*(columns or ["*"])).alias("row")
+    source = docs.select(row, _key(F.col(source_col)).alias("_s"), _hash(seed, 1, F.col(id_col), F.col(text_col)).alias("_k"),
+                         F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*map(b.column, ("row", "_s", "_k")), pa.array(word_counts(b.column("text")))],
+                                             names=["row", "_s", "_k", "size"])
+
+    return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, _s string, _k long, size long")
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights=WEIGHTS, max_repeats: int = MAX_REPEATS, shards: int = SHARDS, seed: int = SEED,
-         block_rows: int = BLOCK_ROWS, max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """Per row: ``row`` (the input row as a struct), ``size, source_size, target, taken, draws``.
+         block_rows: int = BLOCK_ROWS, max_blocks: int = MAX_BLOCKS, columns: list[str] | None = None) -> DataFrame:
+    """Per row: ``row`` (the input row, or its ``columns``, as a struct), ``size, source_size, target, taken, draws``.
+
+    The texts are read twice: once to write sizes and hashes, from which all is
+    planned, and once with the result.
 
     ``draws`` has one (pass, shard) per time the row is taken; ``taken`` is the
     row's size times their number, never over ``max_repeats`` times. A
     source's taken words miss its target by what the rows of one block cannot
     make up between them: mostly nothing, at worst half their smallest. A null text has size 0 and a null source is a source of its
-    own. Rows of equal id and size are taken together. An empty table gives an
+    own. Rows of equal id and text are taken together. An empty table gives an
     empty plan; a source without words has target 0 and no draws.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_i"), _key(F.col(source_col)).alias("_s"),
-                       word_count(F.col(text_col)).alias("size"))
+    whole_rows = measured(docs, id_col, text_col, source_col, seed, columns)
+    rows = shared_table(whole_rows.select("_s", "_k", "size"), "mix-sizes")
     sizes = rows.groupBy("_s").agg(F.sum("size").alias("words"), F.count("*").alias("rows")).collect()
     table = pd.DataFrame([tuple(r) for r in sizes], columns=["_s", "words", "rows"])
     # Code point order of Python strings; "=..." sorts before "n", the null source.
@@ -142,7 +181,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         "_s string, source_size long, target double, passes int, rest double, blocks int")
 
     known = F.broadcast(small)  # one row a source
-    rows = rows.join(known, "_s").withColumn("block", F.pmod(_hash(seed, 1, "_i", "size"), F.col("blocks")).cast("int"))
+    block = F.pmod(F.col("_k"), F.col("blocks")).cast("int")
+    rows = rows.join(known, "_s").withColumn("block", block)
 
     # Blocks of the last pass in permuted order, with the words before each: at most max_blocks rows a source.
     blocks = rows.where("rest > 0").groupBy("_s", "block", "rest").agg(F.sum("size").alias("words"))
@@ -153,18 +193,17 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     # The border block, row by row in hashed order: whatever still fits is taken.
     border = last.where("NOT whole").select("_s", "block", "lack")
-    inside = rows.select("_s", "block", "_i", "size").join(border, ["_s", "block"]).groupBy("_s", "block", "lack", "_i", "size").agg(
-        F.count("*").alias("copies"))
-    inside = inside.withColumn("_o", _hash(seed, 3, "_i", "size"))
+    inside = rows.select("_s", "block", "_k", "size").join(border, ["_s", "block"]).groupBy("_s", "block", "lack", "_k").agg(
+        F.sum("size").alias("words"))
+    inside = inside.withColumn("_o", _hash(seed, 3, "_k"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_o", "size", "_i"])
-        chosen = nearest((pdf["size"] * pdf["copies"]).tolist(), float(pdf["lack"].iloc[0]))
-        return pdf.loc[chosen, ["_s", "block", "_i", "size"]]
+        pdf = pdf.sort_values(["_o", "_k"])
+        chosen = nearest(pdf["words"].tolist(), float(pdf["lack"].iloc[0]))
+        return pdf.loc[chosen, ["_s", "_k"]]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    fits = inside.groupBy("_s", "block").applyInPandas(fill, f"_s string, block int, _i {kind}, size long")
-    fits = fits.select(F.col("_s").alias("f_s"), F.col("block").alias("f_b"), F.col("_i").alias("f_i"), F.col("size").alias("f_n"))
+    fits = inside.groupBy("_s", "block").applyInPandas(fill, "_s string, _k long")
+    fits = fits.select(F.col("_s").alias("f_s"), F.col("_k").alias("f_k"))
 
     # Block draws per source, split among the shards.
     taken = {r[0]: r[1] for r in last.groupBy("_s").count().collect()}
@@ -183,9 +222,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     per_block = draws.groupBy("_s", "block").agg(
         F.array_sort(F.collect_list(F.struct("pass", shard.alias("shard"), "whole"))).alias("all"))  # max_repeats + 1 at most
 
-    out = rows.join(per_block, ["_s", "block"], "left").join(
-        fits, (F.col("_s") == F.col("f_s")) & (F.col("block") == F.col("f_b")) & F.col("_i").eqNullSafe(F.col("f_i"))
-        & (F.col("size") == F.col("f_n")), "left")
+    out = whole_rows.join(known, "_s").withColumn("block", block).join(per_block, ["_s", "block"], "left").join(
+        fits, (F.col("_s") == F.col("f_s")) & (F.col("_k") == F.col("f_k")), "left")
     drawn = F.filter(F.coalesce("all", F.array().cast("array<struct<pass:int,shard:int,whole:boolean>>")),
                      lambda d: d["whole"] | F.col("f_s").isNotNull())
     drawn = F.transform(drawn, lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard")))
@@ -206,5 +244,5 @@ def write_mix(planned: DataFrame, path: str, id_col: str = "doc_id", seed: int =
 
 
 def mix_digest(docs: DataFrame, **settings) -> DataFrame:
-    return plan(docs.select("doc_id", "text", "source"), **settings).select(
+    return plan(docs.select("doc_id", "text", "source"), columns=["doc_id"], **settings).select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
