@@ -6,7 +6,8 @@ Role map (well data -> benchmark tables):
   material row       = line item joined with its part (material = part name,
                        material type = part type, amount = quantity)
   well test          = line item of a customer's order, or an event
-Every query reads whole tables; every computed column carries the same
+Every query reads whole tables; a filter on a flag or status splits a table
+into roles. Every computed column carries the same
 alias in the Spark plan and in its oracle SQL.
 """
 
@@ -39,7 +40,18 @@ from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
 from wellmart.operators.setops import keys_only_in_each, union_all, union_distinct
 from wellmart.plans import header_mart, piping
-from wellmart.plans.frac_detail import completion_summary, first_produced, mesh_size, proppant_type, vendor
+from wellmart.plans.frac_detail import (
+    completion_summary,
+    disclosure_unit,
+    first_produced,
+    flag_type,
+    mesh_size,
+    proppant_type,
+    summary_flag,
+    supplier_repair,
+    vendor,
+    version_label,
+)
 from wellmart.plans.well_test import choke_size, rate_fill
 from wellmart.sources.tables import read_table
 
@@ -196,34 +208,30 @@ def cross_field_null(spark, sf):
 
 @register("text_sentinel_null", """
 SELECT o_orderkey, priority, statusFlag,
-       CASE WHEN upper(rtrim(rawPriority)) = '1-URGENT' THEN operator
-            WHEN upper(rtrim(rawPriority)) = '2-HIGH' THEN operator
-            WHEN priority IS NULL THEN 'UNKNOWN'
-            WHEN upper(rtrim(priority)) = 'N/A' THEN 'UNKNOWN'
-            ELSE priority END AS supplierName
+       CASE WHEN upper(rtrim(supplier)) IN ('LOOKUP OPERATOR NAME IN HEADER', 'OIPERATOR') THEN operator
+            WHEN supplier IS NULL THEN 'UNKNOWN'
+            WHEN upper(rtrim(supplier)) = 'N/A' THEN 'UNKNOWN'
+            ELSE supplier END AS supplierName
 FROM (
-  SELECT o.o_orderkey, o.o_orderpriority AS rawPriority, c.c_name AS operator,
+  SELECT o.o_orderkey, c.c_name AS operator,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Lookup operator name in header ' WHEN '2-HIGH' THEN 'oiperator'
+              WHEN '3-MEDIUM' THEN 'n/a' WHEN '5-LOW' THEN NULL ELSE o.o_orderpriority END AS supplier,
          CASE WHEN upper(rtrim(o.o_orderpriority)) IN ('4-NOT SPECIFIED', 'NULL', 'UNKNOWN', '') THEN NULL
               ELSE o.o_orderpriority END AS priority,
-         CASE WHEN upper(rtrim(o.o_orderstatus)) = 'F' THEN 'YES'
-              WHEN upper(rtrim(o.o_orderstatus)) = 'O' THEN 'NO'
-              ELSE upper(o.o_orderstatus) END AS statusFlag
+         CASE WHEN o.o_orderstatus = 'F' THEN 'YES' WHEN o.o_orderstatus = 'O' THEN 'NO'
+              ELSE 'P?' END AS statusFlag
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey) a
 """)
 def text_sentinel_null(spark, sf):
     o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
-    lvl1 = o.join(c, c["c_custkey"] == o["o_custkey"], "left").select(
-        "o_orderkey", F.col("o_orderpriority").alias("rawPriority"), F.col("c_name").alias("operator"),
-        null_if_ci("o_orderpriority", ["4-not specified", "NULL", "UNKNOWN", ""]).alias("priority"),
-        F.when(eq_ci("o_orderstatus", "f"), "YES").when(eq_ci("o_orderstatus", "o"), "NO")
-        .otherwise(F.upper("o_orderstatus")).alias("statusFlag"))
-    return lvl1.select(
-        "o_orderkey", "priority", "statusFlag",
-        F.when(eq_ci("rawPriority", "1-urgent"), F.col("operator"))
-        .when(eq_ci("rawPriority", "2-high"), F.col("operator"))
-        .when(F.col("priority").isNull(), "UNKNOWN")
-        .when(eq_ci("priority", "n/a"), "UNKNOWN")
-        .otherwise(F.col("priority")).alias("supplierName"))
+    p = F.col("o_orderpriority")
+    supplier = (F.when(p == "1-URGENT", "Lookup operator name in header ").when(p == "2-HIGH", "oiperator")
+                .when(p == "3-MEDIUM", "n/a").when(p == "5-LOW", None).otherwise(p))
+    flag = (F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "0 ")
+            .otherwise(F.concat(F.lower("o_orderstatus"), F.lit("?"))))
+    return o.join(c, c["c_custkey"] == o["o_custkey"], "left").select(
+        "o_orderkey", null_if_ci("o_orderpriority", ["4-not specified", "NULL", "UNKNOWN", ""]).alias("priority"),
+        summary_flag(flag).alias("statusFlag"), supplier_repair(supplier, F.col("c_name")).alias("supplierName"))
 
 
 @register("flag_priority", """
@@ -283,15 +291,12 @@ def flag_priority(spark, sf):
     proppant = eq_ci("purpose", "PROPPANT")
     return raw.select(
         "l_orderkey", "l_linenumber",
-        F.when(eq_ci("unit", "lb"), "LBS").otherwise(F.upper("unit")).alias("materialUnit"),
-        F.when(eq_ci("resinI", "Y") | eq_ci("resinT", "Y"), "RESIN COATED")
-        .when(eq_ci("artI", "Y") | eq_ci("artT", "Y"), "ARTIFICIAL")
-        .when(eq_ci("sandI", "Y") | eq_ci("sandT", "Y"), "SAND")
-        .when(proppant, "UNKNOWN").alias("proppantType"),
+        disclosure_unit(F.col("unit")).alias("materialUnit"),
+        flag_type([F.col("resinI"), F.col("resinT")], [F.col("artI"), F.col("artT")],
+                  [F.col("sandI"), F.col("sandT")], proppant).alias("proppantType"),
         first_non_empty("tradeMesh", "ingMesh").when(proppant, "UNKNOWN").alias("proppantMeshSize"),
         first_non_empty("tradeQ", "ingQ").alias("sandQuality"),
-        F.when(F.col("version") == 1, "FF 1").when(F.col("version") == 2, "FF 2")
-        .when(F.col("version") == 3, "FF 3").otherwise("FF").alias("sourceColumn"),
+        version_label(F.col("version")).alias("sourceColumn"),
     )
 
 
@@ -349,18 +354,18 @@ SELECT l.l_orderkey, l.l_linenumber, o.o_custkey AS api,
                 CAST(h.o_orderkey AS INTEGER)) AS numberOfStages,
        coalesce(CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE l.l_returnflag END, h.o_orderpriority) AS formation,
        h.o_orderkey AS latestOrder
-FROM lineitem l
-LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P'
+FROM orders o
+LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 LEFT JOIN h ON h.o_custkey = o.o_custkey
 """)
 def left_fallback(spark, sf):
     li, o = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
-    o_open = o.where(F.col("o_orderstatus") != "P").select("o_orderkey", "o_custkey")
+    wells = o.select("o_orderkey", "o_custkey")
     h = latest_row(o, ["o_custkey"], ["o_orderdate"],
                    payload=["o_orderkey", "o_totalprice", "o_orderpriority"])
     h = h.select(F.col("o_custkey").alias("h_api"), F.col("o_orderkey").alias("h_orderkey"),
                  F.col("o_totalprice").alias("h_total"), F.col("o_orderpriority").alias("h_priority"))
-    j = (li.join(o_open, o_open["o_orderkey"] == li["l_orderkey"], "left")
+    j = (wells.join(li, wells["o_orderkey"] == li["l_orderkey"], "left")
          .join(h, F.col("h_api") == F.col("o_custkey"), "left"))
     return j.select(
         "l_orderkey", "l_linenumber", F.col("o_custkey").alias("api"),
@@ -436,18 +441,18 @@ SELECT c_custkey, c_name FROM customer c
 WHERE EXISTS (
   SELECT api FROM (
     SELECT DISTINCT api FROM (
-      SELECT o_custkey AS api FROM orders WHERE o_totalprice > 450000
+      SELECT o_custkey AS api FROM orders WHERE o_orderstatus = 'P'
       UNION ALL SELECT user_id FROM events
-      UNION ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') x) u
+      UNION ALL SELECT s_suppkey FROM supplier) x) u
   WHERE u.api = c.c_custkey)
 """)
 def wells_with_detail(spark, sf):
+    # Three feeds: orders of one status (every customer has some order), all events, all suppliers.
     o, ev, c = _t(spark, sf, "orders"), _t(spark, sf, "events"), _t(spark, sf, "customer")
     u = union_distinct(
-        o.where(F.col("o_totalprice") > 450000).select(F.col("o_custkey").alias("api")),
+        o.where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("api")),
         ev.select(F.col("user_id").alias("api")),
-        o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
-        .select(F.col("o_custkey").alias("api")))
+        _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("api")))
     return c.join(u, c["c_custkey"] == u["api"], "left_semi").select("c_custkey", "c_name")
 
 
@@ -494,9 +499,9 @@ def month_window_join_q(spark, sf):
     h = dense_rank_by(_month_headers(o), ["api"], ["fpd", "cd"], "dateRank")
     t = li.join(o, o["o_orderkey"] == li["l_orderkey"]).select(
         F.col("o_custkey").alias("api"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("testDate"))
-    w = dense_rank_by(t, ["api"], ["testDate"], "dateRank")
+    w = top_group(t, ["api"], ["testDate"])  # only rank 1 is joined
     j = month_window_join(h, w, ("api", "api"), ["cd", "fpd"], "testDate", 1,
-                          extra=(F.col("h.dateRank") == 1) & (F.col("w.dateRank") == 1))
+                          extra=F.col("h.dateRank") == 1)
     return j.select(F.col("h.o_orderkey").alias("o_orderkey"), F.col("h.api").alias("api"),
                     F.col("h.dateRank").alias("headerRank"), F.col("w.l_orderkey").alias("testOrder"),
                     F.col("w.l_linenumber").alias("testLine"), F.col("w.testDate").alias("testDate"))
@@ -650,13 +655,12 @@ FROM (SELECT *, DENSE_RANK() OVER (PARTITION BY o_custkey
                                    ORDER BY year(o_orderdate) DESC NULLS LAST, o_orderdate DESC NULLS LAST) AS dr
       FROM orders) h
 JOIN customer c ON c.c_custkey = h.o_custkey AND h.dr = 1
-WHERE c.c_acctbal > 0
 """)
 def latest_group_q(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                        F.year("o_orderdate").alias("orderYear"))
     top = top_group(o, ["o_custkey"], ["orderYear", "o_orderdate"])
-    c = _t(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+    c = _t(spark, sf, "customer")
     return top.join(c, c["c_custkey"] == top["o_custkey"]).select("c_custkey", "c_name", "o_orderkey",
                                                                    "o_orderdate")
 
@@ -670,7 +674,7 @@ WITH ip AS (
 d AS (
   SELECT o.o_custkey AS API, l.l_orderkey AS CompletionID, l.l_linenumber AS dLine, l.l_quantity AS bottomHoleTemp
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-  WHERE l.l_returnflag = 'R' AND l.l_linenumber <= 2),
+  WHERE l.l_returnflag = 'R'),
 h AS (
   SELECT h_api, fpd FROM (
     SELECT o_custkey AS h_api, o_orderdate AS fpd,
@@ -693,7 +697,7 @@ def rank_across_join(spark, sf):
                   F.when(F.col("o_totalprice") > 300000, None).otherwise(F.col("o_totalprice")).alias("gas"),
                   F.when(F.col("o_orderpriority") == "1-URGENT", None).otherwise(F.col("o_orderdate"))
                   .alias("TestDate"))
-    d = (li.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
+    d = (li.where(F.col("l_returnflag") == "R")
          .join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
          .select(F.col("o_custkey").alias("d_API"), F.col("l_orderkey").alias("d_CompletionID"),
                  F.col("l_linenumber").alias("dLine"), F.col("l_quantity").alias("bottomHoleTemp")))
@@ -1093,6 +1097,93 @@ def ratios_and_casts(spark, sf):
                "string").alias("chokeSize"))
 
 
+# --------------------------------------------------------------------------
+# Whole jobs on the role-mapped tables
+# --------------------------------------------------------------------------
+
+@register("piping_job", """
+WITH ch AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS API, CAST(o.o_orderkey AS VARCHAR) AS cid, o.o_orderpriority AS purpose,
+         CASE n.n_nationkey % 3 WHEN 0 THEN 'texas ' WHEN 1 THEN 'Oklahoma' ELSE n.n_name END AS state
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey),
+cp AS (
+  SELECT CASE WHEN l_linenumber = 7 THEN '-1' ELSE CAST(l_orderkey AS VARCHAR) END AS cid,
+         CASE l_returnflag WHEN 'R' THEN 'casing ' WHEN 'A' THEN NULL ELSE 'Liner hanger' END AS rt,
+         CASE l_linestatus WHEN 'O' THEN 'surface' ELSE 'other' END AS st,
+         CAST(l_linenumber AS DOUBLE) * 20 - 20 AS size, l_quantity * 2.5 AS hole, l_quantity AS bottom,
+         CAST(l_linenumber - 1 AS DOUBLE) * 5 AS top, l_extendedprice / 100 AS weight, l_tax AS amount,
+         CASE l_returnflag WHEN 'N' THEN 'unknown' ELSE l_returnflag END AS class, l_discount AS toc,
+         CASE l_linestatus WHEN 'O' THEN 'Unknown ' ELSE 'log' END AS tocBy, l_discount * 10 AS slurry
+  FROM lineitem),
+j AS (
+  SELECT ch.API, ch.cid, purpose, state, cp.*, amount <= 0 AND upper(rtrim(class)) = 'UNKNOWN' AS dry
+  FROM ch JOIN cp ON cp.cid = ch.cid
+  WHERE upper(rtrim(state)) IN ('LOUISIANA', 'MONTANA', 'NEW MEXICO', 'NORTH DAKOTA', 'OKLAHOMA', 'TEXAS', 'WYOMING')
+    AND cp.cid <> '-1'),
+cl AS (
+  SELECT DISTINCT API, cid AS completionId, purpose, state,
+    CASE WHEN upper(rtrim(rt)) = 'CASING' AND upper(rtrim(st)) IN ('CONDUCTOR', 'INTERMEDIATE', 'LINER', 'PRODUCTION', 'SURFACE', 'TUBING')
+           THEN upper(st)
+         WHEN rt IS NULL OR rtrim(rt) = '' OR upper(rtrim(rt)) = 'UNKNOWN' THEN 'CASING' ELSE upper(rt) END AS casingType,
+    CASE WHEN size <= 0.99 OR size >= 100 THEN NULL ELSE size END AS casingSize,
+    CASE WHEN hole <= 0 OR hole >= 100 THEN NULL ELSE hole END AS holeSize,
+    CASE WHEN bottom <= 10 THEN NULL ELSE bottom END AS casingBottom,
+    CASE WHEN bottom <= 10 AND top = 0 THEN NULL ELSE top END AS casingTop,
+    CASE WHEN weight <= 0 OR weight > 500 THEN NULL ELSE weight END AS casingWeight,
+    CASE WHEN dry THEN NULL ELSE amount END AS cementAmount,
+    CASE WHEN dry THEN NULL ELSE class END AS cementClass,
+    CASE WHEN dry AND toc = 0 THEN NULL ELSE toc END AS cementTop,
+    CASE WHEN dry AND toc = 0 AND upper(rtrim(tocBy)) = 'UNKNOWN' THEN NULL ELSE tocBy END AS tocBy,
+    CASE WHEN slurry = 0 THEN NULL ELSE slurry END AS slurryVolume
+  FROM j),
+eh AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS api, lower(c.c_mktsegment) AS play, c.c_acctbal AS lat, c.c_acctbal / 2 AS lon,
+         c.c_name AS operator, o.o_orderdate AS cd,
+         CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE o.o_orderdate + INTERVAL 45 DAY END AS fpd
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+h AS (
+  SELECT DISTINCT api, play, lat, lon, operator, minDate FROM (
+    SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY fpd DESC NULLS LAST, cd DESC NULLS LAST) AS dr,
+           MIN(fpd) OVER (PARTITION BY api) AS minDate FROM eh WHERE api > '0') x WHERE dr = 1)
+SELECT DISTINCT cl.API, completionId, upper(h.play) AS play, lat AS latitude, lon AS longitude, minDate AS firstProductionDate,
+  operator AS currentOperator, upper(purpose) AS "filingPrupose", casingType, casingSize, holeSize, casingBottom, casingTop,
+  casingWeight, cementAmount, cementClass, cementTop, upper(tocBy) AS cementTopSource, slurryVolume,
+  CASE WHEN casingBottom > casingTop THEN casingBottom - casingTop END AS casingLength
+FROM cl JOIN h ON h.api = cl.API
+WHERE casingSize IS NOT NULL OR holeSize IS NOT NULL OR casingBottom IS NOT NULL OR casingTop IS NOT NULL
+   OR casingWeight IS NOT NULL OR cementAmount IS NOT NULL OR cementClass IS NOT NULL OR cementTop IS NOT NULL
+   OR tocBy IS NOT NULL OR slurryVolume IS NOT NULL
+""")
+def piping_job(spark, sf):
+    o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    li, col = _t(spark, sf, "lineitem"), F.col
+    wells = o.join(c, c["c_custkey"] == o["o_custkey"])
+    nation = col("n_nationkey") % 3
+    cmp_header = wells.join(n, n["n_nationkey"] == c["c_nationkey"]).select(
+        col("o_custkey").cast("string").alias("API10"), col("o_orderkey").cast("string").alias("CompletionID"),
+        col("o_orderpriority").alias("PurposeOfFiling"),
+        F.when(nation == 0, "texas ").when(nation == 1, "Oklahoma").otherwise(col("n_name")).alias("state_name"),
+        col("o_orderdate").alias("CompletionDate"))
+    flag, status, line = col("l_returnflag"), col("l_linestatus"), col("l_linenumber")
+    cmp_pipe = li.select(
+        F.when(line == 7, "-1").otherwise(col("l_orderkey").cast("string")).alias("CompletionID"),
+        F.when(flag == "R", "casing ").when(flag == "A", None).otherwise("Liner hanger").alias("CasingRecordType"),
+        F.when(status == "O", "surface").otherwise("other").alias("StringType"),
+        (line.cast("double") * 20 - 20).alias("CasingSize"), (col("l_quantity") * 2.5).alias("HoleSize"),
+        col("l_quantity").alias("CasingBottom"), ((line - 1).cast("double") * 5).alias("CasingTop"),
+        (col("l_extendedprice") / 100).alias("CasingWeight"), col("l_tax").alias("CementAmount"),
+        F.when(flag == "N", "unknown").otherwise(flag).alias("CementClass"), col("l_discount").alias("TopOfCement"),
+        F.when(status == "O", "Unknown ").otherwise("log").alias("TopCementDeterminedBy"),
+        (col("l_discount") * 10).alias("SlurryVolume"))
+    esp_header = wells.select(
+        col("o_custkey").cast("string").alias("api"), F.lower("c_mktsegment").alias("play"),
+        col("c_acctbal").alias("latitude27"), (col("c_acctbal") / 2).alias("longitude27"), col("c_name").alias("operator"),
+        F.when(col("o_orderpriority") == "5-LOW", None)
+        .otherwise(F.timestamp_add("DAY", F.lit(45), col("o_orderdate"))).alias("firstProductionDate"),
+        col("o_orderdate").alias("completionDate"))
+    return piping.build(cmp_header, cmp_pipe, esp_header)
+
+
 # --------------------------------------------------------------------------
 # Flagship: the well-header mart on the role-mapped tables
 # --------------------------------------------------------------------------
@@ -1116,19 +1207,19 @@ def mart_inputs(spark, sf):
         F.when(col("c_acctbal") > 0, col("c_acctbal")).alias("proppantLbs"),
         F.when(col("c_acctbal") > 5000, col("c_acctbal")).alias("treatmentBbls")))
     lo = li.join(o.select("o_orderkey", "o_custkey"), col("o_orderkey") == col("l_orderkey"))
-    frac = (lo.where(col("l_quantity") > 25).join(p, p["p_partkey"] == col("l_partkey")).select(
+    frac = (lo.join(p, p["p_partkey"] == col("l_partkey")).select(
         col("o_custkey").cast("string").alias("api10"),
         F.when(col("l_returnflag") == "R", "PROPPANT").otherwise(F.upper("p_type")).alias("materialType"),
         col("p_type").alias("proppantType"),
         F.upper(F.split_part(col("p_name"), F.lit(" "), F.lit(1))).alias("treatmentType"),
         col("p_size").cast("string").alias("proppantMeshSize"), F.upper("p_name").alias("materialName"),
         col("l_quantity").alias("cumWaterBbl")))
-    piping = lo.where(col("l_returnflag").isin("R", "A") & (col("l_discount") > 0.05)).select(
+    piping = lo.where(col("l_returnflag").isin("R", "A")).select(
         col("o_custkey").cast("string").alias("API"),
         F.when(col("l_returnflag") == "R", "surface").otherwise("PRODUCTION").alias("casingType"),
         col("l_extendedprice").alias("casingBottom"))
     gas, oil, water = col("l_extendedprice"), col("l_quantity"), col("l_linenumber").cast("double")
-    tests = lo.where((col("l_returnflag") == "N") & (col("l_tax") > 0.04)).select(
+    tests = lo.where(col("l_returnflag") == "N").select(
         col("o_custkey").cast("string").alias("api"), col("l_shipdate").alias("completionDate"),
         col("l_linestatus").alias("testFormation"), gas.alias("24HourGas"), oil.alias("24HourOil"),
         water.alias("24HourWater"), guarded_ratio(gas, oil).alias("24HourGasOilRatio"),
@@ -1137,7 +1228,8 @@ def mart_inputs(spark, sf):
         F.upper("l_returnflag").alias("producingMethod"), typed_null("string").alias("pumpType"),
         (gas / 10).alias("bottomHoleTemp"), typed_null("double").alias("bottomHoleTempDepth"),
         col("l_linenumber").cast("string").alias("chokeSize"), typed_null("double").alias("dryGasGravity"))
-    tests = dense_rank_by(tests, ["api"], ["completionDate"], "dateRank")
+    # The mart joins rank 1 only, and every well with a test has one.
+    tests = top_group(tests, ["api"], ["completionDate"]).withColumn("dateRank", F.lit(1).cast("bigint"))
     return header, frac, piping, tests
 
 
@@ -1162,12 +1254,12 @@ frac AS (
          p.p_type AS proppantType, upper(split_part(p.p_name, ' ', 1)) AS treatmentType,
          CAST(p.p_size AS VARCHAR) AS proppantMeshSize, upper(p.p_name) AS materialName,
          lo.l_quantity AS cumWaterBbl
-  FROM lo JOIN part p ON p.p_partkey = lo.l_partkey WHERE lo.l_quantity > 25),
+  FROM lo JOIN part p ON p.p_partkey = lo.l_partkey),
 piping AS (
   SELECT CAST(o_custkey AS VARCHAR) AS API,
          CASE WHEN l_returnflag = 'R' THEN 'surface' ELSE 'PRODUCTION' END AS casingType,
          l_extendedprice AS casingBottom
-  FROM lo WHERE l_returnflag IN ('R', 'A') AND l_discount > 0.05),
+  FROM lo WHERE l_returnflag IN ('R', 'A')),
 wt0 AS (
   SELECT CAST(o_custkey AS VARCHAR) AS api, l_shipdate AS completionDate, l_linestatus AS testFormation,
          l_extendedprice AS "24HourGas", l_quantity AS "24HourOil", CAST(l_linenumber AS DOUBLE) AS "24HourWater",
@@ -1179,7 +1271,7 @@ wt0 AS (
          CAST(NULL AS VARCHAR) AS pumpType, l_extendedprice / 10 AS bottomHoleTemp,
          CAST(NULL AS DOUBLE) AS bottomHoleTempDepth, CAST(l_linenumber AS VARCHAR) AS chokeSize,
          CAST(NULL AS DOUBLE) AS dryGasGravity
-  FROM lo WHERE l_returnflag = 'N' AND l_tax > 0.04),
+  FROM lo WHERE l_returnflag = 'N'),
 wt AS (SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY completionDate DESC NULLS LAST) AS dateRank FROM wt0),
 ms AS (
   SELECT api10,
