@@ -52,3 +52,50 @@ def test_batch_run_writes_all_outputs(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError):
         batch.run(spark, Catalog(raw=raw, live=live, stage=stage2), ["nope"])
+
+
+def test_session_settings_are_kept_and_cuts_are_dropped(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from wellmart import session
+    from wellmart.sources import sinks
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "123456")
+    try:
+        session.configure(spark)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "123456"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(RuntimeError, match="share"):
+        session.ensure_checkpoint_dir(Cluster)
+
+    held = len(sinks.CUTS)
+    assert sinks.cut_lineage(spark.range(5).toDF("x"), "t").count() == 5
+    path = sinks.CUTS[-1].removeprefix("file:")
+    assert os.path.isdir(path)
+    sinks.drop_cuts(spark, held)
+    assert not os.path.isdir(path) and len(sinks.CUTS) == held
+
+
+def test_null_keys_collect_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from wellmart.operators.lists import distinct_list
+
+    df = spark.range(2000).select(F.when(F.col("id") % 10 == 0, F.lit("w")).alias("k"), F.concat(F.lit(", i"), F.col("id") % 50).alias("item"))
+    got = {r["k"]: r["l"] for r in distinct_list(df, ["k"], F.col("item"), "l").collect()}
+    assert got == {None: None, "w": "i0, i10, i20, i30, i40"}
+    plan = distinct_list(df, ["k"], F.col("item"), "l")._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull" in plan.lower()

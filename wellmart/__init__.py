@@ -6,7 +6,6 @@ Layout
   sources/     typed scans and full-refresh sinks
   plans/       the four jobs (piping, frac detail, well test, header mart) and
                the driver queries that run the operators on the benchmark tables
-  streaming/   nothing to build: the jobs are full-refresh batch loads
 """
 
 __version__ = "0.1.0"

@@ -8,6 +8,7 @@ and the SQL confs below, which they never override when already set.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,8 +41,12 @@ DEFAULT_CONF = {
 
 
 def configure(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
-    """Apply JOB_SQL_CONF (plus overrides) to an existing session, e.g. a cluster's."""
-    for k, v in {**JOB_SQL_CONF, **(overrides or {})}.items():
+    """Set what the session leaves unset of JOB_SQL_CONF, and ``overrides`` in any case."""
+    given = spark.conf.getAll
+    for k, v in JOB_SQL_CONF.items():
+        if k not in given:
+            spark.conf.set(k, v)
+    for k, v in (overrides or {}).items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
@@ -70,8 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     A cluster names shared storage in ``spark.checkpoint.dir``; that value is
-    used as is. Only when it is unset (local tests) a fresh scratch folder is
-    created under /tmp.
+    used as is. When it is unset, a ``local`` master (one machine, as in tests)
+    gets a fresh scratch folder under /tmp; any other master is an error, as
+    executors would write to disks that others do not see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -79,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="wellmart-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path

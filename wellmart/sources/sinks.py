@@ -12,7 +12,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: Paths of the intermediates written by this process and not yet dropped.
+CUTS: list[str] = []
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
@@ -39,5 +42,15 @@ def checkpoint_root(df: DataFrame) -> str:
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` under the checkpoint directory and return the table read back."""
     path = f"{checkpoint_root(df)}/wellmart/{name}-{uuid.uuid4().hex}"
+    CUTS.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_cuts(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediates written after the first ``since``; nothing may read them any more."""
+    paths = CUTS[since:]
+    del CUTS[since:]
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
