@@ -25,7 +25,7 @@ from .common import texts
 
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_NODES = 1_500_000
+MAX_NODES = 600_000
 
 
 def load_pieces(path: str = VOCABULARY) -> dict[str, float]:
