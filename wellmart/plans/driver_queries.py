@@ -39,7 +39,7 @@ from wellmart.operators.lists import distinct_list, prefixed
 from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
 from wellmart.operators.setops import keys_only_in_each, union_all, union_distinct
-from wellmart.plans import header_mart, piping
+from wellmart.plans import frac_detail, header_mart, piping, well_test
 from wellmart.plans.frac_detail import (
     completion_summary,
     disclosure_unit,
@@ -949,6 +949,23 @@ def mesh_classify(spark, sf):
 _EXCLUDED_SQL = ", ".join(f"'{t.upper()}'" for t in rules.LIST_EXCLUDED_TYPES)
 
 
+_TREATMENT_CASE_SQL = """CASE WHEN m LIKE '%FRICTION REDUCER%'
+              AND (m LIKE '%GELLING AGENT%' OR m LIKE '% GEL%' OR m LIKE '%GELLED%' OR m LIKE '%MGEL%' OR m LIKE '%GELW%')
+              AND (m LIKE '%CROSSLINKER%' OR m LIKE '%X-LINK%' OR m LIKE '%X LINK%') AND m LIKE '%ACID%' THEN 'HYBRID'
+         WHEN m NOT LIKE '%BASE CARRIER, WATER%'
+              AND (m LIKE '%PROPANE %' OR m LIKE '%PROPANE, %' OR m LIKE '%GAS FRAC%') THEN 'GAS FRAC'
+         WHEN (m LIKE '%BASE CARRIER, ACID%' OR m LIKE '%BASE CARRIER, 15%ACID%' OR m LIKE '%BASE CARRIER, GEL%ACID%'
+               OR m LIKE '%ACID FRAC%') AND NOT (rtrim(m) LIKE 'PROPPANT') THEN 'ACID FRAC'
+         WHEN (m LIKE '%BASE CARRIER, NITROGEN%' OR m LIKE '%BASE CARRIER, CO2%' OR m LIKE '%BASE CARRIER, CARBON%')
+              OR (m LIKE '%FOAM%' AND (m LIKE '%CO2%' OR rtrim(m) LIKE '%CARBON%DIOXIDE' OR m LIKE '%NITROGEN%'))
+              OR (m LIKE '%ENERGIZED%' OR m LIKE '%ENERGIZER%') THEN 'ENERGIZED'
+         WHEN (m LIKE '%GELLING AGENT%' AND m LIKE '%CROSSLINKER%') AND NOT (m LIKE '%FRICTION REDUCER%')
+           THEN 'CONVENTIONAL'
+         WHEN (m LIKE '%BASE CARRIER, WATER%' AND m LIKE '%FRICTION REDUCER%' AND m NOT LIKE '%CROSSLINKER%')
+              OR m LIKE '%SLICKWATER%' THEN 'WATER FRAC'
+         ELSE 'UNKNOWN' END"""
+
+
 @register("treatment_classify", f"""
 WITH u AS (
   SELECT l.l_orderkey, l.l_linenumber, o.o_custkey AS api10, l.l_orderkey AS completionId,
@@ -964,21 +981,7 @@ g AS (
 m AS (SELECT api10, completionId, upper(CASE WHEN s IS NULL OR s = '' THEN NULL ELSE substr(s, 2) END) AS m FROM g),
 t AS (
   SELECT api10, completionId,
-    CASE WHEN m LIKE '%FRICTION REDUCER%'
-              AND (m LIKE '%GELLING AGENT%' OR m LIKE '% GEL%' OR m LIKE '%GELLED%' OR m LIKE '%MGEL%' OR m LIKE '%GELW%')
-              AND (m LIKE '%CROSSLINKER%' OR m LIKE '%X-LINK%' OR m LIKE '%X LINK%') AND m LIKE '%ACID%' THEN 'HYBRID'
-         WHEN m NOT LIKE '%BASE CARRIER, WATER%'
-              AND (m LIKE '%PROPANE %' OR m LIKE '%PROPANE, %' OR m LIKE '%GAS FRAC%') THEN 'GAS FRAC'
-         WHEN (m LIKE '%BASE CARRIER, ACID%' OR m LIKE '%BASE CARRIER, 15%ACID%' OR m LIKE '%BASE CARRIER, GEL%ACID%'
-               OR m LIKE '%ACID FRAC%') AND NOT (rtrim(m) LIKE 'PROPPANT') THEN 'ACID FRAC'
-         WHEN (m LIKE '%BASE CARRIER, NITROGEN%' OR m LIKE '%BASE CARRIER, CO2%' OR m LIKE '%BASE CARRIER, CARBON%')
-              OR (m LIKE '%FOAM%' AND (m LIKE '%CO2%' OR rtrim(m) LIKE '%CARBON%DIOXIDE' OR m LIKE '%NITROGEN%'))
-              OR (m LIKE '%ENERGIZED%' OR m LIKE '%ENERGIZER%') THEN 'ENERGIZED'
-         WHEN (m LIKE '%GELLING AGENT%' AND m LIKE '%CROSSLINKER%') AND NOT (m LIKE '%FRICTION REDUCER%')
-           THEN 'CONVENTIONAL'
-         WHEN (m LIKE '%BASE CARRIER, WATER%' AND m LIKE '%FRICTION REDUCER%' AND m NOT LIKE '%CROSSLINKER%')
-              OR m LIKE '%SLICKWATER%' THEN 'WATER FRAC'
-         ELSE 'UNKNOWN' END AS treatmentType
+    {_TREATMENT_CASE_SQL} AS treatmentType
   FROM m)
 SELECT u.l_orderkey, u.l_linenumber, t.treatmentType
 FROM u LEFT JOIN t ON t.api10 = u.api10 AND t.completionId = u.completionId
@@ -1319,3 +1322,349 @@ def header_mart_q(spark, sf):
     header, frac, piping, tests = mart_inputs(spark, sf)
     # A driver query stays lazy (no writes while the plan is built).
     return header_mart.build(header, frac, piping, tests, columns=MART_COLUMNS, materialize=False)
+
+
+# --------------------------------------------------------------------------
+# Whole jobs on the role-mapped tables: a well holds two orders (its
+# completions), a line item is a material row or a test by its return flag
+# --------------------------------------------------------------------------
+
+_SQL_TYPES = {"string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "int": "INTEGER",
+              "bigint": "BIGINT"}
+
+
+def _well(key):
+    return F.floor(F.col(key) / 2).cast("string")
+
+
+def _days(n, column):
+    return F.timestamp_add("DAY", F.lit(n), F.col(column))
+
+
+def _layout_sql(cols, layout):
+    """SELECT list in ``layout`` order: given expressions cast to the type, others typed NULL."""
+    return ", ".join(f'CAST({cols.get(n, "NULL")} AS {_SQL_TYPES[t]}) AS "{n}"' for n, t in layout)
+
+
+_JOB_HEADER_SQL = """
+  SELECT CAST(o_orderkey // 2 AS VARCHAR) AS API10,
+         CASE WHEN o_orderkey = 1 THEN '-1' ELSE CAST(o_orderkey AS VARCHAR) END AS cid, o_orderpriority AS purpose,
+         o_orderstatus AS form, c_name, c_mktsegment, n_name, o_totalprice, o_orderdate AS cdate,
+         CASE n_nationkey % 4 WHEN 0 THEN 'texas ' WHEN 1 THEN 'Oklahoma' WHEN 2 THEN 'LOUISIANA' ELSE n_name END AS state,
+         CASE WHEN o_orderkey % 50 = 0 THEN TIMESTAMP '1950-06-01' WHEN o_orderpriority = '5-LOW' THEN NULL
+              ELSE o_orderdate + INTERVAL 20 DAY END AS fpd
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"""
+
+_JOB_ESP_SQL = """
+  SELECT * FROM (SELECT *, MIN(fpd) OVER (PARTITION BY api) AS minDate, ROW_NUMBER() OVER (PARTITION BY api
+      ORDER BY fpd DESC NULLS LAST, play DESC NULLS LAST, lat DESC NULLS LAST, lon DESC NULLS LAST, tvd DESC NULLS LAST,
+               stages DESC NULLS LAST, alias DESC NULLS LAST, operator DESC NULLS LAST) AS rn
+    FROM (SELECT CASE WHEN o_orderkey % 10 = 7 THEN NULL ELSE CAST(o_orderkey // 2 AS VARCHAR) END AS api,
+                 c_mktsegment AS play, c_acctbal AS lat, c_acctbal / 2 AS lon, o_totalprice AS tvd,
+                 n_nationkey AS stages, lower(c_mktsegment) AS alias, c_name AS operator,
+                 CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate + INTERVAL 45 DAY END AS fpd
+          FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey) e
+    WHERE api > '0') x WHERE rn = 1"""
+
+
+def _job_headers(spark, sf):
+    """(completion header, published header) rows of the whole orders table."""
+    o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    col = F.col
+    wells = o.join(c, c["c_custkey"] == o["o_custkey"]).join(n, n["n_nationkey"] == c["c_nationkey"])
+    nation, key, low = col("n_nationkey") % 4, col("o_orderkey"), col("o_orderpriority") == "5-LOW"
+    cmp_header = wells.select(
+        _well("o_orderkey").alias("API10"), F.when(key == 1, "-1").otherwise(key.cast("string")).alias("CompletionID"),
+        col("o_orderpriority").alias("PurposeOfFiling"), col("o_orderstatus").alias("TypeOfCompletion"),
+        col("o_orderstatus").alias("FormType"),
+        F.when(nation == 0, "texas ").when(nation == 1, "Oklahoma").when(nation == 2, "LOUISIANA")
+        .otherwise(col("n_name")).alias("state_name"),
+        col("o_orderdate").alias("CompletionDate"), _days(-30, "o_orderdate").alias("CompletionSpudDate"),
+        F.when(key % 50 == 0, _ts("1950-06-01 00:00:00")).when(low, None)
+        .otherwise(_days(20, "o_orderdate")).alias("FirstProducedDate"),
+        col("o_totalprice").alias("TotalDepthMD"), (col("o_totalprice") / 2).alias("TotalDepthTVD"),
+        col("c_mktsegment").alias("Reservoir"), _days(-60, "o_orderdate").alias("DateDrillingCommenced"),
+        _days(-40, "o_orderdate").alias("DateDrillingCompleted"), col("c_name").alias("DrillingContractor"),
+        col("n_name").alias("PipelineConnection"), col("o_orderstatus").alias("Remarks"))
+    esp_header = wells.select(
+        F.when(key % 10 == 7, None).otherwise(_well("o_orderkey")).alias("api"), col("c_mktsegment").alias("play"),
+        col("c_acctbal").alias("latitude27"), (col("c_acctbal") / 2).alias("longitude27"),
+        col("c_acctbal").alias("upperPerforation"), (col("c_acctbal") / 2).alias("lowerPerforation"),
+        col("o_totalprice").alias("tvd"), col("n_nationkey").alias("stages"),
+        F.lower("c_mktsegment").alias("reservoirAlias"), col("c_name").alias("operator"),
+        F.when(low, None).otherwise(_days(45, "o_orderdate")).alias("firstProductionDate"))
+    return cmp_header, esp_header
+
+
+_JOB_TYPE_WORD_SQL = _pick_sql(TREATMENT_TYPE_WORDS, "l_partkey")
+_JOB_NAME_SQL = (f"{_pick_sql(TREATMENT_NAME_WORDS, 'l_suppkey')} || ' ' || {_pick_sql(TRADE_WORDS, 'l_partkey')} "
+                 f"|| ' ' || {_pick_sql(MESH_GRADES, 'l_partkey')}")
+_JOB_UNIT_SQL = "CASE l_linenumber % 4 WHEN 0 THEN 'GAL' WHEN 1 THEN 'bbl ' WHEN 2 THEN 'unknown ' ELSE 'lb' END"
+_JOB_TYPE_SQL = f"CASE WHEN l_suppkey % 3 = 0 THEN 'Proppant ' ELSE {_JOB_TYPE_WORD_SQL} END"
+
+_DISCLOSURE_SQL = _layout_sql({
+    "fracDetailId": "did", "api10": "API", "api14": "substr(ffapi, 1, 14)", "completionId": "did",
+    "spudDate": "l_shipdate - INTERVAL 90 DAY",
+    "firstProducedDate": "CASE WHEN minFP >= TIMESTAMP '1951-01-01' THEN minFP END",
+    "completionDate": "l_shipdate", "filingPurpose": "'FRACFOCUS'", "jobStartDate": "l_shipdate - INTERVAL 1 DAY",
+    "jobEndDate": "l_shipdate", "measuredDepth": "coalesce(md, o_totalprice)", "trueVerticalDepth": "o_totalprice / 2",
+    "formation": "c_mktsegment", "ingredientId": "l_partkey", "CASNumber": "l_linestatus", "materialName": "upper(nm)",
+    "materialAmount": "l_quantity", "materialUnit": "CASE WHEN upper(rtrim(unit)) = 'LB' THEN 'LBS' ELSE upper(unit) END",
+    "materialType": "upper(ty)", "purposeId": "l_suppkey",
+    "purposeDescription": "CASE WHEN upper(rtrim(pd)) IN ('NULL', 'UNKNOWN', '') THEN NULL ELSE pd END",
+    "supplierId": "l_suppkey", "supplierName": "upper(sup)",
+    "proppantType": "CASE WHEN resin = 'Y' THEN 'RESIN COATED' WHEN art = 'Y' THEN 'ARTIFICIAL' "
+                    "WHEN sand = 'Y' THEN 'SAND' WHEN upper(rtrim(ty)) = 'PROPPANT' THEN 'UNKNOWN' END",
+    "proppantMeshSize": "CASE WHEN rtrim(tmesh) <> '' THEN tmesh WHEN rtrim(imesh) <> '' THEN imesh "
+                        "WHEN upper(rtrim(ty)) = 'PROPPANT' THEN 'UNKNOWN' END",
+    "sandQuality": "CASE WHEN rtrim(l_returnflag) <> '' THEN l_returnflag END", "tradeId": "l_partkey",
+    "tradeName": "nm", "materialDisclosueStatus": "'OPEN'", "disclosureId": "l_orderkey",
+    "percentHighAdditive": "l_tax", "materialAmountPercent": "l_discount", "materialMatchingStrategy": "'EXACT'",
+    "materialMatchingPercentConfidence": "l_tax", "drillingCommencedDate": "cdate - INTERVAL 60 DAY",
+    "drillingCompletedDate": "cdate - INTERVAL 40 DAY", "drillingContractor": "c_name", "pipelineConnection": "n_name",
+    "sourceColumn": "CASE l_linenumber WHEN 1 THEN 'FF 1' WHEN 2 THEN 'FF 2' WHEN 3 THEN 'FF 3' ELSE 'FF' END",
+}, frac_detail.LAYOUT)
+_STATE_SQL = _layout_sql({
+    "fracDetailId": "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", "api10": "API10",
+    "completionId": "h.cid", "spudDate": "cdate - INTERVAL 30 DAY", "firstProducedDate": "fpd", "completionDate": "cdate",
+    "filingPurpose": "upper(purpose)", "completionType": "upper(form)", "jobStartDate": "l_shipdate",
+    "jobEndDate": "l_shipdate + INTERVAL 2 DAY", "depthIntervalFrom": "CASE WHEN l_linenumber > 3 THEN l_quantity END",
+    "depthIntervalTo": "CASE WHEN l_linenumber > 3 THEN l_quantity * 2 END",
+    "isSummary": "CASE l_linenumber % 3 WHEN 0 THEN 'YES' WHEN 1 THEN 'NO' ELSE 'PARTIAL' END",
+    "stageNumber": "CASE WHEN stage = -1 THEN NULL ELSE stage END",
+    "numberOfStages": "CASE WHEN stages IS NULL AND stage <> -1 AND stage IS NOT NULL THEN maxStage ELSE stages END",
+    "measuredDepth": "o_totalprice", "trueVerticalDepth": "o_totalprice / 2", "formation": "fm", "materialName": "nm",
+    "materialAmount": "l_quantity",
+    "materialUnit": "CASE WHEN upper(rtrim(unit)) IN ('NULL', 'UNKNOWN', '') THEN NULL ELSE unit END",
+    "materialType": "upper(ty)", "supplierName": _vendor_sql(), "proppantType": _ptype_sql(),
+    "proppantMeshSize": _mesh_sql(), "drillingCommencedDate": "cdate - INTERVAL 60 DAY",
+    "drillingCompletedDate": "cdate - INTERVAL 40 DAY", "drillingContractor": "c_name", "pipelineConnection": "n_name",
+    "remarks": "form", "sourceColumn": "'STATE ANGENCY'",
+}, frac_detail.LAYOUT)
+
+
+@register("frac_detail_job", f"""
+WITH hd AS ({_JOB_HEADER_SQL}),
+eh AS ({_JOB_ESP_SQL}),
+ff AS (
+  SELECT *, CAST(l_orderkey AS VARCHAR) AS did, CAST(l_orderkey // 2 AS VARCHAR) AS API,
+    CAST(10000000000000 + l_orderkey AS VARCHAR) || '99' AS ffapi, CASE WHEN l_linenumber > 2 THEN l_quantity END AS md,
+    {_JOB_NAME_SQL} AS nm, {_JOB_TYPE_SQL} AS ty, {_JOB_UNIT_SQL} AS unit,
+    CASE l_linenumber % 3 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'carries' ELSE NULL END AS pd,
+    CASE l_suppkey % 4 WHEN 0 THEN 'lookup operator name in header ' WHEN 1 THEN NULL WHEN 2 THEN 'n/a'
+         ELSE 'Supplier ' || CAST(l_suppkey AS VARCHAR) END AS sup,
+    CASE WHEN l_linenumber = 1 THEN 'Y' ELSE 'N' END AS resin, CASE WHEN l_linenumber <= 2 THEN 'Y' END AS art,
+    CASE WHEN l_linenumber <= 4 THEN 'Y' END AS sand, CASE WHEN l_linenumber = 5 THEN '40/70' ELSE ' ' END AS tmesh,
+    CASE WHEN l_linenumber = 6 THEN '30/50' END AS imesh
+  FROM lineitem WHERE l_returnflag <> 'N'),
+fd AS (
+  SELECT *, MAX(stage) OVER (PARTITION BY l_orderkey // 2) AS maxStage, upper(nm) AS d,
+         coalesce(upper(rtrim(ty)) = 'PROPPANT', FALSE) AS g
+  FROM (SELECT *, {_JOB_NAME_SQL} AS nm, {_JOB_TYPE_SQL} AS ty, {_JOB_UNIT_SQL} AS unit,
+               CASE WHEN l_linenumber = 7 THEN 'none' ELSE CAST(l_orderkey AS VARCHAR) END AS cid,
+               CASE WHEN l_linenumber = 3 THEN -1 ELSE l_linenumber END AS stage,
+               CASE WHEN l_linestatus = 'F' THEN 9 END AS stages, CASE WHEN l_linenumber > 4 THEN l_linestatus END AS fm,
+               CASE WHEN l_linenumber = 2 THEN NULL ELSE 'contractor ' || CAST(l_suppkey AS VARCHAR) END AS contractor
+        FROM lineitem WHERE l_returnflag = 'N') x),
+u AS (
+  (SELECT DISTINCT {_DISCLOSURE_SQL}
+   FROM ff JOIN (SELECT *, MIN(fpd) OVER (PARTITION BY API10) AS minFP FROM hd) h ON h.API10 = ff.API)
+  UNION ALL
+  (SELECT DISTINCT {_STATE_SQL} FROM fd LEFT JOIN hd h ON h.cid = fd.cid)),
+it AS (
+  SELECT api10, completionId, materialAmount, coalesce(', ' || materialType, '') || coalesce(', ' || materialName, '') AS item,
+         upper(rtrim(materialType)) NOT IN ({_EXCLUDED_SQL}) AS listed FROM u),
+g AS (SELECT api10, completionId, string_agg(DISTINCT item, '' ORDER BY item) FILTER (WHERE listed) AS s,
+             SUM(materialAmount) AS total FROM it GROUP BY api10, completionId),
+t AS (SELECT api10, completionId, total, upper(CASE WHEN s = '' THEN NULL ELSE substr(s, 2) END) AS m FROM g)
+SELECT u.api10, e.play, u.completionId, fracDetailId, e.operator AS currentOperator, spudDate, completionDate,
+  CASE WHEN (year(firstProducedDate) - year(minDate)) * 12 + month(firstProducedDate) - month(minDate) BETWEEN -3 AND 0
+       THEN firstProducedDate ELSE minDate END AS firstProducedDate,
+  filingPurpose, completionType, jobStartDate, jobEndDate, coalesce(depthIntervalFrom, e.lat) AS depthIntervalFrom,
+  coalesce(depthIntervalTo, e.lon) AS depthIntervalTo, isSummary, stageNumber,
+  coalesce(numberOfStages, e.stages) AS numberOfStages, measuredDepth,
+  coalesce(trueVerticalDepth, e.tvd) AS trueVerticalDepth, coalesce(formation, e.alias) AS formation, ingredientId,
+  CASNumber, materialName, materialAmount, materialUnit, materialType, purposeId, purposeDescription, supplierId,
+  CASE WHEN upper(rtrim(supplierName)) IN ('LOOKUP OPERATOR NAME IN HEADER', 'OIPERATOR') THEN e.operator
+       WHEN supplierName IS NULL OR upper(rtrim(supplierName)) = 'N/A' THEN 'UNKNOWN' ELSE supplierName END AS supplierName,
+  proppantType, proppantMeshSize, sandQuality,
+  CASE WHEN u.api10 IS NOT NULL AND u.completionId IS NOT NULL THEN {_TREATMENT_CASE_SQL} END AS treatmentType,
+  CASE WHEN upper(materialName) NOT LIKE '%WATER%' THEN NULL
+       WHEN upper(rtrim(materialUnit)) = 'LB' THEN total / (8.33 * 42)
+       WHEN upper(rtrim(materialUnit)) = 'GAL' THEN total / 42
+       WHEN upper(rtrim(materialUnit)) = 'BBL' THEN total END AS cumWaterBbl,
+  tradeId, tradeName, materialDisclosueStatus, disclosureId, percentHighAdditive, materialAmountPercent,
+  materialMatchingPercentConfidence, drillingCommencedDate, drillingCompletedDate, drillingContractor,
+  pipelineConnection, remarks, sourceColumn
+FROM u LEFT JOIN eh e ON e.api = u.api10
+LEFT JOIN t ON t.api10 IS NOT DISTINCT FROM u.api10 AND t.completionId IS NOT DISTINCT FROM u.completionId
+""")
+def frac_detail_job(spark, sf):
+    cmp_header, esp_header = _job_headers(spark, sf)
+    li, col = _t(spark, sf, "lineitem"), F.col
+    line, supp, part = col("l_linenumber"), col("l_suppkey"), col("l_partkey")
+    name = F.concat_ws(" ", _pick(TREATMENT_NAME_WORDS, supp), _pick(TRADE_WORDS, part), _pick(MESH_GRADES, part))
+    kind = F.when(supp % 3 == 0, "Proppant ").otherwise(_pick(TREATMENT_TYPE_WORDS, part))
+    unit = (F.when(line % 4 == 0, "GAL").when(line % 4 == 1, "bbl ").when(line % 4 == 2, "unknown ").otherwise("lb"))
+    ff = li.where(col("l_returnflag") != "N").select(
+        col("l_orderkey").cast("string").alias("DRWellID"), _well("l_orderkey").alias("API"),
+        F.concat((col("l_orderkey") + 10000000000000).cast("string"), F.lit("99")).alias("FFAPI14"),
+        _days(-90, "l_shipdate").alias("FirstSpuddate"), _days(-1, "l_shipdate").alias("JobStartDate"),
+        col("l_shipdate").alias("JobEndDate"), F.when(line > 2, col("l_quantity")).alias("MD"),
+        part.alias("IngredientID"), col("l_linestatus").alias("CasNumber"), name.alias("IngredientName"),
+        col("l_quantity").alias("CalcIngredientMass"), unit.alias("IngredientMassUOM"), kind.alias("PurposeName"),
+        supp.alias("PurposeID"),
+        F.when(line % 3 == 0, "Unknown").when(line % 3 == 1, "carries").alias("PurposeDescription"),
+        supp.alias("SupplierID"),
+        F.when(supp % 4 == 0, "lookup operator name in header ").when(supp % 4 == 1, None).when(supp % 4 == 2, "n/a")
+        .otherwise(F.concat(F.lit("Supplier "), supp.cast("string"))).alias("SupplierName"),
+        F.when(line == 1, "Y").otherwise("N").alias("IngredientIsResinCoated"), F.lit("N").alias("TradeIsResinCoated"),
+        F.when(line <= 2, "y").alias("IngredientIsArtificial"), typed_null("string").alias("TradeIsArtificial"),
+        typed_null("string").alias("IngredientIsSand"), F.when(line <= 4, "Y ").alias("TradeIsSand"),
+        F.when(line == 5, "40/70").otherwise(" ").alias("TradeSandMeshSize"),
+        F.when(line == 6, "30/50").alias("IngredientSandMeshSize"), F.lit("").alias("TradeSandQuality"),
+        col("l_returnflag").alias("IngredientSandQuality"), part.alias("TradeID"), name.alias("TradeName"),
+        F.lit("open").alias("DisclosureStatus"), col("l_orderkey").alias("DisclosureID"),
+        col("l_tax").alias("PercentHighAdditive"), col("l_discount").alias("IngredientHFJobPercent"),
+        F.lit("exact").alias("MatchingStrategy"), col("l_tax").alias("PercentofConfidence"), line.alias("FFVersion"))
+    fd = li.where(col("l_returnflag") == "N").select(
+        F.concat_ws("-", col("l_orderkey").cast("string"), line.cast("string")).alias("cmpFracDetailId"),
+        _well("l_orderkey").alias("API10"),
+        F.when(line == 7, "none").otherwise(col("l_orderkey").cast("string")).alias("CompletionID"),
+        col("l_shipdate").alias("BeginDateTime"), _days(2, "l_shipdate").alias("EndDateTime"),
+        F.when(line > 3, col("l_quantity")).alias("DepthIntervalFrom"),
+        F.when(line > 3, col("l_quantity") * 2).alias("DepthIntervalTo"),
+        F.when(line % 3 == 0, "1").when(line % 3 == 1, "0 ").otherwise("partial").alias("isSummary"),
+        F.when(line == 3, -1).otherwise(line).alias("StageNumber"),
+        F.when(col("l_linestatus") == "F", 9).alias("numberOfStages"),
+        F.when(line > 4, col("l_linestatus")).alias("stimulatedFormation"), name.alias("materialDescription"),
+        col("l_quantity").alias("materialAmount"), unit.alias("materialUnit"), kind.alias("materialType"),
+        F.when(line == 2, None).otherwise(F.concat(F.lit("contractor "), supp.cast("string"))).alias("contractorName"))
+    # A driver query stays lazy (no writes while the plan is built).
+    return frac_detail.build(ff, cmp_header, fd, esp_header, materialize=False)
+
+
+_JOB_IP_SQL = """
+  SELECT *, CASE WHEN l_linenumber = 7 THEN '-1' ELSE CAST(l_orderkey AS VARCHAR) END AS ipid, l_shipdate AS tdate,
+    CASE WHEN l_linestatus = 'O' THEN '24 HRS' ELSE '12' END AS dur,
+    CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity + 0.75 END AS grav, l_quantity * 10 AS tg,
+    CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS oil24,
+    CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_quantity END AS gas24,
+    CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_discount END AS water24,
+    CASE WHEN l_returnflag = 'A' THEN NULL WHEN l_linenumber = 3 THEN '0.0/64'
+         ELSE 'c' || CAST(l_linenumber AS VARCHAR) END AS choke,
+    CASE WHEN l_discount > 0.03 THEN l_discount END AS casing, l_tax AS tubing,
+    CASE WHEN l_linestatus = 'O' THEN 'N/A ' WHEN l_linenumber = 1 THEN 'unknown' ELSE 'Rod' END AS pump
+  FROM lineitem"""
+
+
+@register("well_test_job", f"""
+WITH hd AS ({_JOB_HEADER_SQL}),
+eh AS ({_JOB_ESP_SQL}),
+ip AS ({_JOB_IP_SQL}),
+pt AS (SELECT *, coalesce(oil24, 0) + CASE WHEN l_linenumber = 5 THEN 1 ELSE 0 END AS poil, coalesce(gas24, 0) AS pgas,
+              coalesce(choke, '0') AS pchoke FROM ip WHERE ipid <> '-1'),
+a AS (
+  SELECT DISTINCT API10 AS API, cid, purpose, state, cdate, tdate, dur, grav, tg,
+    CASE WHEN (la OR mt) AND oil24 IS NULL THEN l_extendedprice WHEN oil24 IS NULL AND gas24 IS NOT NULL THEN 0
+         ELSE oil24 END AS oil,
+    CASE WHEN (la OR mt) AND gas24 IS NULL THEN tg WHEN oil24 IS NOT NULL AND gas24 IS NULL THEN 0 ELSE gas24 END AS gas,
+    CASE WHEN (la OR mt) AND water24 IS NULL THEN l_tax
+         WHEN water24 IS NULL AND oil24 IS NOT NULL AND gas24 IS NOT NULL THEN 0 ELSE water24 END AS water,
+    CASE WHEN choke LIKE '0.0%' THEN NULL ELSE choke END AS choke, NULL AS fm, casing, tubing,
+    CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'FLOWING' END AS pm,
+    CASE WHEN pump = 'unknown' THEN NULL ELSE upper(pump) END AS pump, l_extendedprice AS toil, l_tax AS twater
+  FROM (SELECT *, upper(rtrim(state)) = 'LOUISIANA' AS la,
+               upper(rtrim(state)) IN ('MONTANA', 'TEXAS') AND dur LIKE '24%' AS mt FROM hd JOIN ip ON ipid = cid) x
+  WHERE upper(rtrim(state)) IN ('LOUISIANA', 'MONTANA', 'NEW MEXICO', 'NORTH DAKOTA', 'TEXAS', 'WYOMING') AND ipid <> '-1'),
+b AS (
+  SELECT DISTINCT API10 AS API, cid, purpose, state, cdate, ip.tdate, ip.dur, ip.grav, ip.tg, ip.oil24, ip.gas24,
+    ip.water24, ip.choke, pt.l_returnflag AS fm, ip.casing, ip.tubing,
+    CASE WHEN ip.l_returnflag = 'N' THEN NULL ELSE 'FLOWING' END AS pm,
+    CASE WHEN ip.pump = 'unknown' THEN NULL ELSE upper(ip.pump) END AS pump, ip.l_extendedprice AS toil, ip.l_tax AS twater
+  FROM hd JOIN ip ON ip.ipid = cid JOIN pt ON pt.ipid = ip.ipid AND coalesce(ip.gas24, 0) = pgas
+    AND coalesce(ip.oil24, 0) = poil AND coalesce(ip.water24, 0) = coalesce(pt.water24, 0)
+    AND upper(rtrim(coalesce(ip.choke, '0'))) = upper(pchoke) AND coalesce(ip.grav, 0) = coalesce(pt.grav, 0)
+    AND coalesce(ip.casing, 0) = coalesce(pt.casing, 0) AND ip.tubing = pt.tubing AND ip.tdate = pt.tdate
+  WHERE upper(rtrim(state)) = 'OKLAHOMA'),
+s AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+gm AS (SELECT CAST(l_orderkey // 2 AS VARCHAR) AS API, CAST(l_orderkey AS VARCHAR) AS cid,
+              CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS run, l_extendedprice AS vol
+       FROM lineitem WHERE l_returnflag = 'R'),
+ft AS (SELECT CAST(l_orderkey // 2 AS VARCHAR) AS API, CAST(l_orderkey AS VARCHAR) AS cid,
+              CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS run, 'T' || CAST(l_linenumber AS VARCHAR) AS ttime,
+              l_quantity AS temp, l_tax AS tdepth,
+              substr('choke size of the field test run, line ' || CAST(l_linenumber AS VARCHAR), 1, 34) AS choke,
+              l_discount AS dry, l_quantity + 0.5 AS liquid
+       FROM lineitem WHERE l_returnflag = 'A'),
+gk AS (SELECT API, cid FROM gm EXCEPT SELECT API, cid FROM ft),
+fk AS (SELECT API, cid FROM ft EXCEPT SELECT API, cid FROM gm),
+d AS (
+  SELECT API10 AS API, hd.cid, form, temp, tdepth, choke, dry, liquid, vol, ttime, ft.run AS frun, gm.run AS grun
+  FROM hd JOIN gm ON gm.cid = hd.cid AND gm.run = 1 JOIN ft ON ft.cid = hd.cid AND ft.run = 1
+  WHERE upper(rtrim(state)) = 'TEXAS' AND hd.cid <> '-1'
+  UNION ALL
+  SELECT gk.API, gk.cid, form, NULL, NULL, NULL, NULL, NULL, vol, NULL, NULL, gm.run
+  FROM gk JOIN hd ON hd.API10 = gk.API AND hd.cid = gk.cid JOIN gm ON gm.API = gk.API AND gm.cid = gk.cid AND gm.run = 1
+  UNION ALL
+  SELECT fk.API, fk.cid, form, temp, tdepth, choke, dry, liquid, NULL, ttime, ft.run, NULL
+  FROM fk JOIN hd ON hd.API10 = fk.API AND hd.cid = fk.cid JOIN ft ON ft.API = fk.API AND ft.cid = fk.cid AND ft.run = 1),
+j AS (
+  SELECT s.*, d.form, d.temp, d.tdepth, d.choke AS dchoke, d.dry, d.liquid, d.vol, d.ttime, d.frun, d.grun,
+         e.api AS hapi, e.play, e.lat, e.lon, e.minDate, e.operator, e.fpd
+  FROM s LEFT JOIN d ON d.API = s.API AND d.cid = s.cid LEFT JOIN eh e ON e.api = s.API
+  WHERE form IS NOT NULL OR gas IS NOT NULL OR oil IS NOT NULL OR water IS NOT NULL OR grav IS NOT NULL OR fm IS NOT NULL
+     OR temp IS NOT NULL OR tdepth IS NOT NULL OR d.choke IS NOT NULL OR dry IS NOT NULL OR liquid IS NOT NULL
+     OR ttime IS NOT NULL OR frun IS NOT NULL OR grun IS NOT NULL)
+SELECT API AS api, cid AS "completionId", play, lat AS latitude, lon AS longitude, minDate AS "firstProductionDate",
+  operator AS "currentOperator", cdate AS "completionDate", purpose AS "filingPurpose",
+  CASE WHEN tdate <= TIMESTAMP '1951-01-01' THEN NULL ELSE tdate END AS "testDate", state, fm AS "testFormation",
+  coalesce(gas, vol) AS "24HourGas", oil AS "24HourOil", water AS "24HourWater",
+  CASE WHEN gas > 0 AND oil > 0 THEN gas / oil END AS "24HourGasOilRatio",
+  CASE WHEN water > 0 AND oil > 0 THEN water / oil END AS "24HourWaterOilRatio",
+  coalesce(CAST(trunc(grav) AS BIGINT), CAST(trunc(liquid) AS BIGINT)) AS "oilGravity", casing AS "casingPressure",
+  tubing AS "flowingTubePressue", pm AS "producingMethod",
+  CASE WHEN upper(rtrim(pump)) = 'N/A' THEN NULL ELSE pump END AS "pumpType", temp AS "bottomHoleTemp",
+  tdepth AS "bottomHoleTempDepth", coalesce(choke, dchoke) AS "chokeSize", dry AS "dryGasGravity", ttime AS "timeOfRun",
+  frun AS "runNumberFT", grun AS "runNUmberGM",
+  DENSE_RANK() OVER (PARTITION BY hapi ORDER BY fpd DESC NULLS LAST, cdate DESC NULLS LAST, tdate DESC NULLS LAST) AS "dateRank"
+FROM j
+""")
+def well_test_job(spark, sf):
+    cmp_header, esp_header = _job_headers(spark, sf)
+    li, col = _t(spark, sf, "lineitem"), F.col
+    line, flag, status = col("l_linenumber"), col("l_returnflag"), col("l_linestatus")
+    key, run = col("l_orderkey").cast("string"), F.when(col("l_linestatus") == "F", 1).otherwise(2).alias("RunNumber")
+    ip = li.select(
+        F.when(line == 7, "-1").otherwise(key).alias("completion_dr_id"), col("l_shipdate").alias("testDate"),
+        F.when(status == "O", "24 HRS").otherwise("12").alias("Duration"),
+        F.when(line == 4, None).otherwise(col("l_quantity") + 0.75).alias("OilGravity"),
+        col("l_extendedprice").alias("TestOil"), (col("l_quantity") * 10).alias("TestGas"), col("l_tax").alias("TestWater"),
+        F.when(flag == "R", None).otherwise(col("l_extendedprice")).alias("24HourOil"),
+        F.when(line % 2 == 0, None).otherwise(col("l_quantity")).alias("24HourGas"),
+        F.when(flag == "A", None).otherwise(col("l_discount")).alias("24HourWater"),
+        F.when(flag == "A", None).when(line == 3, "0.0/64")
+        .otherwise(F.concat(F.lit("c"), line.cast("string"))).alias("ChokeSize"),
+        F.when(col("l_discount") > 0.03, col("l_discount")).alias("CasingPressure"),
+        col("l_tax").alias("TestFlowingTubePressure"),
+        F.when(flag == "N", "Unknown ").otherwise("flowing").alias("ProducingMethod"),
+        F.when(status == "O", "N/A ").when(line == 1, "unknown").otherwise("Rod").alias("SizeAndTypeOfPump"),
+        flag.alias("__flag"), line.alias("__line"))
+    zero = F.lit(0.0)
+    # The same tests as a second agency reports them: 0 for no rate, other case, one line's oil differs.
+    ok_test = ip.where(col("completion_dr_id") != "-1").select(
+        col("completion_dr_id").alias("completionID"), col("testDate").alias("TestDate"),
+        col("__flag").alias("TestFormation"),
+        (F.coalesce(col("24HourOil"), zero) + F.when(col("__line") == 5, 1.0).otherwise(0.0)).alias("24HourOil"),
+        F.coalesce(col("24HourGas"), zero).alias("24HourGas"), col("24HourWater"),
+        F.concat(F.upper(F.coalesce(col("ChokeSize"), F.lit("0"))), F.lit(" ")).alias("ChokeSize"), "OilGravity",
+        "CasingPressure", "TestFlowingTubePressure")
+    gm = li.where(flag == "R").select(_well("l_orderkey").alias("API"), key.alias("CompletionID"), run,
+                                      col("l_extendedprice").alias("volumePerDay"))
+    ft = li.where(flag == "A").select(
+        _well("l_orderkey").alias("API"), key.alias("CompletionID"), run,
+        F.concat(F.lit("T"), line.cast("string")).alias("TimeOfRun"), col("l_quantity").alias("BottomHoleTemp"),
+        col("l_tax").alias("BottomHoleTempDepth"),
+        F.concat(F.lit("choke size of the field test run, line "), line.cast("string")).alias("RunChokeSize"),
+        col("l_discount").alias("GravityDryGas"), (col("l_quantity") + 0.5).alias("GravityLiquidHydrocarbon"))
+    return well_test.build(cmp_header, ip.drop("__flag", "__line"), ok_test, gm, ft, esp_header, materialize=False)[1]
