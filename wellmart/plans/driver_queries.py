@@ -606,6 +606,42 @@ def conditional_lists(spark, sf):
         "baseCarrierTypeStuff", "cumWaterBbl")
 
 
+def _folded_sql(name, column, where):
+    """A list whose items ignore case and trailing blanks, in their smallest spelling."""
+    return f"""{name} AS (
+  SELECT api10, string_agg(item, '' ORDER BY item) AS s
+  FROM (SELECT api10, min(', ' || {column}) AS item FROM m WHERE {where} AND {column} IS NOT NULL
+        GROUP BY api10, upper(rtrim({column}))) x GROUP BY api10)"""
+
+
+@register("case_folded_lists", f"""
+WITH m AS (
+  SELECT o_custkey AS api10, l_returnflag = 'R' AS proppant, l_quantity AS water,
+    CASE l_linenumber % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN upper(p_type) || ' ' ELSE p_type END AS ptype,
+    CASE l_linenumber % 2 WHEN 0 THEN lower(p_brand) || '  ' ELSE p_brand END AS ttype,
+    CASE WHEN p_size % 4 = 0 THEN NULL WHEN l_linenumber % 2 = 0 THEN CAST(p_size AS VARCHAR) || ' MESH'
+         ELSE CAST(p_size AS VARCHAR) || ' Mesh ' END AS mesh
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey),
+{_folded_sql("a", "ptype", "proppant")}, {_folded_sql("b", "ttype", "NOT proppant")}, {_folded_sql("c", "mesh", "proppant")}
+SELECT w.api10, substr(a.s, 3) AS "proppantTypeStuff", substr(b.s, 3) AS "treatmentTypeStuff",
+       substr(c.s, 3) AS "proppantMeshSizeStuff", w.water AS "cumWaterBbl"
+FROM (SELECT api10, max(water) AS water FROM m GROUP BY api10) w
+LEFT JOIN a ON a.api10 = w.api10 LEFT JOIN b ON b.api10 = w.api10 LEFT JOIN c ON c.api10 = w.api10
+""")
+def case_folded_lists(spark, sf):
+    li, o, p = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "part")
+    col, line, size = F.col, F.col("l_linenumber"), F.col("p_size").cast("string")
+    rows = li.join(o, o["o_orderkey"] == li["l_orderkey"]).join(p, p["p_partkey"] == li["l_partkey"]).select(
+        col("o_custkey").alias("api10"), F.when(col("l_returnflag") == "R", "proppant ").otherwise("OTHER").alias("materialType"),
+        F.when(line % 3 == 0, F.lower("p_type")).when(line % 3 == 1, F.concat(F.upper("p_type"), F.lit(" ")))
+        .otherwise(col("p_type")).alias("proppantType"),
+        F.when(line % 2 == 0, F.concat(F.lower("p_brand"), F.lit("  "))).otherwise(col("p_brand")).alias("treatmentType"),
+        F.when(col("p_size") % 4 == 0, None).when(line % 2 == 0, F.concat(size, F.lit(" MESH")))
+        .otherwise(F.concat(size, F.lit(" Mesh "))).alias("proppantMeshSize"),
+        col("l_quantity").alias("cumWaterBbl"))
+    return header_mart.material_lists(rows)
+
+
 @register("label_if_total", f"""
 WITH {_LISTS_SQL}
 SELECT c_custkey,
