@@ -86,13 +86,18 @@ def schema(name: str) -> StructType:
 
 @dataclass
 class Catalog:
-    """Where the inputs live: one base path per source database."""
+    """Where the inputs live: one base path per source database.
+
+    ``details`` is the base path of the published detail tables (``vEsp...``)
+    the mart reads; without it the mart reads the tables written under ``stage``.
+    """
 
     raw: str
     live: str
     stage: str
     fmt: str = "parquet"
     overrides: dict[str, str] = field(default_factory=dict)
+    details: str | None = None
 
     def path(self, name: str, db: str = "raw") -> str:
         if name in self.overrides:
