@@ -1,4 +1,4 @@
-"""Digest of every registered query's final (post-AQE) physical plan.
+"""Digest of every driver query's final (post-AQE) physical plan.
 
 Usage: python tests/plan_digest.py [sf_dir] > PLANS.md
 
@@ -90,7 +90,7 @@ def job_plans(spark):
 
 
 def main(argv):
-    from __spark_entry__ import queries
+    from wellmart.plans.driver_queries import QUERIES
     from wellmart.session import local_session
 
     sf = argv[0] if argv else "/root/testdata/sf0.01"
@@ -99,7 +99,7 @@ def main(argv):
     print(f"`python tests/plan_digest.py {sf}` — post-AQE executed plans on local[8]. "
           "Join strategies are AQE's runtime choices at this scale (broadcast only below "
           "a measured 32 MB); at 100 TB the same plans keep sort-merge joins.\n")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         print(f"## {name}")
         for line in digest(final_plan(fn(spark, sf))):
             print(line)
