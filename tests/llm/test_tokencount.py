@@ -28,6 +28,16 @@ def test_against_naive_dynamic_programming(rows, pieces):
         assert trie.tokens(tc.MARK + w) == small.tokens(tc.MARK + w) == want
 
 
+def test_long_words_need_no_trie(pieces):
+    import random
+
+    trie, r = tc.PrefixTrie(pieces), random.Random(4)
+    for n in (tc.LONG_WORD, tc.LONG_WORD + 1, 2 * tc.LONG_WORD, 5000):
+        w = "".join(r.choice("abceinorstu漢é0") for _ in range(n))
+        assert trie.tokens(tc.MARK + w) == brute(tc.MARK + w, pieces, trie.unknown)
+    assert len(trie.score) <= tc.LONG_WORD + 1
+
+
 def test_against_public_unigram_model(rows, pieces):
     from tokenizers import Tokenizer, models
 

@@ -9,8 +9,11 @@ are put into one trie: a node holds the best forward score and the token count
 of its prefix, computed once for all words that share it.
 
 The trie lives as long as a task and is emptied when it holds ``max_nodes``
-nodes, which bounds memory and changes no count. Rows never move, so nothing
-is shuffled and no row waits for another task's words.
+nodes, which bounds memory and changes no count. A pre-token longer than
+``LONG_WORD`` characters (a blob without white space) shares no prefix worth
+keeping: its scores are computed the same way, of which only those that the
+longest piece can reach are held. Rows never move, so nothing is shuffled and
+no row waits for another task's words.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from .common import texts
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_NODES = 600_000
+LONG_WORD = 1024
 
 
 def load_pieces(path: str = VOCABULARY) -> dict[str, float]:
@@ -53,25 +57,46 @@ class PrefixTrie:
         self.score, self.count = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
+    def _step(self, word: str, i: int, path, score: list[float], count: list[int]) -> tuple[float, int]:
+        """Best score and token count of ``word[:i + 1]``; those of ``word[:j]`` are at ``path[j]``."""
+        ch, pieces, node = word[i], self.pieces, path[i]
+        best, tokens = score[node] + self.unknown, count[node] + len(ch.encode("utf-8", "surrogatepass"))
+        if ch in pieces:
+            best, tokens = score[node] + pieces[ch], count[node] + 1
+        for j in range(max(0, i + 1 - self.longest), i):
+            p = pieces.get(word[j:i + 1])
+            if p is not None and (s := score[path[j]] + p) > best:
+                best, tokens = s, count[path[j]] + 1
+        return best, tokens
+
+    def _long(self, word: str) -> int:
+        """Token count without the trie, holding the scores of ``LONG_WORD`` prefixes and those a piece reaches back to."""
+        start, score, count = 0, [0.0], [0]
+        for s in range(0, len(word), LONG_WORD):
+            part = word[start:s + LONG_WORD]
+            for i in range(s - start, len(part)):
+                best, tokens = self._step(part, i, range(i + 1), score, count)
+                score.append(best)
+                count.append(tokens)
+            score, count = score[-self.longest - 1:], count[-self.longest - 1:]
+            start += len(part) + 1 - len(score)
+        return count[-1]
+
     def tokens(self, word: str) -> int:
         """Token count of one pre-token (given with its mark)."""
         known = self.terminal.get(word)
         if known is not None:
             return known
+        if len(word) > LONG_WORD:
+            return self._long(word)
         if len(self.score) + len(word) > self.max_nodes and len(self.score) > 1:
             self._empty()
-        children, score, count, pieces = self.children, self.score, self.count, self.pieces
+        children, score, count = self.children, self.score, self.count
         path, node = [0], 0
         for i, ch in enumerate(word):
             nxt = children.get((node, ch))
             if nxt is None:
-                best, tokens = score[node] + self.unknown, count[node] + len(ch.encode("utf-8", "surrogatepass"))
-                if ch in pieces:
-                    best, tokens = score[node] + pieces[ch], count[node] + 1
-                for j in range(max(0, i + 1 - self.longest), i):
-                    p = pieces.get(word[j:i + 1])
-                    if p is not None and (s := score[path[j]] + p) > best:
-                        best, tokens = s, count[path[j]] + 1
+                best, tokens = self._step(word, i, path, score, count)
                 nxt = len(score)
                 children[node, ch] = nxt
                 score.append(best)
