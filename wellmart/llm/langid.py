@@ -7,8 +7,8 @@
   a task, summed by Spark).
 * The weights are fitted by follow-the-regularised-leader with L1 and L2
   penalties on a bounded sample, ``sample`` rows in all, dealt evenly to the
-  languages by a hash of the id; part of it is held back to fit the
-  temperature of the softmax.
+  languages by a hash of id and text, repeated rows once; part of it is held
+  back to fit the temperature of the softmax.
 * Prediction needs no per-text vector: the weighted n-grams of a text are
   summed in place, so every row costs time in proportion to its length.
 """
@@ -189,8 +189,8 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     share = F.lit(0)
     for lang, k in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1 << 30, int((1 << 30) * each / k) + 1))).otherwise(share)
-    ticket = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30))
-    drawn = rows.where(ticket < share).select("doc_id", "text", "lang")
+    ticket = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 30))
+    drawn = rows.where(ticket < share).select("doc_id", "text", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -205,7 +205,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = drawn.mapInArrow(run, f"doc_id {kind}, lang string, idx array<int>, cnt array<int>")
-    rows_ = sorted(found.collect(), key=lambda r: (r["lang"], r["doc_id"], len(r["idx"])))
+    rows_ = sorted(found.collect(), key=lambda r: (r["lang"], r["doc_id"], r["idx"], r["cnt"]))
     examples = [(r["lang"], i % 5 == 0, np.array(r["idx"], np.int64), np.array(r["cnt"], np.float64)) for i, r in enumerate(rows_)]
     return fit(examples, df, n)
 
