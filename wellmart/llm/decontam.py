@@ -188,8 +188,8 @@ def shard_hits(docs: list[bytes | None], phrases: Phrases) -> tuple[list[int], l
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple]]:
-    """The benchmark in blocks of about ``block_words`` words (by a bound on its characters)."""
-    source = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    """The benchmark's distinct rows in blocks of about ``block_words`` words (by a bound on its characters)."""
+    source = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL").distinct()
     size = source.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 / block_words))
     for k in range(blocks):
