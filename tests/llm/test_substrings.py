@@ -30,6 +30,20 @@ def test_matches_brute_force(docs, edge, bucket_bytes):
         assert sorted(map(str, got)) == sorted(map(str, brute(rows)))
 
 
+def test_hot_buckets_are_split(spark, docs, edge):
+    from pyspark.sql import functions as F
+
+    # One passage in a third of the rows, several chunks (one a partition), every bucket of some weight hot.
+    passage = " ".join(f"p{i}" for i in range(40))
+    hot = docs.select(F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" " + passage))).otherwise(F.col("text")).alias("text"), "doc_id")
+    for df in (hot.repartition(7, "doc_id"), edge):
+        source = sub._source(df, "doc_id", "text")
+        assert max(sub.hot_buckets(source, 13, 3, 50, 1 << 9, 1).values()) > 2
+        rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+        got = [tuple(r) for r in sub.substring_digest(df, bucket_bytes=1 << 12, hot=1).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, brute(rows)))
+
+
 def test_hash_collisions_are_told_apart(monkeypatch):
     docs = [[b"%d" % (i % 40 + s) for i in range(60)] for s in (0, 3, 0, 7)]
     monkeypatch.setattr(sub, "gram_hashes", lambda w, size: np.zeros(max(0, len(w) - size + 1), np.uint64))

@@ -11,6 +11,11 @@ Each task packs the super-k-mers of a few MB of text by bucket: a string that
 occurs often there (a shared passage, copies) is packed once with the list of
 its places, and the pack is compressed. Buckets are numbered so that one holds
 about ``bucket_bytes`` of strings, whatever the input.
+
+A passage that very many documents share puts all its places into one bucket.
+A first pass weighs the buckets; those over ``HOT`` times the usual weight are
+split by chunk into parts of usual weight. Parts count their distinct windows,
+Spark joins the counts by window text, and each part marks its own places.
 """
 
 from __future__ import annotations
@@ -23,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import blank_words, chunks, index_runs, texts
+from .common import blank_words, chunks, index_runs, shared_table, texts
 
 WINDOW = 13
 GRAM = 3
 BUCKET_BYTES = 8 << 20
 CHUNK_BYTES = 8 << 20
+HOT = 16  # times bucket_bytes
+PLACE_BYTES = 16
 NO_ID = np.iinfo(np.int64).max  # a null id is no smaller than any other
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -135,55 +142,94 @@ def unpack(blob: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.n
     return (raw[len(raw) - size:], *out)
 
 
-def repeats(blobs: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class Bucket:
+    """The packs of one bucket, or of one part of a hot bucket: strings, their windows and their places."""
+
+    def __init__(self, blobs: list[bytes], k: int):
+        self.k = k
+        bodies, counts, docs, keys, words = zip(*map(unpack, blobs))
+        self.buf = b"\n".join(bodies)
+        self.count, self.doc, self.key, self.word = (np.concatenate(x) for x in (counts, docs, keys, words))
+        self.start, self.end, self.line = word_spans(self.buf)  # a line is a super-k-mer
+        self.first_place = np.cumsum(self.count) - self.count
+        self.least = np.minimum.reduceat(self.doc, self.first_place)
+        self.most = np.maximum.reduceat(self.doc, self.first_place)
+        n = max(0, len(self.line) - k + 1)
+        self.window = np.flatnonzero(self.line[:n] == self.line[k - 1:k - 1 + n])  # first words of windows
+
+    def texts(self, window: np.ndarray) -> list[bytes]:
+        return [self.buf[a:b] for a, b in zip(self.start[window].tolist(), self.end[window + self.k - 1].tolist())]
+
+    def marks(self, own: np.ndarray, smallest: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Word ranges (document, row key, from, to) where windows ``own`` stand in documents above their ``smallest``."""
+        if not len(own):
+            none = np.zeros(0, np.int64)
+            return none, none, none, none
+        by_word = np.full(len(self.start), NO_ID)
+        by_word[own] = smallest
+        # Every place of a string with such windows, window by window.
+        line, count = self.line, self.count
+        line_first = np.searchsorted(line, np.arange(len(count)))
+        windows = np.diff(np.append(line_first, len(line))) - self.k + 1
+        strings = np.flatnonzero(np.bincount(line[own], minlength=len(count)))
+        place = index_runs(self.first_place[strings], count[strings])
+        string = np.repeat(strings, count[strings])
+        out = []
+        for s, e in chunks(windows[string].tolist(), 1 << 20):
+            n = windows[string[s:e]]
+            at = index_runs(line_first[string[s:e]], n)
+            here = np.repeat(place[s:e], n)
+            hit = by_word[at] < self.doc[here]
+            off = at - np.repeat(line_first[string[s:e]], n)
+            new = hit & ~np.concatenate([[False], hit[:-1] & (here[1:] == here[:-1])])
+            over = hit & ~np.concatenate([hit[1:] & (here[1:] == here[:-1]), [False]])
+            p = here[new]
+            out.append((self.doc[p], self.key[p], self.word[p] + off[new], self.word[p] + off[over] + self.k))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def repeats(blobs: list[bytes], k: int) -> tuple[np.ndarray, ...]:
     """Word ranges (document, row key, from, to) of one bucket that windows of smaller documents repeat."""
-    bodies, counts, docs, keys, words = zip(*map(unpack, blobs))
-    buf = b"\n".join(bodies)
-    count, doc, key, word = (np.concatenate(x) for x in (counts, docs, keys, words))
-    start, end, line = word_spans(buf)  # a line is a super-k-mer
-    first_place = np.cumsum(count) - count
-    least, most = np.minimum.reduceat(doc, first_place), np.maximum.reduceat(doc, first_place)
-    h = gram_hashes(word_hashes(buf, start, end), k)
-    window = np.flatnonzero(line[:len(h)] == line[k - 1:k - 1 + len(h)])
-    h = h[window]
+    b = Bucket(blobs, k)
+    window = b.window
+    h = gram_hashes(word_hashes(b.buf, b.start, b.end), k)[window]
     order = np.argsort(h, kind="stable")
     cut = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-    row = line[window[order]]
-    meets = np.repeat(np.minimum.reduceat(least[row], cut) < np.maximum.reduceat(most[row], cut),
+    row = b.line[window[order]]
+    meets = np.repeat(np.minimum.reduceat(b.least[row], cut) < np.maximum.reduceat(b.most[row], cut),
                       np.diff(np.append(cut, len(order))))
     # Windows whose hash occurs in two documents: exact from here on.
     own = window[order][meets]
     run = np.cumsum(np.isin(np.arange(len(order)), cut, assume_unique=True))[meets]
-    text = [buf[a:b] for a, b in zip(start[own].tolist(), end[own + k - 1].tolist())]
+    text = b.texts(own)
     same = np.array([x == y for x, y in zip(text, text[1:])], bool)
     if not (same | (run[1:] != run[:-1])).all():  # hashes collided: sort the windows themselves
         by = sorted(range(len(own)), key=lambda i: (run[i], text[i]))
         own, run, text = own[by], run[by], [text[i] for i in by]
         same = np.array([x == y for x, y in zip(text, text[1:])], bool)
     if not len(own):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return b.marks(own, own)
     cut = np.flatnonzero(np.concatenate([[True], ~same | (run[1:] != run[:-1])]))
-    smallest = np.full(len(start), NO_ID)
-    smallest[own] = np.repeat(np.minimum.reduceat(least[line[own]], cut), np.diff(np.append(cut, len(own))))
-    # Every place of a string with such windows, window by window.
-    line_first = np.searchsorted(line, np.arange(len(count)))
-    windows = np.diff(np.append(line_first, len(line))) - k + 1
-    strings = np.flatnonzero(np.bincount(line[own], minlength=len(count)))
-    place = index_runs(first_place[strings], count[strings])
-    string = np.repeat(strings, count[strings])
-    out = []
-    for s, e in chunks(windows[string].tolist(), 1 << 20):
-        n = windows[string[s:e]]
-        at = index_runs(line_first[string[s:e]], n)
-        here = np.repeat(place[s:e], n)
-        hit = smallest[at] < doc[here]
-        off = at - np.repeat(line_first[string[s:e]], n)
-        new = hit & ~np.concatenate([[False], hit[:-1] & (here[1:] == here[:-1])])
-        over = hit & ~np.concatenate([hit[1:] & (here[1:] == here[:-1]), [False]])
-        p = here[new]
-        out.append((doc[p], key[p], word[p] + off[new], word[p] + off[over] + k))
-    return tuple(np.concatenate(x) for x in zip(*out))
+    return b.marks(own, np.repeat(np.minimum.reduceat(b.least[b.line[own]], cut), np.diff(np.append(cut, len(own)))))
+
+
+def window_counts(blobs: list[bytes], k: int) -> dict[bytes, tuple[int, int]]:
+    """Smallest and largest document of every distinct window of a part."""
+    b = Bucket(blobs, k)
+    out: dict[bytes, tuple[int, int]] = {}
+    string = b.line[b.window]
+    for t, lo, hi in zip(b.texts(b.window), b.least[string].tolist(), b.most[string].tolist()):
+        had = out.get(t)
+        out[t] = (lo, hi) if had is None else (min(lo, had[0]), max(hi, had[1]))
+    return out
+
+
+def marked(blobs: list[bytes], known: dict[bytes, int], k: int) -> tuple[np.ndarray, ...]:
+    """Word ranges of a part, whose windows' smallest documents are ``known`` where they matter."""
+    b = Bucket(blobs, k)
+    smallest = np.array([known.get(t, NO_ID) for t in b.texts(b.window)], np.int64)
+    found = smallest < NO_ID
+    return b.marks(b.window[found], smallest[found])
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -192,43 +238,107 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), key, F.col(text_col).alias("text"))
 
 
-def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+RANGES = "doc_id long, key long, start long, end long"
+
+
+def _found(batches: Iterator[pa.RecordBatch], k: int, m: int, buckets: int) -> Iterator[tuple]:
+    """Per chunk of a task's texts: words' buffer, super-k-mers, their row's ids and keys, their buckets."""
+    for b in batches:
+        data = texts(b)
+        ids = b.column("doc_id").fill_null(int(NO_ID)).to_numpy()
+        keys = b.column("key").to_numpy()
+        for s, e in chunks([len(t or b"") for t in data], CHUNK_BYTES):
+            words = [blank_words(t) for t in data[s:e]]
+            rows = np.array([i for i, w in enumerate(words) if len(w) >= k], np.int64)
+            if not len(rows):
+                continue
+            buf, found = super_kmers([words[i] for i in rows], k, m)
+            del words
+            row = rows[found[:, 0]] + s
+            yield buf, found, ids[row], keys[row], (found[:, 4].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+
+
+def hot_buckets(source: DataFrame, k: int, m: int, buckets: int, bucket_bytes: int, hot: int) -> dict[int, int]:
+    """Buckets of over ``hot * bucket_bytes`` and the parts to split them into.
+
+    All buckets weigh about ``buckets * bucket_bytes``, so at most one in
+    ``hot`` of them can be here, and only those of hot minimisers are.
+    """
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found, _, _, bucket in _found(batches, k, m, buckets):
+            which, at = np.unique(bucket, return_inverse=True)
+            weight = np.bincount(at, found[:, 3] - found[:, 2] + PLACE_BYTES).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(weight)], names=["bucket", "weight"])
+
+    weights = source.mapInArrow(weigh, "bucket long, weight long").groupBy("bucket").agg(F.sum("weight").alias("weight"))
+    return {r[0]: math.ceil(r[1] / bucket_bytes) for r in weights.where(F.col("weight") > hot * bucket_bytes).collect()}
+
+
+def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """``doc_id, key, start, end``: word ranges that repeat a window of a smaller doc_id (they may overlap)."""
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total * (2 * k / (k - m + 2) + 1) / bucket_bytes))
-
-    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data = texts(b)
-            ids = b.column("doc_id").fill_null(int(NO_ID)).to_numpy()
-            keys = b.column("key").to_numpy()
-            for s, e in chunks([len(t or b"") for t in data], CHUNK_BYTES):
-                words = [blank_words(t) for t in data[s:e]]
-                rows = np.array([i for i, w in enumerate(words) if len(w) >= k], np.int64)
-                if not len(rows):
-                    continue
-                buf, found = super_kmers([words[i] for i in rows], k, m)
-                del words
-                row = rows[found[:, 0]] + s
-                bucket = (found[:, 4].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    parts = hot_buckets(source, k, m, buckets, bucket_bytes, hot)
+    held = source.sparkSession.sparkContext.broadcast(parts)
+
+    def scatter(want_hot: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split = held.value
+            hot_ids = np.array(list(split), np.int64)
+            for buf, found, ids, keys, bucket in _found(batches, k, m, buckets):
                 order = np.argsort(bucket, kind="stable")
+                if split:
+                    order = order[np.isin(bucket[order], hot_ids) == want_hot]
+                if not len(order):
+                    continue
                 cut = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0]))
-                made: tuple[list, list] = ([], [])
-                for part in np.split(order, cut[1:]):
-                    held = defaultdict(list)
-                    for i, x, y in zip(part.tolist(), found[part, 2].tolist(), found[part, 3].tolist()):
-                        held[buf[x:y]].append(i)
-                    made[0].append(int(bucket[part[0]]))
-                    made[1].append(pack(list(held), list(held.values()), ids[row], keys[row], found[:, 1]))
-                yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.binary())], names=["bucket", "pack"])
-
-    def gather(table: pa.Table) -> pa.Table:
-        found = repeats(table.column("pack").to_pylist(), k)
+                chunk = int(_mix(keys[:1].view(np.uint64) ^ ids[:1].view(np.uint64))[0])
+                made: tuple[list, list, list] = ([], [], [])
+                for group in np.split(order, cut[1:]):
+                    strings = defaultdict(list)
+                    for i, x, y in zip(group.tolist(), found[group, 2].tolist(), found[group, 3].tolist()):
+                        strings[buf[x:y]].append(i)
+                    made[0].append(int(bucket[group[0]]))
+                    made[1].append(chunk % split.get(made[0][-1], 1))
+                    made[2].append(pack(list(strings), list(strings.values()), ids, keys, found[:, 1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.binary())], names=["bucket", "part", "pack"])
+
+        return source.mapInArrow(run, "bucket long, part long, pack binary")
+
+    def ranges(found: tuple[np.ndarray, ...]) -> pa.Table:
         doc = pa.array(found[0], mask=found[0] == NO_ID)
         return pa.Table.from_arrays([doc, *map(pa.array, found[1:])], names=["doc_id", "key", "start", "end"])
 
-    packs = source.mapInArrow(scatter, "bucket long, pack binary")
-    return packs.groupBy("bucket").applyInArrow(gather, "doc_id long, key long, start long, end long")
+    def gather(table: pa.Table) -> pa.Table:
+        return ranges(repeats(table.column("pack").to_pylist(), k))
+
+    cold = scatter(False).select("bucket", "pack").groupBy("bucket").applyInArrow(gather, RANGES)
+    if not parts:
+        return cold
+
+    def count(table: pa.Table) -> pa.Table:
+        found = window_counts(table.column("pack").to_pylist(), k)
+        here = table.slice(0, 1)
+        bounds = np.array(list(found.values()), np.int64).reshape(-1, 2)
+        return pa.Table.from_arrays(
+            [pa.array(here.column(c).to_pylist() * len(found), pa.int64()) for c in ("bucket", "part")]
+            + [pa.array(list(found), pa.binary()), pa.array(bounds[:, 0]), pa.array(bounds[:, 1])],
+            names=["bucket", "part", "window", "least", "most"])
+
+    def mark(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return ranges(tuple(np.zeros((4, 0), np.int64)))
+        known = dict(zip(right.column("window").to_pylist(), right.column("smallest").to_pylist()))
+        return ranges(marked(left.column("pack").to_pylist(), known, k))
+
+    packs = shared_table(scatter(True), "substring-hot")
+    counts = shared_table(packs.groupBy("bucket", "part").applyInArrow(
+        count, "bucket long, part long, window binary, least long, most long"), "substring-windows")
+    smallest = counts.groupBy("window").agg(F.min("least").alias("smallest"))  # a window has one row a part at most
+    known = counts.join(smallest, "window").where("smallest < most").select("bucket", "part", "window", "smallest")
+    split = packs.groupBy("bucket", "part").cogroup(known.groupBy("bucket", "part")).applyInArrow(mark, RANGES)
+    return cold.unionByName(split)
 
 
 def kept_words(data: bytes | None, ranges: list[tuple[int, int]]) -> tuple[int, list[bytes]]:
@@ -245,7 +355,7 @@ def kept_words(data: bytes | None, ranges: list[tuple[int, int]]) -> tuple[int,
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, m: int = GRAM,
-                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                     bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text``, one row per input row.
 
     ``doc_id`` is an integer; a null id counts as larger than all. Null, empty
@@ -253,8 +363,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other's words. Other columns are ignored, so their names cannot clash.
     """
     source = _source(docs, id_col, text_col)
-    found = repeated_ranges(source, k, m, bucket_bytes).groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("start", "end")).alias("ranges"))  # at most one range a word of one text
+    found = repeated_ranges(source, k, m, bucket_bytes, hot).groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("start", "end")).alias("ranges"))  # repeated rows have the same: at most one range a word
     found = found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "ranges")
     both = source.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left")
 
