@@ -64,6 +64,27 @@ def test_batch_run_writes_all_outputs(spark, tmp_path):
         batch.run(spark, Catalog(raw=raw, live=live, stage=stage2), ["nope"])
 
 
+def test_keys_ignore_case_and_trailing_blanks(spark, tmp_path):
+    raw, live, stage = (str(tmp_path / d) for d in ("raw", "live", "stage"))
+    tables = {
+        ("raw", "cmpHeader"): [dict(API10="42w1 ", CompletionID="c1", state_name="Texas", CompletionDate=D(2015, 1, 1))],
+        ("raw", "cmpPipe"): [dict(CompletionID="C1 ", CasingRecordType="CASING", StringType="SURFACE", CasingBottom=500.0)],
+        ("raw", "cmpInitialPotentialTest"): [{"completion_dr_id": "C1", "testDate": D(2015, 2, 10), "TestOil": 5.0, "24HourGas": 1.0}],
+        ("raw", "cmpOKProductionTest"): [{"completionID": "C9", "TestDate": D(2015, 1, 1)}],
+        ("raw", "cmpGasMeasurementTest"): [dict(API="42W1", CompletionID="C1", RunNumber=1, volumePerDay=3.0)],
+        ("raw", "cmpFieldTest"): [dict(API="42w1", CompletionID="c1  ", RunNumber=1, BottomHoleTemp=100.0)],
+        ("live", "espHeader"): [dict(api="42W1", hpdiEntityId=1, play="Permian", completionDate=D(2015, 1, 1), proppantLbs=1.0)],
+    }
+    for (db, name), rows in tables.items():
+        frame(spark, name, rows).write.parquet(f"{raw if db == 'raw' else live}/{name}")
+    paths = batch.run(spark, Catalog(raw=raw, live=live, stage=stage), ["piping", "well_test"])
+    pipe = spark.read.parquet(paths["piping"]).collect()
+    assert [(r.API, r.completionId, r.play) for r in pipe] == [("42W1", "C1", "PERMIAN")]
+    # gas and field run of one completion meet: one test row with both, none of EXCEPT's leftovers
+    tests = spark.read.parquet(paths["well_test"]).collect()
+    assert [(r.api, r.completionId, r.bottomHoleTemp) for r in tests] == [("42W1", "C1", 100.0)]
+
+
 def test_session_settings_are_kept_and_cuts_are_dropped(spark, tmp_path):
     import os
 

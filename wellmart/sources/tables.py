@@ -1,7 +1,9 @@
 """Typed scans of the raw and published inputs.
 
-Each input has an explicit schema (no inference). A job reads only the
-columns it selects; Parquet scans get column pruning and filter pushdown from
+Each input has an explicit schema (no inference). Well and completion keys
+compare without case and trailing blanks, so the scan folds them to one
+spelling (``fold_keys``) and every later join, grouping, rank and EXCEPT can
+compare them plainly. A job reads only the columns it selects; Parquet scans get column pruning and filter pushdown from
 Catalyst, so listing the full schema here costs nothing at read time.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _NUM = "double"
@@ -108,7 +111,18 @@ class Catalog:
         reader = spark.read.format(self.fmt)
         if name in SCHEMAS:
             reader = reader.schema(schema(name))
-        return reader.load(self.path(name, db))
+        return fold_keys(reader.load(self.path(name, db)))
+
+
+#: Columns that hold a well or completion key, in lower case.
+KEY_COLUMNS = ("api", "api10", "completionid", "completion_dr_id", "drwellid")
+
+
+def fold_keys(df: DataFrame) -> DataFrame:
+    """Key columns of text type upper-cased and without trailing blanks; all others as they are."""
+    kinds = dict(df.dtypes)
+    return df.select(*[F.upper(F.rtrim(F.col(f"`{c}`"))).alias(c) if c.lower() in KEY_COLUMNS and kinds[c] == "string"
+                       else F.col(f"`{c}`") for c in df.columns])
 
 
 _INFERRED: dict[str, StructType] = {}
