@@ -5,6 +5,7 @@ import xxhash
 
 from wellmart.llm import simhash
 from wellmart.llm.components import components
+from conftest import prose
 
 
 def brute_fingerprint(text):
@@ -64,6 +65,22 @@ def test_keep_one(edge):
     assert ids == sorted(named)
 
 
+def test_keep_one_decides_by_row(spark):
+    clean = [prose(k, 60) for k in range(10, 18)]
+    rows = [(7, t, "s", None) for t in clean[:5]] * 2  # one id, five documents, each twice
+    rows += [(3, clean[0], None, "s"), (9, clean[5], None, "s"), (9, clean[5], "s", None)]  # a smaller id; one id, other columns differ
+    rows += [(None, clean[1], None, None), (None, clean[6], "s", None), (None, clean[6], "t", None), (None, clean[6].upper(), None, None)]
+    rows += [(8, None, clean[7], None), (8, clean[7], None, None)]  # the same values but for nulls
+    want = sorted([(3, clean[0]), *((7, t) for t in clean[1:5]), (9, clean[5]), (None, clean[6].lower()), (8, None), (8, clean[7])], key=str)
+    seen = set()
+    for parts in (1, 5):
+        kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, a string, b string").repartition(parts)).collect()
+        assert sorted(((r[0], r[1] and r[1].lower()) for r in kept), key=str) == want
+        assert {tuple(r) for r in kept} <= set(rows)
+        seen.add(tuple(sorted(map(str, kept))))
+    assert len(seen) == 1
+
+
 def test_tree_finds_every_link(spark):
     r = random.Random(3)
     base = [r.getrandbits(64) for _ in range(300)]

@@ -200,23 +200,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     besides id and text are ignored, so their names cannot clash.
     """
     fps = shared_table(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = components(links(nodes, max_bits, **tree))
-    joined = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    joined = _rooted(fps, max_bits, **tree)
     named = joined.join(joined.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The input's rows and columns, one row per component: the one with the smallest id.
+def _rooted(fps: DataFrame, max_bits: int, **tree) -> DataFrame:
+    """``fp, rep, root`` per fingerprint: the smallest ``doc_id`` under it and the component it belongs to."""
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    roots = components(links(nodes, max_bits, **tree))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS, **tree) -> DataFrame:
+    """The input's rows and columns, exactly one row per component: one with the smallest id, null last.
 
-    Of rows repeated under that id one stays. Rows with a null id cannot be
-    named by the result, so they take no part and all stay.
+    The choice is by row, not by id: a key of the id and 128 hashed bits of the
+    whole row stands for it, so an id with several texts has a row in each of
+    their components and null ids take part. Rows that share an id are ordered
+    by hash; of rows equal in every column one stays.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"))
-    found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **settings)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = rows.where("_id IS NOT NULL").join(ids, "_id").dropDuplicates(["_id"])
-    return named.select("row").union(rows.where("_id IS NULL").select("row")).select("row.*")
+    # The text goes first with a null flag: the hash passes over nulls, and rows of different texts must not share a key.
+    whole = [F.col(text_col).isNull(), F.col(text_col), F.struct("*").cast("string")]
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                   *(F.xxhash64(F.lit(seed), *whole).alias(f"h{seed}") for seed in (1, 2)))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("_key"), F.col(text_col).alias("_text"))
+    fps = shared_table(fingerprints(rows, "_key", "_text", shingle), "simhash-fp")
+    chosen = _rooted(fps, max_bits, **tree).groupBy("root").agg(F.min("rep").alias("_key")).select("_key")
+    # Copies meet in a partial aggregate before the join, so a row repeated very often is no hot join key.
+    once = rows.select("_key", "row").dropDuplicates(["_key"])
+    return once.join(chosen, "_key").select("row.*")
