@@ -98,3 +98,11 @@ def test_shards_take_disjoint_draws(docs, tmp_path):
     mixing.write_mix(plan, str(tmp_path / "mix"))
     back = docs.sparkSession.read.parquet(str(tmp_path / "mix"))
     assert Counter((r["row"]["doc_id"], r["shard"]) for r in back.collect()) == Counter((d, s) for d, _, s in draws)
+
+
+def test_rows_stand_by_shard_in_seeded_order(docs):
+    draws = [(s, p, r["doc_id"]) for r in mixing.mix_digest(docs, block_rows=2).collect() for s, p in zip(r["shards"], r["places"])]
+    assert {d[0] for d in draws} == set(range(mixing.SHARDS))
+    planned = mixing.plan(docs, block_rows=2)
+    assert [r["doc_id"] for r in mixing.mixed_rows(planned).collect()] == [d[2] for d in sorted(draws)]
+    assert sorted(draws) != sorted(draws, key=lambda d: (d[0], d[2]))

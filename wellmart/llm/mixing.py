@@ -15,7 +15,8 @@
    sources' counts of the left child are one multivariate-hypergeometric draw
    (seeded by the node), so every draw lands in exactly one shard and each
    shard has the mix of a random sample. The shards take disjoint ranges of
-   each source's permuted blocks and order their rows by a seeded hash.
+   each source's permuted blocks and order their rows by a seeded hash
+   (``place``); ``mixed_rows`` and ``write_mix`` write them so.
 """
 
 from __future__ import annotations
@@ -157,7 +158,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     The texts are read twice: once to write sizes and hashes, from which all is
     planned, and once with the result.
 
-    ``draws`` has one (pass, shard) per time the row is taken; ``taken`` is the
+    ``draws`` has one (pass, shard, place) per time the row is taken, ``place``
+    being its seeded order inside the shard; ``taken`` is the
     row's size times their number, never over ``max_repeats`` times. A
     source's taken words miss its target by what the rows of one block cannot
     make up between them: mostly nothing, at worst half their smallest. A null text has size 0 and a null source is a source of its
@@ -226,23 +228,33 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         fits, (F.col("_s") == F.col("f_s")) & (F.col("_k") == F.col("f_k")), "left")
     drawn = F.filter(F.coalesce("all", F.array().cast("array<struct<pass:int,shard:int,whole:boolean>>")),
                      lambda d: d["whole"] | F.col("f_s").isNotNull())
-    drawn = F.transform(drawn, lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard")))
+    drawn = F.transform(drawn, lambda d: F.struct(
+        d["pass"].alias("pass"), d["shard"].alias("shard"),
+        F.shiftrightunsigned(_hash(seed, 5, "_s", "_k", d["pass"]), 1).alias("place")))
     return out.select("row", "size", "source_size", "target", drawn.alias("draws")).select(
         "row", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "draws")
 
 
-def mixed_rows(planned: DataFrame) -> DataFrame:
-    """The mix itself: the input's columns, a row as often as it is drawn."""
-    return planned.select("row", F.explode("draws")).select("row.*")
+def _by_shard(planned: DataFrame, shards: int) -> DataFrame:
+    """``shard, row`` per draw, every shard in slices of its seeded order: one slice a task, slices and rows in order."""
+    slices = max(1, math.ceil(int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards))
+    out = planned.select("row", F.explode("draws").alias("d")).select("row", "d.shard", "d.place")
+    at = F.col("shard") * slices + F.shiftright(F.shiftright("place", 32) * slices, 31)  # places are even in 63 bits
+    return out.repartitionById(shards * slices, at.cast("int")).sortWithinPartitions("shard", "place").select("shard", "row")
 
 
-def write_mix(planned: DataFrame, path: str, id_col: str = "doc_id", seed: int = SEED) -> None:
+def mixed_rows(planned: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The mix itself: the input's columns, a row as often as it is drawn, shard by shard in the seeded order."""
+    return _by_shard(planned, shards).select("row.*")
+
+
+def write_mix(planned: DataFrame, path: str, shards: int = SHARDS) -> None:
     """One folder a shard; inside each file the rows of all sources stand in a seeded random order."""
-    out = planned.select("row", F.explode("draws").alias("d")).select(
-        "row", F.col("d.shard").alias("shard"), _hash(seed, 5, F.col(f"row.{id_col}"), F.col("d.pass")).alias("o"))
-    out.repartition("shard", F.pmod("o", F.lit(64))).sortWithinPartitions("shard", "o").select("shard", "row").write.partitionBy("shard").parquet(path)
+    _by_shard(planned, shards).write.partitionBy("shard").parquet(path)
 
 
 def mix_digest(docs: DataFrame, **settings) -> DataFrame:
+    """Per row its sizes and words taken, and the shard and the place in it of each of its draws."""
     return plan(docs.select("doc_id", "text", "source"), columns=["doc_id"], **settings).select(
-        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
+        F.col("draws.shard").alias("shards"), F.col("draws.place").alias("places"))
