@@ -53,7 +53,7 @@ from wellmart.plans.frac_detail import (
     version_label,
 )
 from wellmart.plans.well_test import choke_size, rate_fill
-from wellmart.sources.tables import read_table
+from wellmart.sources.tables import read_table, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1227,11 +1227,6 @@ def piping_job(spark, sf):
 # Flagship: the well-header mart on the role-mapped tables
 # --------------------------------------------------------------------------
 
-MART_COLUMNS = (("state", "state", False), ("totalDepth", "totalDepth", False), ("playArea", "playArea", True),
-                ("completionDate", "completionDate", False), ("firstProductionDate", "firstProductionDate", False),
-                ("proppantLbs", "totalProppantLbs", False), ("treatmentBbls", "totalTreatmentBbls", False))
-
-
 def mart_inputs(spark, sf):
     o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
@@ -1245,6 +1240,9 @@ def mart_inputs(spark, sf):
         col("o_totalprice").alias("totalDepth"), F.lower("c_mktsegment").alias("playArea"),
         F.when(col("c_acctbal") > 0, col("c_acctbal")).alias("proppantLbs"),
         F.when(col("c_acctbal") > 5000, col("c_acctbal")).alias("treatmentBbls")))
+    # The published header's layout: what the tables have no column for is a typed NULL.
+    header = header.select(*[col(f.name) if f.name in header.columns else typed_null(f.dataType.simpleString()).alias(f.name)
+                             for f in schema("espHeader")])
     lo = li.join(o.select("o_orderkey", "o_custkey"), col("o_orderkey") == col("l_orderkey"))
     frac = (lo.join(p, p["p_partkey"] == col("l_partkey")).select(
         col("o_custkey").cast("string").alias("api10"),
@@ -1276,6 +1274,30 @@ _MART_TEST_SQL = ", ".join(
     f'w."{src}" AS "{name}"' for src, name in header_mart.MART_TEST_COLUMNS)
 
 
+def _nulls_sql(kind, names):
+    return ", ".join(f'CAST(NULL AS {kind}) AS "{n}"' for n in names.split())
+
+
+# The mart's header columns in order, written out from the source, not from MART_HEADER_COLUMNS.
+_MART_HEADER_SQL = ", ".join([
+    "h.state", _nulls_sql("VARCHAR", "county field reservoir reservoirAlias primaryProduct wellbore"),
+    _nulls_sql("DOUBLE", "perfInterval"),
+    _nulls_sql("VARCHAR", "perfIntervalSource section township range quarterQuarter abstract survey"),
+    _nulls_sql("DOUBLE", "upperPerforation lowerPerforation"), "h.totalDepth", _nulls_sql("DOUBLE", "tvd latitude27 longitude27"),
+    _nulls_sql("VARCHAR", "basin"), "upper(h.playArea) AS playArea", _nulls_sql("TIMESTAMP", "spudDate"),
+    "h.completionDate", "h.firstProductionDate", _nulls_sql("TIMESTAMP", "lastProductionDate"),
+    _nulls_sql("DOUBLE", """maxIpOil maxIpGas maxIpOilPending maxIpGasPending
+        cum3MonthsOil cum3MonthsGas cum3MonthsWater cum6MonthsOil cum6MonthsGas cum6MonthsWater
+        cum12MonthsOil cum12MonthsGas cum12MonthsWater cum24MonthsOil cum24MonthsGas cum24MonthsWater
+        cum60MonthsOil cum60MonthsGas cum60MonthsWater cumTotalOil cumTotalGas cumTotalWater EUROil EURgas
+        azimuth lateralLength cumulativeGasOilRatio firstGasOilRatio lastGasOilRatio pracIPGasOilRatio
+        first3MonthsGasOilRatio"""),
+    _nulls_sql("VARCHAR", "wellType"),
+    _nulls_sql("DOUBLE", "oilGravity gasGravity lastProductionOil lastProductionGas lastProductionWater"),
+    _nulls_sql("VARCHAR", "allocFlag intermediateCasing simulFrac padDrill linerSize tubingSize"), _nulls_sql("INTEGER", "stages"),
+    "h.proppantLbs AS totalProppantLbs", "h.treatmentBbls AS totalTreatmentBbls"])
+
+
 @register("header_mart", f"""
 WITH lo AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
 hdr AS (
@@ -1334,8 +1356,7 @@ hp AS (
   SELECT DISTINCT h.api, h.hpdiEntityId, upper(h.play) AS play, h.operator,
          CAST(DENSE_RANK() OVER (PARTITION BY h.api ORDER BY h.firstProductionDate DESC NULLS LAST,
                                  h.completionDate DESC NULLS LAST) AS BIGINT) AS dateRank,
-         h.state, h.totalDepth, upper(h.playArea) AS playArea, h.completionDate, h.firstProductionDate,
-         h.proppantLbs AS totalProppantLbs, h.treatmentBbls AS totalTreatmentBbls
+         {_MART_HEADER_SQL}
   FROM hdr h WHERE EXISTS (SELECT api FROM ut u WHERE u.api = h.api))
 SELECT DISTINCT h.*, f.cumWaterBbl AS totalWaterBbl,
   MIN(p.casingBottom) OVER (PARTITION BY p.API) AS surfaceCasingDepth,
@@ -1357,7 +1378,7 @@ LEFT JOIN wt w ON w.api = h.api AND h.dateRank = 1 AND w.dateRank = 1
 def header_mart_q(spark, sf):
     header, frac, piping, tests = mart_inputs(spark, sf)
     # A driver query stays lazy (no writes while the plan is built).
-    return header_mart.build(header, frac, piping, tests, columns=MART_COLUMNS, materialize=False)
+    return header_mart.build(header, frac, piping, tests, materialize=False)
 
 
 # --------------------------------------------------------------------------
