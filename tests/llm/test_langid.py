@@ -33,3 +33,12 @@ def test_edges(spark, edge, empty):
     assert langid.language_id(empty).count() == 0
     unlabelled = edge.drop("lang").selectExpr("*", "CAST(NULL AS string) AS lang")
     assert {r["lang_pred"] for r in langid.language_id(unlabelled).collect()} == {"und"}
+
+
+def test_draw_with_thousands_of_labels(spark):
+    labels = [f"dirty {k}" for k in range(3000)]
+    rows = [(k, f"text {k}", lang) for k, lang in enumerate(labels)] + [(10 ** 6 + k, f"more {k}", "en") for k in range(2000)]
+    counts = {**{lang: 1 for lang in labels}, "en": 2000}
+    got = langid.draw(spark.createDataFrame(rows, "doc_id long, text string, lang string"), counts, 100).collect()
+    assert {r["lang"] for r in got} == set(counts)
+    assert 5 <= sum(r["lang"] == "en" for r in got) <= 60  # 20 on average

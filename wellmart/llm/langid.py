@@ -6,7 +6,7 @@
 * Document frequencies are counted over *all* training rows (one bucket vector
   a task, summed by Spark).
 * The weights are fitted by follow-the-regularised-leader with L1 and L2
-  penalties on a bounded sample, ``sample`` rows in all, dealt evenly to the
+  penalties on a bounded sample, about max(``sample``, 20 x languages) rows, dealt evenly to the
   languages by a hash of id and text, repeated rows once; part of it is held
   back to fit the temperature of the softmax.
 * Prediction needs no per-text vector: the weighted n-grams of a text are
@@ -179,18 +179,26 @@ def fit(examples: list[tuple[str, bool, np.ndarray, np.ndarray]], df: np.ndarray
     return model
 
 
+def draw(rows: DataFrame, counts: dict[str, int], sample: int = SAMPLE) -> DataFrame:
+    """Distinct ``doc_id, text, lang``: about ``sample / languages`` rows of each, 20 at least, all if it has fewer.
+
+    ``counts`` has the rows of every language. The shares are joined as a
+    table, one row a language, the size of the model's class list.
+    """
+    each = max(20, sample // len(counts))
+    shares = rows.sparkSession.createDataFrame(
+        [(lang, min(1 << 30, int((1 << 30) * each / k) + 1)) for lang, k in counts.items()], "lang string, _share long")
+    ticket = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 30))
+    return rows.join(F.broadcast(shares), "lang").where(ticket < F.col("_share")).select("doc_id", "text", "lang").distinct()
+
+
 def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """Model from rows with ``doc_id, text, lang`` (non-null): frequencies from all, weights from ``sample`` rows."""
+    """Model from rows with ``doc_id, text, lang`` (non-null): frequencies from all, weights from about max(``sample``, 20 x languages)."""
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return Model([], np.zeros((1 << BITS, 1), np.float32), np.zeros(0))
     df, n = document_frequencies(rows)
-    each = max(20, sample // len(counts))
-    share = F.lit(0)
-    for lang, k in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1 << 30, int((1 << 30) * each / k) + 1))).otherwise(share)
-    ticket = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 30))
-    drawn = rows.where(ticket < share).select("doc_id", "text", "lang").distinct()
+    drawn = draw(rows, counts, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
