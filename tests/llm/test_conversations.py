@@ -1,0 +1,146 @@
+import hashlib
+import heapq
+import random
+import zlib
+
+import pytest
+
+from wellmart.llm import conversations as conv
+
+STEP = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+
+def cheapest(rows, prune=True):
+    """Cost and letters of the best edits by uniform-cost search; rows: (initial, must go, truncated)."""
+    heap, seen = [(0, "", 0, "")], set()
+    while heap:
+        cost, letters, i, end = heapq.heappop(heap)
+        if (i, end) in seen:
+            continue
+        if prune:
+            seen.add((i, end))
+        if i == len(rows) and end in ("", "a"):
+            return cost, letters
+        for to in "ua":
+            if to in STEP[end] and not letters.endswith("III"):
+                heapq.heappush(heap, (cost + 2, letters + "I", i, to))
+        if i < len(rows):
+            first, go, cut = rows[i]
+            heapq.heappush(heap, (cost + 3, letters + "D", i + 1, end))
+            if not go:
+                if first in STEP[end]:
+                    heapq.heappush(heap, (cost + cut, letters + "K", i + 1, first))
+                for to in "ua":
+                    if to in STEP[end]:
+                        heapq.heappush(heap, (cost + 2 + cut, letters + "R", i + 1, to))
+
+
+def brute(table):
+    """Every contract column, per conversation, from (conv_id, turn, role, text) rows."""
+    out = {}
+    for c in {r[0] for r in table}:
+        rows = []
+        for _, turn, role, text in (r for r in table if r[0] == c):
+            kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+            role, text = " " if role is None else role, " " if text is None else text
+            text = "" if kind == 1 else "".join(x for x in text if x not in ".!?") if kind == 2 else text
+            rows += [(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        faults, had = [], set()
+        for _, role, text in rows:
+            bare = text.strip(conv.BLANK)
+            faults.append("b" if not bare else "d" if (role, text) in had else "t" if bare[-1] not in ".!?" else "")
+            had.add((role, text))
+        turns = [r[0] for r in rows if r[0] is not None]
+        initials = [r[1][:1] for r in rows]
+        cost, audit = cheapest([(x, f in ("b", "d"), f == "t") for x, f in zip(initials, faults)])
+        kept, left = [], iter(rows)
+        for x in audit:
+            row = next(left) if x != "I" else (None, None, "")
+            if x != "D":
+                n = len(kept) - (1 if kept and kept[0].startswith("s") else 0)
+                kept.append(f"{row[1] if x == 'K' else ('user', 'assistant')[n % 2]}:{row[2]}")
+        out[c] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults.count("b"), faults.count("d"), faults.count("t"),
+                  sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit,
+                  hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    return out
+
+
+def searched(rows):
+    edits = []
+    search = conv.Repair(edits.append)
+    for i, (first, go, cut) in enumerate(rows):
+        search.row({"s": "system", "u": "user", "a": "assistant"}.get(first, first), i, str(i), go, cut)
+    return (search.close(), "".join(e[0] for e in edits)), edits
+
+
+def test_search_equals_uniform_cost_search():
+    r = random.Random(5)
+    for n in range(400):
+        rows = [(r.choice("suaxxuua"), r.random() < .25, r.random() < .3) for _ in range(r.randint(0, 5 if n % 2 else 40))]
+        got, edits = searched(rows)
+        assert got == cheapest(rows, prune=n % 2 == 0)
+        roles = "".join(e[1][:1] for e in edits if e[0] != "D")
+        assert not roles.lstrip("s").replace("ua", "") and roles.count("s") <= 1
+        assert [e[2] for e in edits if e[0] != "I"] == list(range(len(rows)))
+
+
+def test_settled_rows_leave_memory():
+    gone, most = [], 0
+    search = conv.Repair(gone.append)
+    for i in range(3000):
+        search.row("user" if i % 2 == 0 else "assistant", i, "x" * 100, i % 97 == 0, False)
+        most = max(most, search.unsettled())
+    assert most < 20 and len(gone) > 2980
+    search.close()
+    assert search.unsettled() == 0
+
+
+def rows_of(df):
+    return [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in df.collect()]
+
+
+def digest(df):
+    got = conv.repair_digest(df).collect()
+    assert len(got) == len({r["conv_id"] for r in got})
+    return {r["conv_id"]: tuple(r)[1:] for r in got}
+
+
+def test_matches_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").repartition(3)
+    assert digest(df) == brute(rows_of(df))
+
+
+def test_edge_rows_and_a_hot_conversation(spark):
+    r = random.Random(9)
+    roles = ["user", "assistant", "system", "tool", "", None, "User"]
+    texts = [None, "", " \t\r\n", "Yes.", "yes", "Why?  ", "é!", "漢字", "a.b", "Yes.", "x " * 40000 + "."]
+    table = [(r.choice([1, 2, 3, None]), r.choice([None, 0, 1, 2, 5, -3, 10 ** 12]), r.choice(roles), r.choice(texts)) for _ in range(150)]
+    table += table[:20] + [(7, i, r.choice(roles[:3]), r.choice(texts[3:9]) + str(i % 9)) for i in range(2000)] + [(8, None, None, None)]
+    # Conversations whose only row the damage drops.
+    table += [(i, 0, "user", "Hi.") for i in range(1000, 1200)]
+    df = spark.createDataFrame([(*t, 1, "x") for t in table], "conv_id long, turn long, role string, text string, copies int, audit string").repartition(5)
+    got = digest(df)
+    assert got == brute(table)
+    assert got[8][0] == 0 and any(v == (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest()) for v in got.values())
+
+
+def test_repaired_turns_give_the_digest(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    texts, letters = {}, {}
+    for e in sorted(conv.repaired_turns(conv.damaged(df)).collect(), key=lambda e: (e["conv_id"], e["step"])):
+        letters[e["conv_id"]] = letters.get(e["conv_id"], "") + e["edit"]
+        if e["edit"] != "D":
+            texts.setdefault(e["conv_id"], []).append(f"{e['role']}:{e['text']}")
+    got = digest(df)
+    assert letters == {c: v[6] for c, v in got.items() if v[6]}
+    assert all(hashlib.sha256("\n".join(texts.get(c, [])).encode()).hexdigest() == v[7] for c, v in got.items())
+
+
+@pytest.mark.parametrize("key", ["long", "string"])
+def test_empty_and_other_key_types(spark, key):
+    schema = f"conv_id {key}, turn int, role string, text string"
+    assert conv.repair_digest(spark.createDataFrame([], schema)).count() == 0
+    assert conv.repaired_turns(conv.conversation_rows(spark.createDataFrame([], schema))).count() == 0
+    one = spark.createDataFrame([("c" if key == "string" else 4, 0, "user", "Hi.")], schema)
+    assert [tuple(r)[-2:] for r in conv.repair_audit(conv.conversation_rows(one)).select("cost", "audit").collect()] == [(2, "KI")]

@@ -8,7 +8,7 @@ from conftest import SF
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     names = [c[0] for c in want.description]

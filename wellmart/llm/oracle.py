@@ -53,4 +53,65 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op3_quality_rules": OP3, "op7_substring_dedup": OP7, "op9_decontamination": OP9}
+# crc32 bit by bit; four states (nothing, s, u, a) with cost and letters, one row after the other.
+OP13 = r"""
+WITH RECURSIVE k AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+crc AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    flatten(list_transform(range(1, len(key) + 1), lambda i: [ascii(key[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS ini FROM d),
+f AS (
+  SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault
+  FROM o),
+p AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0, 'a': ''} AS n, {'c': 1000000000, 'a': ''} AS s, {'c': 1000000000, 'a': ''} AS u, {'c': 1000000000, 'a': ''} AS e
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {'c': n.c + 3, 'a': n.a || 'D'},
+    list_min([{'c': s.c + 3, 'a': s.a || 'D'}, {'c': n.c + t + CASE WHEN ini = 's' THEN x ELSE 1000000000 END, 'a': n.a || 'K'}]),
+    list_min([{'c': u.c + 3, 'a': u.a || 'D'}, {'c': w.c + t + CASE WHEN ini = 'u' THEN x ELSE 1000000000 END, 'a': w.a || 'K'},
+      {'c': u.c + t + 2 + CASE WHEN ini = 'u' THEN x ELSE 1000000000 END, 'a': u.a || 'IK'},
+      {'c': w.c + t + 2 + x, 'a': w.a || 'R'}, {'c': u.c + t + 4 + x, 'a': u.a || 'IR'}]),
+    list_min([{'c': e.c + 3, 'a': e.a || 'D'}, {'c': u.c + t + CASE WHEN ini = 'a' THEN x ELSE 1000000000 END, 'a': u.a || 'K'},
+      {'c': w.c + t + 2 + CASE WHEN ini = 'a' THEN x ELSE 1000000000 END, 'a': w.a || 'IK'},
+      {'c': u.c + t + 2 + x, 'a': u.a || 'R'}, {'c': w.c + t + 4 + x, 'a': w.a || 'IR'}])
+  FROM (SELECT p.conv_id, f.i, n, s, u, e, list_min([n, s, e]) AS w, ini, CASE WHEN fault = 't' THEN 1 ELSE 0 END AS t,
+      CASE WHEN fault IN ('b', 'd') THEN 1000000000 ELSE 0 END AS x
+    FROM p JOIN f ON f.conv_id = p.conv_id AND f.i = p.i + 1)),
+z AS (
+  SELECT conv_id, list_min([n, e, {'c': u.c + 2, 'a': u.a || 'I'}, {'c': s.c + 4, 'a': s.a || 'II'}]) AS z
+  FROM p QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+steps AS (
+  SELECT conv_id, l, j, sum(CASE WHEN l <> 'I' THEN 1 ELSE 0 END) OVER w AS i, sum(CASE WHEN l <> 'D' THEN 1 ELSE 0 END) OVER w AS pos
+  FROM (SELECT conv_id, unnest(string_split(z.a, '')) AS l, unnest(range(1, len(z.a) + 1)) AS j FROM z WHERE z.a <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+kept AS (
+  SELECT steps.conv_id, pos, l, f.role, CASE WHEN l = 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN pos = 1 AND l = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY steps.conv_id) AS sys
+  FROM steps LEFT JOIN f ON f.conv_id = steps.conv_id AND f.i = steps.i AND l <> 'I' WHERE l <> 'D'),
+rep AS (
+  SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN (pos - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY pos) AS t
+  FROM kept GROUP BY conv_id),
+c AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, z.c::BIGINT AS cost, z.a AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM z LEFT JOIN c USING (conv_id) LEFT JOIN rep USING (conv_id)
+"""
+
+ORACLE = {"op3_quality_rules": OP3, "op7_substring_dedup": OP7, "op9_decontamination": OP9,
+          "op13_conversation_repair": OP13}
