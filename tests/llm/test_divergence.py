@@ -1,0 +1,87 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from wellmart.llm import divergence as div
+
+
+def brute(rows, min_docs=3, top=200):
+    docs = []
+    for text, lang, source in rows:
+        t = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        docs.append((lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t)))
+    out = set()
+    for lang in {d[0] for d in docs}:
+        mine = [d for d in docs if d[0] == lang]
+        df = Counter(t for d in mine for t in set(d[2]))
+        kept = sorted(t for t in df if df[t] >= min_docs)
+        counts = defaultdict(Counter)
+        for _, source, words in mine:
+            counts[source].update(w for w in words if df[w] >= min_docs)
+        whole = sum(counts.values(), Counter())
+        p = lambda c, n: 1 + 10 ** 9 * (c + 1) // (n + len(kept))
+        prob = {s: {t: p(c[t], sum(c.values())) for t in kept} for s, c in counts.items()}
+        q = {t: p(whole[t], sum(whole.values())) for t in kept}
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in counts:
+            pairs = [(o, sum(f(prob[s][t], prob[o][t]) for t in kept)) for o in counts if o != s]
+            terms = [(t, f(prob[s][t], q[t])) for t in kept if counts[s][t] and prob[s][t] > q[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out |= {(lang, s, part, i, v, r) for r, (i, v) in enumerate(items, 1) if part == "pair" or r <= top}
+    return out
+
+
+def audit(df, **settings):
+    got = [tuple(r) for r in div.divergence_audit(df, **settings).select("lang", "source", "part", "item", "value", "rank").collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+def rows_of(df):
+    return [(r["text"], r["lang"], r["source"]) for r in df.collect()]
+
+
+@pytest.mark.parametrize("rows,columns", [(1, 1), (2, 1), (1, 9), (5, 3), (13, 40), (40, 13), (64, 64)])
+def test_pair_sums_equal_dense_matrix(rows, columns):
+    r = np.random.default_rng(rows * 100 + columns)
+    for share in (0, .05, .3, 1):
+        zero = r.integers(1, 50, rows)
+        filled = r.random((rows, columns)) < share
+        dense = np.where(filled, r.integers(50, 10 ** 9, (rows, columns)), zero[:, None])
+        i, j = np.nonzero(filled)
+        mix = r.permutation(len(i))
+        got = div.pair_sums(i[mix], j[mix], dense[i, j][mix], zero, columns)
+        want = ((dense[:, None, :] - dense[None, :, :]) ** 2 // dense[None, :, :]).sum(2)
+        off = ~np.eye(rows, dtype=bool)
+        assert (got[off] == want[off]).all()
+
+
+@pytest.mark.parametrize("tile", [dict(), dict(tile_rows=3, tile_columns=7)])
+def test_matches_brute_force(docs, tile):
+    assert audit(docs, **tile) == brute(rows_of(docs))
+
+
+def test_edges(edge, empty, spark):
+    assert audit(edge) == brute(rows_of(edge))
+    assert audit(edge, min_docs=1, top=5) == brute(rows_of(edge), 1, 5)
+    assert audit(empty) == set()
+    # No kept term, ties, non-ASCII items, a source named like another's column, one language of one source.
+    rows = [("alpha Beta é漢", "x", "b"), ("é漢 beta", "x", "a"), ("12 34 _", "x", None), ("z", "lone", "s"), (None, "x", "item"), ("beta beta", None, None)]
+    rows = rows * 3 + [("solo words here", "few", "p"), ("other", "few", "q")]
+    df = spark.createDataFrame([(*r, 0, "v") for r in rows], "text string, lang string, source string, rank int, item string")
+    assert audit(df) == brute(rows)
+
+
+def test_small_tallies_change_nothing(docs, monkeypatch):
+    want = {tuple(r) for r in div.term_counts(docs).collect()}
+    monkeypatch.setattr(div, "TALLY_TERMS", 50)
+    assert {tuple(r) for r in div.term_counts(docs).collect()} == want
+
+
+def test_probabilities_are_exact(spark):
+    n = 9_000_000_000_000_000_000
+    got = spark.range(1).select(div.probability(div.F.lit(n - 7), div.F.lit(n), div.F.lit(3)).alias("p")).first()["p"]
+    assert got == 1 + 10 ** 9 * (n - 6) // (n + 3)

@@ -113,5 +113,29 @@ SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM z LEFT JOIN c USING (conv_id) LEFT JOIN rep USING (conv_id)
 """
 
+# The whole matrix, zeros included.
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS c FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source) USING (lang, source)),
+m AS (SELECT lang, source, term, coalesce(c.c, 0) AS c, (1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 1) // (g.n + v.v))::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (k.c + 1) // (v.n + v.v))::BIGINT AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM m WHERE c > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
+
 ORACLE = {"op3_quality_rules": OP3, "op7_substring_dedup": OP7, "op9_decontamination": OP9,
-          "op13_conversation_repair": OP13}
+          "op12_source_divergence": OP12, "op13_conversation_repair": OP13}

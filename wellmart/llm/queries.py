@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import read_table
 from .conversations import repair_digest
 from .decontam import decontam_digest
+from .divergence import divergence_audit
 from .langid import language_id
 from .licenses import license_digest
 from .mixing import mix_digest
@@ -59,12 +60,16 @@ def op10_sharding(spark, sf_dir):
     return shard_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark, sf_dir):
+    return divergence_audit(read_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark, sf_dir):
     return repair_digest(read_table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_language_id, op6_secret_scan,
-    op7_substring_dedup, op8_source_mix, op9_decontamination, op10_sharding, op13_conversation_repair)}
+    op7_substring_dedup, op8_source_mix, op9_decontamination, op10_sharding, op12_source_divergence, op13_conversation_repair)}
 
 
