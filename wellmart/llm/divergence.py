@@ -36,7 +36,7 @@ TILE_ROWS = 32
 TILE_COLUMNS = 1024
 #: A-Z to a-z; every other ASCII byte that is no letter becomes a blank.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
-TALLY_TERMS = 200_000  # distinct (group, term) pairs that a task holds before it passes them on
+TALLY_TERMS = 500_000  # distinct (group, term) pairs that a task holds before it passes them on
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -232,22 +232,22 @@ def source_pairs(matrix: Matrix, tile_rows: int = TILE_ROWS, tile_columns: int =
     def tile(keys: tuple, table: pa.Table) -> pa.Table:
         term = table.column("term").combine_chunks()
         is_row = term.is_null().to_numpy(zero_copy_only=False)
-        source = np.array(table.column("source").to_pylist(), object)
+        names_ = table.column("source").combine_chunks().dictionary_encode()
+        source = names_.indices.to_numpy()  # numbers of the tile's sources
         p = table.column("p").to_numpy()
         band_of = table.column("band").to_numpy()
-        order = np.argsort(source[is_row], kind="stable")
-        group, zero, bands_ = source[is_row][order], p[is_row][order], band_of[is_row][order]
+        group, zero, bands_ = source[is_row], p[is_row], band_of[is_row]
         cell_term = term.filter(pa.array(~is_row)).dictionary_encode()
         columns = len(cell_term.dictionary)
-        at = {s: i for i, s in enumerate(group)}
-        row = np.array([at[s] for s in source[~is_row]], np.int64)
-        sums = pair_sums(row, cell_term.indices.to_numpy().astype(np.int64), p[~is_row], zero, columns)
+        at = np.zeros(len(names_.dictionary), np.int64)
+        at[group] = np.arange(len(group))
+        sums = pair_sums(at[source[~is_row]], cell_term.indices.to_numpy().astype(np.int64), p[~is_row], zero, columns)
         # Each pair belongs to the task of its bands; columns without a cell are priced at the end.
         low, high = keys[2].as_py(), keys[3].as_py()
         ends_ = np.sort(np.stack(np.broadcast_arrays(bands_[:, None], bands_[None, :])), 0)
         i, j = np.nonzero((ends_[0] == low) & (ends_[1] == high) & ~np.eye(len(group), dtype=bool) & (columns > 0))
-        return pa.table({"lang": pa.array([keys[0].as_py()] * len(i), pa.string()), "source": pa.array(group[i], pa.string()),
-                         "other": pa.array(group[j], pa.string()), "value": pa.array(sums[i, j], pa.int64()),
+        return pa.table({"lang": pa.array([keys[0].as_py()] * len(i), pa.string()), "source": names_.dictionary.take(pa.array(group[i])),
+                         "other": names_.dictionary.take(pa.array(group[j])), "value": pa.array(sums[i, j], pa.int64()),
                          "columns": pa.array(np.full(len(i), columns, np.int64))})
 
     shares = (cells.select(*names, "source", "term", "p", "band").unionByName(rows.select(*names, "source", "term", "p", "band"))

@@ -15,6 +15,7 @@ from .secrets import secret_digest
 from .sharding import shard_digest
 from .simhash import near_duplicates
 from .substrings import substring_digest
+from .suffixes import suffix_digest
 from .tokencount import token_counts
 
 
@@ -60,6 +61,10 @@ def op10_sharding(spark, sf_dir):
     return shard_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array_dedup(spark, sf_dir):
+    return suffix_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark, sf_dir):
     return divergence_audit(read_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,6 @@ def op13_conversation_repair(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_language_id, op6_secret_scan,
-    op7_substring_dedup, op8_source_mix, op9_decontamination, op10_sharding, op12_source_divergence, op13_conversation_repair)}
+    op7_substring_dedup, op8_source_mix, op9_decontamination, op10_sharding, op11_suffix_array_dedup, op12_source_divergence, op13_conversation_repair)}
 
 
