@@ -137,5 +137,21 @@ SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DES
 FROM parts QUALIFY part = 'pair' OR rank <= 200
 """
 
+# All 100-byte strings (as hex) in order of their starts; removed runs are the islands of covered bytes.
+OP11 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT doc_id, o, n, substring(h, 2 * o + 1, 1222) AS h FROM (SELECT doc_id, h, n, unnest(range(0, n - 99, 512)) AS o FROM d)),
+g AS (SELECT doc_id, o + j AS i, md5(substring(h, 2 * j + 1, 200)) AS g FROM (SELECT *, unnest(range(least(512, n - 99 - o))) AS j FROM p)),
+dup AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+e AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 100, true) AS new FROM dup WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+island AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e) GROUP BY doc_id, k),
+gap AS (SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM island WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN island USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substring(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM island GROUP BY doc_id)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) JOIN kept USING (doc_id)
+"""
+
 ORACLE = {"op3_quality_rules": OP3, "op7_substring_dedup": OP7, "op9_decontamination": OP9,
-          "op12_source_divergence": OP12, "op13_conversation_repair": OP13}
+          "op11_suffix_array_dedup": OP11, "op12_source_divergence": OP12, "op13_conversation_repair": OP13}
