@@ -43,7 +43,7 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` under the checkpoint directory and return the table read back."""
     path = f"{checkpoint_root(df)}/wellmart/{name}-{uuid.uuid4().hex}"
     CUTS.append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
