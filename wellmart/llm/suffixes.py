@@ -7,19 +7,19 @@ maximal run of windows that share one travels as one string.
 1. Texts are packed into compressed chunks of a few MB, written once.
 2. Every chunk sends its minimisers (32 bits each, once) to buckets; those met
    once in the corpus belong to no repeated window. The rest come back as bits.
-3. Chunks cut out the strings of repeated minimisers. Equal strings become one
-   row, first in the chunk and then by a Spark aggregate that keeps the smallest
-   and largest document, so copies and shared passages meet as one row.
+3. Chunks cut out the strings of repeated minimisers, equal ones once with all
+   their places, and the smallest and largest document.
 4. A bucket sorts the suffixes of its distinct strings in two stages: suffixes
    smaller than their successors directly, the others induced by scanning the
    buckets of first bytes. Neighbours with a common prefix of ``k`` bytes are
-   equal windows; the smallest document of each goes back by string.
+   equal windows; the smallest document of each goes back to the chunks.
 5. Chunks mark the windows whose smallest document is smaller than their own,
    and those that stand earlier in the same text (found by the same sort inside
    the chunk).
 
-A gram in very many different strings (a frequent line between changing
-neighbours) is hot: its windows leave the sort and are grouped by Spark.
+A gram in the strings of very many chunks (a frequent line, a passage in a third
+of all texts) is hot: Spark aggregates its strings and groups their windows, so
+they never meet in one task.
 """
 
 from __future__ import annotations
@@ -39,11 +39,11 @@ from .common import chunks, index_runs, shared_table, texts
 
 WINDOW = 100
 GRAM = 32
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 HASH_BUCKET = 2 << 20  # minimisers of a bucket
 STRING_BUCKET = 8 << 20  # bytes of text for a bucket of strings
 SORT_BYTES = 2 << 20  # bytes that one suffix sort takes
-HOT = 20_000  # strings of one gram that a bucket may hold
+HOT = 20_000  # chunks' strings of one gram that a bucket may hold
 NO_ID = np.iinfo(np.int64).max  # a null id is no smaller than any other
 END = b"\xff"  # in no UTF-8 text
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -416,15 +416,23 @@ def repeated_strings(packed: DataFrame, bits: DataFrame, k: int, m: int, buckets
     return packed.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInArrow(cut, STRINGS)
 
 
-RANGES = "key binary, start long, end long, least long"
+RANGES = "chunk long, places binary, start long, end long, least long"
 
 
 def smallest_documents(table: pa.Table, k: int) -> pa.Table:
-    """Window ranges of a bucket's distinct strings whose smallest document is below the string's largest."""
-    low = table.column("low").to_numpy()
-    order = np.argsort(low, kind="stable")
-    low, least, most = low[order], table.column("least").to_numpy()[order], table.column("most").to_numpy()[order]
-    strings = table.column("string").take(pa.array(order)).to_pylist()
+    """Window ranges of a bucket's strings whose smallest document is below the largest of the string in that chunk."""
+    key = table.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
+    by_key = np.argsort(key, kind="stable")
+    first_row = np.flatnonzero(np.append(True, key[by_key][1:] != key[by_key][:-1]))
+    rows_of = np.diff(np.append(first_row, len(key)))
+    row_most = table.column("most").to_numpy()
+    least = np.minimum.reduceat(table.column("least").to_numpy()[by_key], first_row)
+    most = np.maximum.reduceat(row_most[by_key], first_row)
+    one = by_key[first_row]  # a row of each distinct string
+    order = np.argsort(table.column("low").to_numpy()[one], kind="stable")
+    one, first_row, rows_of, least, most = one[order], first_row[order], rows_of[order], least[order], most[order]
+    low = table.column("low").to_numpy()[one]
+    strings = table.column("string").take(pa.array(one)).to_pylist()
     size = np.array([len(s) for s in strings], np.int64)
     begin = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
     grams = np.diff(np.append(begin, len(low)))  # distinct strings of each gram
@@ -435,25 +443,30 @@ def smallest_documents(table: pa.Table, k: int) -> pa.Table:
     weight = np.add.reduceat(size, begin)[grams > 1]
     grams = grams[grams > 1]
     for s, e in chunks(weight.tolist(), SORT_BYTES):
-        rows = index_runs(many[s:e], grams[s:e])
-        string, offset, window = equal_windows([strings[i] for i in rows.tolist()], k)
+        part = index_runs(many[s:e], grams[s:e])
+        string, offset, window = equal_windows([strings[i] for i in part.tolist()], k)
         cut = np.flatnonzero(np.append(True, window[1:] != window[:-1]))
-        smallest = np.repeat(np.minimum.reduceat(least[rows[string]], cut), np.diff(np.append(cut, len(window))))
-        use = smallest < most[rows[string]]
+        smallest = np.repeat(np.minimum.reduceat(least[part[string]], cut), np.diff(np.append(cut, len(window))))
+        use = smallest < most[part[string]]
         string, offset, smallest = string[use], offset[use], smallest[use]
-        order_ = np.lexsort((offset, string))
-        string, offset, smallest = string[order_], offset[order_], smallest[order_]
+        order = np.lexsort((offset, string))
+        string, offset, smallest = string[order], offset[order], smallest[order]
         if len(string):
             first, last = _runs_of(offset, string, smallest)
-            found.append(np.stack([rows[string[first]], offset[first], offset[last] + 1, smallest[first]], 1))
+            found.append(np.stack([part[string[first]], offset[first], offset[last] + 1, smallest[first]], 1))
     out = np.concatenate(found)
-    return pa.table({"key": table.column("key").take(pa.array(order[out[:, 0]])), "start": out[:, 1], "end": out[:, 2], "least": out[:, 3]})
+    count = rows_of[out[:, 0]]
+    row = by_key[index_runs(first_row[out[:, 0]], count)]  # every chunk that has the string
+    out = np.repeat(out, count, axis=0)
+    use = out[:, 3] < row_most[row]
+    row, out = pa.array(row[use]), out[use]
+    return pa.table({"chunk": table.column("chunk").take(row), "places": table.column("places").take(row),
+                     "start": out[:, 1], "end": out[:, 2], "least": out[:, 3]})
 
 
 def window_ranges(strings: DataFrame, buckets: int, k: int, hot: int) -> DataFrame:
-    """``key, start, end, least``: windows [start, end) of a string stand first in document ``least``, below the string's largest."""
-    strings = shared_table(strings.where("key IS NOT NULL").groupBy("low", "key", "string").agg(
-        F.min("least").alias("least"), F.max("most").alias("most")), "suffixes-distinct")
+    """``chunk, places, start, end, least``: windows [start, end) of the string at ``places`` stand first in document ``least``."""
+    strings = strings.where("key IS NOT NULL")
     frequent = shared_table(strings.groupBy("low").count().where(F.col("count") > hot).select("low"), "suffixes-hot")
     crowded = frequent.first() is not None
     cold = strings.join(frequent, "low", "left_anti") if crowded else strings
@@ -461,12 +474,13 @@ def window_ranges(strings: DataFrame, buckets: int, k: int, hot: int) -> DataFra
         lambda table: smallest_documents(table, k), RANGES)
     if not crowded:
         return found
-    windows = (strings.join(frequent, "low", "left_semi")
+    hot_strings = strings.join(frequent, "low", "left_semi")
+    windows = (hot_strings.groupBy("key", "string").agg(F.min("least").alias("least"), F.max("most").alias("most"))
                .select("key", "string", "least", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.octet_length("string").cast("long") - k)).alias("start"))
                .select("key", "start", F.expr(f"substring(string, cast(start + 1 AS int), {k})").alias("window"), "least", "most"))
     first = windows.groupBy("window").agg(F.min("least").alias("least"))
     split = windows.drop("least").join(first, "window").where("least < most").select("key", "start", (F.col("start") + 1).alias("end"), "least")
-    return found.unionByName(split)
+    return found.unionByName(hot_strings.select("chunk", "key", "places").join(split, "key").drop("key"))
 
 
 CUT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: bigint, end: bigint>>, kept binary"
@@ -487,14 +501,13 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = packed.agg(F.sum("bytes")).first()[0] or 0
     grams = max(1, math.ceil(2 * total / (k - m + 2) / HASH_BUCKET))
     strings = shared_table(repeated_strings(packed, repeated_grams(packed, k, m, grams), k, m, grams), "suffixes-strings")
-    ranges = window_ranges(strings, max(1, math.ceil(total / STRING_BUCKET)), k, hot)
-    found = (strings.where("key IS NOT NULL").select("chunk", "key", "places").join(ranges, "key").select("chunk", "places", "start", "end", "least")
-             .unionByName(strings.where("key IS NULL").select("chunk", "places"), allowMissingColumns=True))
+    found = window_ranges(strings, max(1, math.ceil(total / STRING_BUCKET)), k, hot).unionByName(
+        strings.where("key IS NULL").select("chunk", "places"), allowMissingColumns=True)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.to_pylist()[0])
         size, begin = chunk.sizes, chunk.begin
-        edge = np.zeros(len(chunk.body) + 1, np.int64)
+        edge = np.zeros(len(chunk.body) + 1, np.int32)
         own = right.column("least").is_null().to_numpy()
         for b in right.column("places").filter(pa.array(own)).to_pylist():
             text, start, end = np.frombuffer(b, np.int64).reshape(-1, 3).T
@@ -510,8 +523,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             place = begin[text[gone]] + at[gone]
             np.add.at(edge, place + start[gone], 1)
             np.add.at(edge, place + end[gone] - 1 + k, -1)
-        keep = np.cumsum(edge[:-1]) == 0
-        text = np.repeat(np.arange(len(size)), size)
+        keep = np.cumsum(edge[:-1], dtype=np.int32) == 0
+        text = np.repeat(np.arange(len(size), dtype=np.int32), size)
         removed = np.bincount(text[~keep], minlength=len(size))
         new, over = ~keep, ~keep  # first and last removed bytes
         same = text[1:] == text[:-1]
