@@ -24,7 +24,6 @@ they never meet in one task.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from array import array
 from collections import defaultdict
@@ -322,7 +321,7 @@ def pack_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], t) for x, t in ((number, pa.int64()), (len(body), pa.int64()), (ids[s:e].tobytes(), pa.binary()),
                                                    (nulls[s:e].tobytes(), pa.binary()), (sizes.tobytes(), pa.binary()),
-                                                   (pa.Codec("zstd", 3).compress(body, asbytes=True), pa.binary()))],
+                                                   (pa.Codec("zstd", 9).compress(body, asbytes=True), pa.binary()))],
                     names=["chunk", "bytes", "ids", "nulls", "sizes", "payload"])
                 number += 1
 
@@ -379,11 +378,11 @@ def repeated_grams(packed: DataFrame, k: int, m: int, buckets: int) -> DataFrame
     return sent.groupBy("bucket").applyInArrow(meet, "chunk long, bucket long, bits binary")
 
 
-STRINGS = "chunk long, low long, key binary, string binary, least long, most long, places binary"
+STRINGS = "chunk long, low long, string binary, least long, most long, places binary"
 
 
 def repeated_strings(packed: DataFrame, bits: DataFrame, k: int, m: int, buckets: int) -> DataFrame:
-    """The chunks' distinct strings of repeated minimisers with their places (text, first window), and, where ``key`` is null,
+    """The chunks' distinct strings of repeated minimisers with their places (text, first window), and, where ``string`` is null,
     the ranges (text, from, to) that a text repeats of itself."""
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.to_pylist()[0])
@@ -395,23 +394,24 @@ def repeated_strings(packed: DataFrame, bits: DataFrame, k: int, m: int, buckets
             n = int(border[i + 1] - border[i])
             repeated[border[i]:border[i + 1]] |= np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
         which = np.flatnonzero(repeated[at])
+        which = which[np.argsort(runs.low[which], kind="stable")]  # like strings stand together and compress well
         own = own_repeats(runs)
         held: dict[bytes, list[int]] = defaultdict(list)
         for i, s in zip(which.tolist(), runs.strings(which)):
             held[s].append(i)
         text, first, ids, lows = runs.text.tolist(), runs.at.tolist(), chunk.ids.tolist(), runs.low.view(np.int64).tolist()
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[], [], [], [], []]
         for s, where in held.items():
             docs = [ids[text[i]] for i in where]
-            for out, x in zip(cols, (lows[where[0]], hashlib.blake2b(s, digest_size=16).digest(), s, min(docs), max(docs),
+            for out, x in zip(cols, (lows[where[0]], s, min(docs), max(docs),
                                      array("i", [x for i in where for x in (text[i], first[i])]).tobytes())):
                 out.append(x)
         if len(own):
-            for out, x in zip(cols, (None, None, None, None, None, own.tobytes())):
+            for out, x in zip(cols, (None, None, None, None, own.tobytes())):
                 out.append(x)
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
         return pa.Table.from_arrays([pa.array([chunk.number] * len(cols[0]), pa.int64()), *map(pa.array, cols, kinds)],
-                                    names=["chunk", "low", "key", "string", "least", "most", "places"])
+                                    names=["chunk", "low", "string", "least", "most", "places"])
 
     return packed.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInArrow(cut, STRINGS)
 
@@ -421,7 +421,7 @@ RANGES = "chunk long, places binary, start long, end long, least long"
 
 def smallest_documents(table: pa.Table, k: int) -> pa.Table:
     """Window ranges of a bucket's strings whose smallest document is below the largest of the string in that chunk."""
-    key = table.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
+    key = table.column("string").combine_chunks().dictionary_encode().indices.to_numpy()
     by_key = np.argsort(key, kind="stable")
     first_row = np.flatnonzero(np.append(True, key[by_key][1:] != key[by_key][:-1]))
     rows_of = np.diff(np.append(first_row, len(key)))
@@ -466,7 +466,7 @@ def smallest_documents(table: pa.Table, k: int) -> pa.Table:
 
 def window_ranges(strings: DataFrame, buckets: int, k: int, hot: int) -> DataFrame:
     """``chunk, places, start, end, least``: windows [start, end) of the string at ``places`` stand first in document ``least``."""
-    strings = strings.where("key IS NOT NULL")
+    strings = strings.where("string IS NOT NULL")
     frequent = shared_table(strings.groupBy("low").count().where(F.col("count") > hot).select("low"), "suffixes-hot")
     crowded = frequent.first() is not None
     cold = strings.join(frequent, "low", "left_anti") if crowded else strings
@@ -475,12 +475,12 @@ def window_ranges(strings: DataFrame, buckets: int, k: int, hot: int) -> DataFra
     if not crowded:
         return found
     hot_strings = strings.join(frequent, "low", "left_semi")
-    windows = (hot_strings.groupBy("key", "string").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-               .select("key", "string", "least", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.octet_length("string").cast("long") - k)).alias("start"))
-               .select("key", "start", F.expr(f"substring(string, cast(start + 1 AS int), {k})").alias("window"), "least", "most"))
+    windows = (hot_strings.groupBy("string").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+               .select("string", "least", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.octet_length("string").cast("long") - k)).alias("start"))
+               .select("string", "start", F.expr(f"substring(string, cast(start + 1 AS int), {k})").alias("window"), "least", "most"))
     first = windows.groupBy("window").agg(F.min("least").alias("least"))
-    split = windows.drop("least").join(first, "window").where("least < most").select("key", "start", (F.col("start") + 1).alias("end"), "least")
-    return found.unionByName(hot_strings.select("chunk", "key", "places").join(split, "key").drop("key"))
+    split = windows.drop("least").join(first, "window").where("least < most").select("string", "start", (F.col("start") + 1).alias("end"), "least")
+    return found.unionByName(hot_strings.select("chunk", "string", "places").join(split, "string").drop("string"))
 
 
 CUT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: bigint, end: bigint>>, kept binary"
@@ -502,7 +502,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grams = max(1, math.ceil(2 * total / (k - m + 2) / HASH_BUCKET))
     strings = shared_table(repeated_strings(packed, repeated_grams(packed, k, m, grams), k, m, grams), "suffixes-strings")
     found = window_ranges(strings, max(1, math.ceil(total / STRING_BUCKET)), k, hot).unionByName(
-        strings.where("key IS NULL").select("chunk", "places"), allowMissingColumns=True)
+        strings.where("string IS NULL").select("chunk", "places"), allowMissingColumns=True)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.to_pylist()[0])
