@@ -49,8 +49,8 @@ def test_hash_collisions_are_told_apart(monkeypatch):
     monkeypatch.setattr(sub, "gram_hashes", lambda w, size: np.zeros(max(0, len(w) - size + 1), np.uint64))
     buf, found = sub.super_kmers(docs, 13, 3)
     strings = [buf[a:b] for a, b in found[:, 2:4].tolist()]
-    blob = sub.pack(strings, [[i] for i in range(len(strings))], found[:, 0], found[:, 0], found[:, 1])
-    doc, key, start, end = sub.repeats([blob], 13)
+    blob = sub.pack(strings, [[i] for i in range(len(strings))], found[:, 0], found[:, 0], found[:, 0], found[:, 1])
+    doc, _, _, start, end = sub.repeats([blob], 13)
     hit = {(int(d), p) for d, s, e in zip(doc, start, end) for p in range(s, e)}
     want = set()
     least = {}
@@ -66,3 +66,45 @@ def test_hash_collisions_are_told_apart(monkeypatch):
 
 def test_empty(empty):
     assert sub.substring_digest(empty).count() == 0
+
+
+def high_bits(text: str) -> int:
+    """The 32 bits that once told texts of one id apart."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text, 42) >> 32
+
+
+def test_texts_of_one_id_whose_short_hashes_meet(spark):
+    import random
+
+    r = random.Random(0)
+    passage = " ".join(f"p{i}" for i in range(13))
+    had = {}
+    while True:  # two texts of 13 and 44 words of equal high bits, by trying
+        n = r.choice((0, 31))
+        text = " ".join([passage] + [f"{r.random():.9f}"] * n) if n else " ".join(passage.split()[:12] + [f"{r.random():.12f}"])
+        other = had.setdefault(high_bits(text), text)
+        if len(other) != len(text) and len(other.split()) != len(text.split()):
+            break
+    for ids in ((None, None), (5, 5)):
+        rows = [(ids[0], text), (ids[1], other), (1, passage), (2, text), (2, other), (9, passage + " x")]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = [tuple(x) for x in sub.substring_digest(df).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, brute(rows)))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_many_texts_under_null_and_repeated_ids(spark, monkeypatch, few):
+    import random
+
+    if not few:
+        monkeypatch.setattr(sub, "REPEATED_IDS", 0)
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    passages = [[r.choice(words) for _ in range(30)] for _ in range(20)]
+    rows = [(r.choice([None, None, 1, 2, 3, i + 10]), " ".join([r.choice(words) for _ in range(r.randint(0, 30))] + r.choice(passages) * r.randint(0, 2)))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(x) for x in sub.substring_digest(df, bucket_bytes=1 << 14).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute(rows)))

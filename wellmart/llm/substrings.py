@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import blank_words, chunks, index_runs, shared_table, texts
@@ -117,21 +118,21 @@ def _wide(raw: bytes, n: int, kind) -> np.ndarray:
     return np.cumsum(d, dtype=kind).astype(np.int64)
 
 
-_PLACE = (("doc", np.int64), ("key", np.int32), ("word", np.int32))
+_PLACE = (("doc", np.int64), ("k1", np.int64), ("k2", np.int64), ("word", np.int32))
 
 
-def pack(strings: list[bytes], places: list[list[int]], doc: np.ndarray, key: np.ndarray, word: np.ndarray) -> bytes:
-    """Strings with the (document, row key, first word) of their places, compressed."""
+def pack(strings: list[bytes], places: list[list[int]], doc: np.ndarray, k1: np.ndarray, k2: np.ndarray, word: np.ndarray) -> bytes:
+    """Strings with the (document, row key, first word) of their places, compressed (a row key is zero but for repeated ids)."""
     flat = np.array([i for p in places for i in p], np.int64)
     count = np.array([len(p) for p in places], np.int32)
     body = b"\n".join(strings)
     head = np.array([len(strings), len(flat), len(body)], np.int64)
-    cols = [_thin(x[flat], kind) for x, (_, kind) in zip((doc, key, word), _PLACE)]
+    cols = [_thin(x[flat], kind) for x, (_, kind) in zip((doc, k1, k2, word), _PLACE)]
     raw = b"".join([head.tobytes(), _thin(count, np.int32), *cols, body])
     return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 6).compress(raw, asbytes=True)
 
 
-def unpack(blob: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpack(blob: bytes) -> tuple:
     raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     n, places, size = np.frombuffer(raw, np.int64, 3).tolist()
     out, at = [_wide(raw[24:24 + 4 * n], n, np.int32)], 24 + 4 * n
@@ -147,9 +148,9 @@ class Bucket:
 
     def __init__(self, blobs: list[bytes], k: int):
         self.k = k
-        bodies, counts, docs, keys, words = zip(*map(unpack, blobs))
+        bodies, *columns = zip(*map(unpack, blobs))
         self.buf = b"\n".join(bodies)
-        self.count, self.doc, self.key, self.word = (np.concatenate(x) for x in (counts, docs, keys, words))
+        self.count, self.doc, self.k1, self.k2, self.word = map(np.concatenate, columns)
         self.start, self.end, self.line = word_spans(self.buf)  # a line is a super-k-mer
         self.first_place = np.cumsum(self.count) - self.count
         self.least = np.minimum.reduceat(self.doc, self.first_place)
@@ -161,10 +162,9 @@ class Bucket:
         return [self.buf[a:b] for a, b in zip(self.start[window].tolist(), self.end[window + self.k - 1].tolist())]
 
     def marks(self, own: np.ndarray, smallest: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Word ranges (document, row key, from, to) where windows ``own`` stand in documents above their ``smallest``."""
+        """Word ranges (document, two row keys, from, to) where windows ``own`` stand in documents above their ``smallest``."""
         if not len(own):
-            none = np.zeros(0, np.int64)
-            return none, none, none, none
+            return tuple(np.zeros((5, 0), np.int64))
         by_word = np.full(len(self.start), NO_ID)
         by_word[own] = smallest
         # Every place of a string with such windows, window by window.
@@ -184,12 +184,12 @@ class Bucket:
             new = hit & ~np.concatenate([[False], hit[:-1] & (here[1:] == here[:-1])])
             over = hit & ~np.concatenate([hit[1:] & (here[1:] == here[:-1]), [False]])
             p = here[new]
-            out.append((self.doc[p], self.key[p], self.word[p] + off[new], self.word[p] + off[over] + self.k))
+            out.append((self.doc[p], self.k1[p], self.k2[p], self.word[p] + off[new], self.word[p] + off[over] + self.k))
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def repeats(blobs: list[bytes], k: int) -> tuple[np.ndarray, ...]:
-    """Word ranges (document, row key, from, to) of one bucket that windows of smaller documents repeat."""
+    """Word ranges (document, two row keys, from, to) of one bucket that windows of smaller documents repeat."""
     b = Bucket(blobs, k)
     window = b.window
     h = gram_hashes(word_hashes(b.buf, b.start, b.end), k)[window]
@@ -232,21 +232,37 @@ def marked(blobs: list[bytes], known: dict[bytes, int], k: int) -> tuple[np.ndar
     return b.marks(b.window[found], smallest[found])
 
 
+REPEATED_IDS = 1 << 20  # as many repeated ids are broadcast at most
+
+
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with a key that tells texts of one doc_id apart (32 bits: it matters only where an id repeats)."""
-    key = F.shiftright(F.xxhash64(text_col), 32).cast("long").alias("key")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key, F.col(text_col).alias("text"))
+    """Rows with a key that tells texts of one doc_id apart: 128 bits of the text's hashes, zero where the id is alone.
+
+    Only null and repeated ids need it. The repeated ids are counted first and
+    broadcast if there are few; otherwise every row gets its hashes.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    again = rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    again = shared_table(again, "substring-ids")
+    if again.count() <= REPEATED_IDS:
+        rows = rows.join(F.broadcast(again), F.col("doc_id") == F.col("_again"), "left")
+        shared = F.col("doc_id").isNull() | F.col("_again").isNotNull()
+    else:
+        shared = F.lit(True)
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", F.when(shared, F.xxhash64(text)).otherwise(0).alias("k1"),
+                       F.when(shared, F.xxhash64(F.lit("second"), text)).otherwise(0).alias("k2"), "text")
 
 
-RANGES = "doc_id long, key long, start long, end long"
+RANGES = "doc_id long, k1 long, k2 long, start long, end long"
 
 
 def _found(batches: Iterator[pa.RecordBatch], k: int, m: int, buckets: int) -> Iterator[tuple]:
-    """Per chunk of a task's texts: words' buffer, super-k-mers, their row's ids and keys, their buckets."""
+    """Per chunk of a task's texts: words' buffer, super-k-mers, their row's ids and two keys, their buckets."""
     for b in batches:
         data = texts(b)
         ids = b.column("doc_id").fill_null(int(NO_ID)).to_numpy()
-        keys = b.column("key").to_numpy()
+        k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
         for s, e in chunks([len(t or b"") for t in data], CHUNK_BYTES):
             words = [blank_words(t) for t in data[s:e]]
             rows = np.array([i for i, w in enumerate(words) if len(w) >= k], np.int64)
@@ -255,7 +271,7 @@ def _found(batches: Iterator[pa.RecordBatch], k: int, m: int, buckets: int) -> I
             buf, found = super_kmers([words[i] for i in rows], k, m)
             del words
             row = rows[found[:, 0]] + s
-            yield buf, found, ids[row], keys[row], (found[:, 4].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            yield buf, found, ids[row], k1[row], k2[row], (found[:, 4].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
 
 
 def hot_buckets(source: DataFrame, k: int, m: int, buckets: int, bucket_bytes: int, hot: int) -> dict[int, int]:
@@ -265,7 +281,7 @@ def hot_buckets(source: DataFrame, k: int, m: int, buckets: int, bucket_bytes: i
     ``hot`` of them can be here, and only those of hot minimisers are.
     """
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found, _, _, bucket in _found(batches, k, m, buckets):
+        for _, found, _, _, _, bucket in _found(batches, k, m, buckets):
             which, at = np.unique(bucket, return_inverse=True)
             weight = np.bincount(at, found[:, 3] - found[:, 2] + PLACE_BYTES).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(weight)], names=["bucket", "weight"])
@@ -275,7 +291,7 @@ def hot_buckets(source: DataFrame, k: int, m: int, buckets: int, bucket_bytes: i
 
 
 def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
-    """``doc_id, key, start, end``: word ranges that repeat a window of a smaller doc_id (they may overlap)."""
+    """``doc_id, k1, k2, start, end``: word ranges that repeat a window of a smaller doc_id (they may overlap)."""
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total * (2 * k / (k - m + 2) + 1) / bucket_bytes))
     parts = hot_buckets(source, k, m, buckets, bucket_bytes, hot)
@@ -285,22 +301,24 @@ def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_by
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split = held.value
             hot_ids = np.array(list(split), np.int64)
-            for buf, found, ids, keys, bucket in _found(batches, k, m, buckets):
+            chunk = TaskContext.get().partitionId() << 32
+            for buf, found, ids, k1, k2, bucket in _found(batches, k, m, buckets):
                 order = np.argsort(bucket, kind="stable")
                 if split:
                     order = order[np.isin(bucket[order], hot_ids) == want_hot]
                 if not len(order):
                     continue
                 cut = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0]))
-                chunk = int(_mix(keys[:1].view(np.uint64) ^ ids[:1].view(np.uint64))[0])
+                chunk += 1
+                deal = int(_mix(np.array([chunk], np.uint64))[0])
                 made: tuple[list, list, list] = ([], [], [])
                 for group in np.split(order, cut[1:]):
                     strings = defaultdict(list)
                     for i, x, y in zip(group.tolist(), found[group, 2].tolist(), found[group, 3].tolist()):
                         strings[buf[x:y]].append(i)
                     made[0].append(int(bucket[group[0]]))
-                    made[1].append(chunk % split.get(made[0][-1], 1))
-                    made[2].append(pack(list(strings), list(strings.values()), ids, keys, found[:, 1]))
+                    made[1].append(deal % split.get(made[0][-1], 1))
+                    made[2].append(pack(list(strings), list(strings.values()), ids, k1, k2, found[:, 1]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.binary())], names=["bucket", "part", "pack"])
 
@@ -308,7 +326,7 @@ def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_by
 
     def ranges(found: tuple[np.ndarray, ...]) -> pa.Table:
         doc = pa.array(found[0], mask=found[0] == NO_ID)
-        return pa.Table.from_arrays([doc, *map(pa.array, found[1:])], names=["doc_id", "key", "start", "end"])
+        return pa.Table.from_arrays([doc, *map(pa.array, found[1:])], names=["doc_id", "k1", "k2", "start", "end"])
 
     def gather(table: pa.Table) -> pa.Table:
         return ranges(repeats(table.column("pack").to_pylist(), k))
@@ -328,7 +346,7 @@ def repeated_ranges(source: DataFrame, k: int = WINDOW, m: int = GRAM, bucket_by
 
     def mark(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return ranges(tuple(np.zeros((4, 0), np.int64)))
+            return ranges(tuple(np.zeros((5, 0), np.int64)))
         known = dict(zip(right.column("window").to_pylist(), right.column("smallest").to_pylist()))
         return ranges(marked(left.column("pack").to_pylist(), known, k))
 
@@ -359,14 +377,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``doc_id, n_words, n_removed, kept_text``, one row per input row.
 
     ``doc_id`` is an integer; a null id counts as larger than all. Null, empty
-    and short texts keep their words. Rows of equal doc_id do not remove each
-    other's words. Other columns are ignored, so their names cannot clash.
+    and short texts keep their words. Rows of equal doc_id, null ones included, do
+    not remove each other's words; rows that are equal in text as well lose the same. Other columns are ignored, so their names cannot clash.
     """
     source = _source(docs, id_col, text_col)
-    found = repeated_ranges(source, k, m, bucket_bytes, hot).groupBy("doc_id", "key").agg(
+    found = repeated_ranges(source, k, m, bucket_bytes, hot).groupBy("doc_id", "k1", "k2").agg(
         F.collect_set(F.struct("start", "end")).alias("ranges"))  # repeated rows have the same: at most one range a word
-    found = found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "ranges")
-    both = source.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left")
+    found = found.select(F.col("doc_id").alias("_d"), F.col("k1").alias("_1"), F.col("k2").alias("_2"), "ranges")
+    both = source.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

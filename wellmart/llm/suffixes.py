@@ -382,7 +382,7 @@ STRINGS = "chunk long, low long, string binary, least long, most long, places bi
 
 
 def repeated_strings(packed: DataFrame, bits: DataFrame, k: int, m: int, buckets: int) -> DataFrame:
-    """The chunks' distinct strings of repeated minimisers with their places (text, first window), and, where ``string`` is null,
+    """The chunks' distinct strings of repeated minimisers with their places (text, first window), and, where ``low`` is null,
     the ranges (text, from, to) that a text repeats of itself."""
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.to_pylist()[0])
@@ -466,7 +466,7 @@ def smallest_documents(table: pa.Table, k: int) -> pa.Table:
 
 def window_ranges(strings: DataFrame, buckets: int, k: int, hot: int) -> DataFrame:
     """``chunk, places, start, end, least``: windows [start, end) of the string at ``places`` stand first in document ``least``."""
-    strings = strings.where("string IS NOT NULL")
+    strings = strings.where("low IS NOT NULL")
     frequent = shared_table(strings.groupBy("low").count().where(F.col("count") > hot).select("low"), "suffixes-hot")
     crowded = frequent.first() is not None
     cold = strings.join(frequent, "low", "left_anti") if crowded else strings
@@ -502,7 +502,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grams = max(1, math.ceil(2 * total / (k - m + 2) / HASH_BUCKET))
     strings = shared_table(repeated_strings(packed, repeated_grams(packed, k, m, grams), k, m, grams), "suffixes-strings")
     found = window_ranges(strings, max(1, math.ceil(total / STRING_BUCKET)), k, hot).unionByName(
-        strings.where("string IS NULL").select("chunk", "places"), allowMissingColumns=True)
+        strings.where("low IS NULL").select("chunk", "places"), allowMissingColumns=True)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.to_pylist()[0])
