@@ -34,17 +34,19 @@ from wellmart.functions.semantics import (
     typed_null,
     varchar,
 )
+from wellmart.operators.classify import classify_text
 from wellmart.operators.joins import month_window_join, null_as_zero_on
 from wellmart.operators.lists import distinct_list, prefixed
 from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
-from wellmart.operators.setops import keys_only_in_each, union_all, union_distinct
+from wellmart.operators.setops import distinct_ci, keys_only_in_each, union_all, union_distinct
 from wellmart.plans import frac_detail, header_mart, piping, well_test
 from wellmart.plans.frac_detail import (
     completion_summary,
     disclosure_unit,
     first_produced,
     flag_type,
+    floored_date,
     mesh_size,
     proppant_type,
     summary_flag,
@@ -756,7 +758,7 @@ def min_threshold(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     m = partition_agg(o, ["o_custkey"], {"__min": F.min("o_orderdate")})
     return m.select("o_orderkey", "o_custkey",
-                    F.when(F.col("__min") >= _ts("1995-03-01"), F.col("__min")).alias("firstProducedDate"))
+                    floored_date(F.col("__min"), "1995-03-01").alias("firstProducedDate"))
 
 
 @register("stage_fill", """
@@ -777,9 +779,8 @@ def stage_fill(spark, sf):
     m = partition_agg(li, ["l_orderkey"], {"__maxStage": F.max("stage")})
     stage, nos = F.col("stage"), F.col("nos")
     return m.select("l_orderkey", "l_linenumber",
-                    F.when(stage == -1, None).otherwise(stage).alias("stageNumber"),
-                    F.when(nos.isNull() & (stage != -1) & stage.isNotNull(), F.col("__maxStage"))
-                    .otherwise(nos).alias("numberOfStages"))
+                    frac_detail.stage_number(stage).alias("stageNumber"),
+                    frac_detail.stage_fill(nos, stage, F.col("__maxStage")).alias("numberOfStages"))
 
 
 @register("sum_by_unit", """
@@ -950,6 +951,62 @@ def _mesh_sql():
     return rules.rule_case_sql("d", "g", rules.MESH_RULES, [("g", "'UNKNOWN'")])
 
 
+_SPELLINGS = ("upper(x)", "lower(x)", "x || '  '", "x", "lower(x) || ' '")
+
+
+def _spelled_sql(column, key):
+    arms = " ".join(f"WHEN {i} THEN {e.replace('x', column)}" for i, e in enumerate(_SPELLINGS))
+    return f"CASE ({key}) % {len(_SPELLINGS)} {arms} END"
+
+
+def _spelled(column, key):
+    c = F.col(column)
+    forms = (F.upper(c), F.lower(c), F.concat(c, F.lit("  ")), c, F.concat(F.lower(c), F.lit(" ")))
+    out = None
+    for i, form in enumerate(forms):
+        out = F.when(key % len(forms) == i, form) if out is None else out.when(key % len(forms) == i, form)
+    return out
+
+
+# One priority per customer is reported once an order, each time in another spelling; some have none.
+_SPELLED_SQL = f"""SELECT o.o_custkey AS API, {_spelled_sql('o.o_orderpriority', 'o.o_orderkey')} AS remarks,
+    CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE {_spelled_sql('c.c_mktsegment', 'o.o_orderkey + 1')} END AS contractor,
+    o.o_orderstatus AS state, year(o.o_orderdate) AS "year"
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey"""
+
+
+@register("case_folded_distinct", f"""
+SELECT DISTINCT ON (API, upper(rtrim(remarks)), upper(rtrim(contractor)), upper(rtrim(state)), "year")
+  API, remarks, contractor, state, "year"::INTEGER AS "year"
+FROM ({_SPELLED_SQL}) x ORDER BY remarks NULLS FIRST, contractor NULLS FIRST, state NULLS FIRST
+""")
+def case_folded_distinct(spark, sf):
+    key = F.col("o_orderkey")
+    o = _t(spark, sf, "orders").join(_t(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return distinct_ci(o.select(
+        F.col("o_custkey").alias("API"), _spelled("o_orderpriority", key).alias("remarks"),
+        F.when(key % 7 == 0, None).otherwise(_spelled("c_mktsegment", key + 1)).alias("contractor"),
+        F.col("o_orderstatus").alias("state"), F.year("o_orderdate").alias("year")))
+
+
+@register("dictionary_classify", f"""
+SELECT l_orderkey, l_linenumber, {_vendor_sql()} AS supplierName, {_ptype_sql()} AS proppantType, {_mesh_sql()} AS proppantMeshSize
+FROM (SELECT l_orderkey, l_linenumber, upper({_pick_sql(TRADE_WORDS, 'l_partkey')} || ' ' || {_pick_sql(MESH_GRADES, 'l_suppkey')}) AS d,
+             upper(rtrim(p_type)) = 'PROMO' AS g, CASE WHEN l_linenumber > 3 THEN NULL ELSE p_brand END AS contractor
+      FROM lineitem JOIN part ON p_partkey = l_partkey) x
+""")
+def dictionary_classify(spark, sf):
+    part = F.col("l_partkey")
+    rows = _t(spark, sf, "lineitem").join(_t(spark, sf, "part"), F.col("p_partkey") == part).select(
+        "l_orderkey", "l_linenumber",
+        F.upper(F.concat_ws(" ", _pick(TRADE_WORDS, part), _pick(MESH_GRADES, F.col("l_suppkey")))).alias("d"),
+        eq_ci("p_type", "promo").alias("g"), F.when(F.col("l_linenumber") > 3, None).otherwise(F.col("p_brand")).alias("contractor"))
+    rows = classify_text(rows, "d", "g", {"v": rules.VENDOR_RULES, "t": rules.PROPPANT_TYPE_RULES, "m": rules.MESH_RULES})
+    unknown = F.when(F.col("g"), "UNKNOWN")
+    return rows.select("l_orderkey", "l_linenumber", F.coalesce("v", F.upper("contractor"), unknown).alias("supplierName"),
+                       F.coalesce("t", unknown).alias("proppantType"), F.coalesce("m", unknown).alias("proppantMeshSize"))
+
+
 @register("vendor_classify", f"""
 SELECT p_partkey, {_vendor_sql()} AS supplierName, {_ptype_sql()} AS proppantType
 FROM (SELECT p_partkey, upper({_pick_sql(TRADE_WORDS, 'p_partkey')} || ' ' || p_name) AS d,
@@ -1377,8 +1434,7 @@ LEFT JOIN wt w ON w.api = h.api AND h.dateRank = 1 AND w.dateRank = 1
 """)
 def header_mart_q(spark, sf):
     header, frac, piping, tests = mart_inputs(spark, sf)
-    # A driver query stays lazy (no writes while the plan is built).
-    return header_mart.build(header, frac, piping, tests, materialize=False)
+    return header_mart.build(header, frac, piping, tests)
 
 
 # --------------------------------------------------------------------------
@@ -1500,7 +1556,7 @@ _STATE_SQL = _layout_sql({
 }, frac_detail.LAYOUT)
 
 
-@register("frac_detail_job", f"""
+_FRAC_INPUT_SQL = f"""
 WITH hd AS ({_JOB_HEADER_SQL}),
 eh AS ({_JOB_ESP_SQL}),
 ff AS (
@@ -1522,12 +1578,17 @@ fd AS (
                CASE WHEN l_linenumber = 3 THEN -1 ELSE l_linenumber END AS stage,
                CASE WHEN l_linestatus = 'F' THEN 9 END AS stages, CASE WHEN l_linenumber > 4 THEN l_linestatus END AS fm,
                CASE WHEN l_linenumber = 2 THEN NULL ELSE 'contractor ' || CAST(l_suppkey AS VARCHAR) END AS contractor
-        FROM lineitem WHERE l_returnflag = 'N') x),
+        FROM lineitem WHERE l_returnflag = 'N') x)"""
+_DISCLOSURE_FEED_SQL = f"""SELECT DISTINCT {_DISCLOSURE_SQL}
+   FROM ff JOIN (SELECT *, MIN(fpd) OVER (PARTITION BY API10) AS minFP FROM hd) h ON h.API10 = ff.API"""
+_STATE_FEED_SQL = f"SELECT DISTINCT {_STATE_SQL} FROM fd LEFT JOIN hd h ON h.cid = fd.cid"
+
+
+@register("frac_detail_job", f"""{_FRAC_INPUT_SQL},
 u AS (
-  (SELECT DISTINCT {_DISCLOSURE_SQL}
-   FROM ff JOIN (SELECT *, MIN(fpd) OVER (PARTITION BY API10) AS minFP FROM hd) h ON h.API10 = ff.API)
+  ({_DISCLOSURE_FEED_SQL})
   UNION ALL
-  (SELECT DISTINCT {_STATE_SQL} FROM fd LEFT JOIN hd h ON h.cid = fd.cid)),
+  ({_STATE_FEED_SQL})),
 it AS (
   SELECT api10, completionId, materialAmount, coalesce(', ' || materialType, '') || coalesce(', ' || materialName, '') AS item,
          upper(rtrim(materialType)) NOT IN ({_EXCLUDED_SQL}) AS listed FROM u),
@@ -1557,6 +1618,24 @@ FROM u LEFT JOIN eh e ON e.api = u.api10
 LEFT JOIN t ON t.api10 IS NOT DISTINCT FROM u.api10 AND t.completionId IS NOT DISTINCT FROM u.completionId
 """)
 def frac_detail_job(spark, sf):
+    ff, cmp_header, fd, esp_header = _frac_inputs(spark, sf)
+    return frac_detail.build(ff, cmp_header, fd, esp_header)
+
+
+@register("disclosure_feed", f"{_FRAC_INPUT_SQL} {_DISCLOSURE_FEED_SQL}")
+def disclosure_feed(spark, sf):
+    ff, cmp_header, _, _ = _frac_inputs(spark, sf)
+    return frac_detail.disclosure_feed(ff, cmp_header)
+
+
+@register("state_feed", f"{_FRAC_INPUT_SQL} {_STATE_FEED_SQL}")
+def state_feed(spark, sf):
+    _, cmp_header, fd, _ = _frac_inputs(spark, sf)
+    return frac_detail.state_feed(fd, cmp_header, dictionary=True)
+
+
+def _frac_inputs(spark, sf):
+    """Disclosure rows, completion headers, state rows and published headers."""
     cmp_header, esp_header = _job_headers(spark, sf)
     li, col = _t(spark, sf, "lineitem"), F.col
     line, supp, part = col("l_linenumber"), col("l_suppkey"), col("l_partkey")
@@ -1597,8 +1676,7 @@ def frac_detail_job(spark, sf):
         F.when(line > 4, col("l_linestatus")).alias("stimulatedFormation"), name.alias("materialDescription"),
         col("l_quantity").alias("materialAmount"), unit.alias("materialUnit"), kind.alias("materialType"),
         F.when(line == 2, None).otherwise(F.concat(F.lit("contractor "), supp.cast("string"))).alias("contractorName"))
-    # A driver query stays lazy (no writes while the plan is built).
-    return frac_detail.build(ff, cmp_header, fd, esp_header, materialize=False)
+    return ff, cmp_header, fd, esp_header
 
 
 _JOB_IP_SQL = """
@@ -1724,4 +1802,4 @@ def well_test_job(spark, sf):
         col("l_tax").alias("BottomHoleTempDepth"),
         F.concat(F.lit("choke size of the field test run, line "), line.cast("string")).alias("RunChokeSize"),
         col("l_discount").alias("GravityDryGas"), (col("l_quantity") + 0.5).alias("GravityLiquidHydrocarbon"))
-    return well_test.build(cmp_header, ip.drop("__flag", "__line"), ok_test, gm, ft, esp_header, materialize=False)[1]
+    return well_test.build(cmp_header, ip.drop("__flag", "__line"), ok_test, gm, ft, esp_header)[1]
