@@ -4,6 +4,7 @@ import datetime as dt
 
 from tests.test_jobs import frame
 from wellmart.plans import batch
+from wellmart.sources.sinks import current
 from wellmart.sources.tables import Catalog
 
 
@@ -48,13 +49,13 @@ def test_batch_run_writes_all_outputs(spark, tmp_path):
     from wellmart.__main__ import main
     stage2 = str(tmp_path / "stage2")
     main(["--raw", raw, "--live", live, "--stage", stage2, "--jobs", "piping"])
-    assert spark.read.parquet(f"{stage2}/espPiping").count() == spark.read.parquet(paths["piping"]).count()
+    assert spark.read.parquet(current(spark, f"{stage2}/espPiping")).count() == spark.read.parquet(paths["piping"]).count()
     # the mart alone, from published tables elsewhere; nothing is written there
     details, stage3 = str(tmp_path / "published"), str(tmp_path / "stage3")
     for key, view in batch.VIEWS.items():
         spark.read.parquet(paths[key]).write.parquet(f"{details}/{view}")
     main(["--raw", raw, "--live", live, "--stage", stage3, "--details", details, "--jobs", "header_mart"])
-    again = spark.read.parquet(f"{stage3}/espHeaderMart")
+    again = spark.read.parquet(current(spark, f"{stage3}/espHeaderMart"))
     assert again.exceptAll(spark.read.parquet(paths["header_mart"])).count() == 0 and again.count() == len(mart)
     named = Catalog(raw=raw, live=live, stage=stage3, overrides={"vEspPiping": "/x/pipes"})
     assert batch._published(named, "piping") == "/x/pipes"

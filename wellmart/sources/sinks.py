@@ -1,7 +1,11 @@
 """Full-refresh sinks and lineage cuts.
 
-The source drops and recreates every output (schema on write). Here that is
-``mode("overwrite")``. Intermediates read more than once are cut by writing
+The source drops and recreates every output (schema on write), so readers find
+nothing while it does. Here a refresh is a new version: ``publish`` writes a
+folder of its own below the table and then swaps one small pointer file.
+Readers ask ``current`` once and read that version throughout; the version
+before stays until the next refresh. A run that dies leaves the old one in
+place. Intermediates read more than once are cut by writing
 them as a Parquet table into the shared folder the session names in
 ``spark.checkpoint.dir`` and reading that table back: one pass over the
 input, reliable storage that survives executor loss (unlike a cache or a
@@ -31,6 +35,66 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+#: Name of the pointer file; it holds the name of the table's current version folder.
+POINTER = "_CURRENT"
+VERSION = "version-"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _pointed(spark: SparkSession, path: str) -> str | None:
+    """Name of the version that the table's pointer names."""
+    fs, pointer = _file_system(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder to read a table from: its current version, or ``path`` itself for a plain table."""
+    name = _pointed(spark, path)
+    return f"{path.rstrip('/')}/{name}" if name else path
+
+
+def publish(df: DataFrame, path: str, fmt: str = "parquet", sort_within: list[str] | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``path``, make it current and return its folder.
+
+    The pointer is replaced by renaming a finished file over it, after all rows
+    are written; until then, and if the write fails or dies, readers get the
+    old version. Folders of versions other than the new one and the one before
+    go afterwards, with what broken runs left. Plain files of a table that was
+    written before it had versions count as the version before. One writer at a
+    time, as in the source; readers may be many.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    before, name = _pointed(spark, path), f"{VERSION}{uuid.uuid4().hex}"
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
+    df.write.mode("error").format(fmt).save(f"{path}/{name}")
+    fs, table = _file_system(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fresh, pointer = hadoop.Path(f"{path}/{POINTER}-{name}"), hadoop.Path(f"{path}/{POINTER}")
+    stream = fs.create(fresh, True)
+    stream.write(bytearray(name.encode()))
+    stream.close()
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(table.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(fresh), fs.makeQualified(pointer), over)
+    if before:  # else plain files may be in use: they go with the next refresh
+        for entry in fs.listStatus(table):
+            if entry.getPath().getName() not in (POINTER, name, before):
+                fs.delete(entry.getPath(), True)
+    return f"{path}/{name}"
+
+
 def checkpoint_root(df: DataFrame) -> str:
     spark = df.sparkSession
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)

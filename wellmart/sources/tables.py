@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wellmart.sources.sinks import current
+
 _NUM = "double"
 _TS = "timestamp_ntz"
 
@@ -111,7 +113,7 @@ class Catalog:
         reader = spark.read.format(self.fmt)
         if name in SCHEMAS:
             reader = reader.schema(schema(name))
-        return fold_keys(reader.load(self.path(name, db)))
+        return fold_keys(reader.load(current(spark, self.path(name, db))))
 
 
 #: Columns that hold a well or completion key, in lower case.
