@@ -54,3 +54,31 @@ def test_ledger_scans_each_blob_once_a_version(spark, tmp_path):
     other = sec.BlobLedger(spark, str(tmp_path), "v2", rules=lambda t, d: [])
     assert sec.scan(made, other).where("size(spans) > 0").count() == 0
     assert other.read().count() == blobs and a.read().count() == blobs + 1
+
+
+def test_two_writers_enter_a_blob_twice_and_paths_come_once(spark, tmp_path):
+    made = spark.createDataFrame([(i, t) for i in range(3) for t in TEXTS], "doc_id long, text string")
+    a, b = sec.BlobLedger(spark, str(tmp_path)), sec.BlobLedger(spark, str(tmp_path))
+    nothing = a.read()
+    first = sorted(map(str, sec.scan(made, a).collect()))
+    read, b.read = b.read, lambda: nothing  # b looked before a wrote
+    keyed = made.select(sec.address(made["text"]).alias("blob"), sec.F.coalesce("text", sec.F.lit("")).alias("text"))
+    b.update(keyed)
+    b.read = read
+    assert a.read().count() == 2 * len(set(t or "" for t in TEXTS))
+    assert sorted(map(str, sec.scan(made, a).collect())) == first
+    assert a.read().count() == 2 * len(set(t or "" for t in TEXTS))
+
+
+def test_texts_of_known_blobs_stay_in_their_task(spark, tmp_path, monkeypatch):
+    made = spark.createDataFrame([(i, t) for i in range(4) for t in TEXTS], "doc_id long, text string")
+    ledger = sec.BlobLedger(spark, str(tmp_path))
+    sec.scan(made, ledger)
+    keyed = made.union(spark.createDataFrame([(9, "new text")], "doc_id long, text string")).select(
+        sec.address(sec.F.col("text")).alias("blob"), sec.F.coalesce("text", sec.F.lit("")).alias("text"))
+    unseen = ledger.unseen(keyed)
+    assert [r["text"] for r in unseen.collect()] == ["new text"]
+    plan = unseen._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan  # the texts are filtered before the one exchange, that of the aggregate
+    monkeypatch.setattr(sec, "BROADCAST_BLOBS", 0)
+    assert [r["text"] for r in ledger.unseen(keyed).collect()] == ["new text"]

@@ -5,6 +5,7 @@ addressed by SHA-256. The ledger is a table in shared storage: one row per
 (blob, rule version) that was scanned, with its findings. A scan reads the
 addresses, keeps one text per blob that the ledger lacks for this rule
 version, scans those, appends them, and joins the ledger back to all paths.
+Two scans at once may both enter a blob: readers take it once.
 Scanning the same history again, or a history with moved or copied files,
 reads no text twice; a new rule version scans each blob once more.
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wellmart.session import ensure_checkpoint_dir
 
-from .common import LOWER
+from .common import LOWER, shared_table
 
 RULE_VERSION = "v1"
 
@@ -67,6 +68,10 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+#: As many unseen addresses (32 bytes each) are broadcast at most.
+BROADCAST_BLOBS = 100_000
+
+
 class BlobLedger:
     """Findings by blob and rule version under ``path`` (shared storage); one folder per rule version."""
 
@@ -81,10 +86,27 @@ class BlobLedger:
         except AnalysisException:  # nothing scanned under this version yet
             return self.spark.createDataFrame([], f"blob binary, spans {SPANS}")
 
+    def findings(self) -> DataFrame:
+        """One row a blob with findings; two writers may have entered it, with the same findings."""
+        return self.read().where(F.size("spans") > 0).dropDuplicates(["blob"])
+
+    def unseen(self, versions: DataFrame) -> DataFrame:
+        """One (blob, text) for each blob of ``versions`` that the ledger lacks.
+
+        The addresses are compared first. Few unseen ones are broadcast, so the
+        texts of known blobs never leave their task; with more of them one text
+        a task and blob moves, and the join finds it in place.
+        """
+        new = shared_table(versions.select("blob").distinct().join(self.read().select("blob"), "blob", "left_anti"), "blobs-unseen")
+        few = new.count() <= BROADCAST_BLOBS
+        if few:
+            versions = versions.join(F.broadcast(new), "blob", "left_semi")
+        one = versions.groupBy("blob").agg(F.first("text").alias("text"))
+        return one if few else one.join(new, "blob", "left_semi")
+
     def update(self, versions: DataFrame) -> None:
         """Scan the blobs of ``versions`` (blob, text) that the ledger lacks, and append them."""
-        one = versions.groupBy("blob").agg(F.first("text").alias("text"))
-        unseen = one.join(self.read().select("blob"), "blob", "left_anti")
+        unseen = self.unseen(versions)
         rules = self.rules
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +128,7 @@ def scan(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_c
     keyed = versions.select(F.col(id_col).alias("doc_id"), address(F.col(text_col)).alias("blob"),
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ledger.update(keyed.select("blob", "text"))
-    found = ledger.read().where(F.size("spans") > 0)  # most blobs have none: the join's small side
+    found = ledger.findings()  # most blobs have none: the join's small side
     return keyed.select("doc_id", "blob").join(found, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
