@@ -128,7 +128,8 @@ def scan(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_c
     keyed = versions.select(F.col(id_col).alias("doc_id"), address(F.col(text_col)).alias("blob"),
                             F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ledger.update(keyed.select("blob", "text"))
-    found = ledger.findings()  # most blobs have none: the join's small side
+    # Most blobs have none: the join's small side. Written, so that Spark can broadcast it or split a hot blob's paths.
+    found = shared_table(ledger.findings(), "blobs-findings")
     return keyed.select("doc_id", "blob").join(found, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
