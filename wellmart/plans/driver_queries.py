@@ -13,6 +13,7 @@ alias in the Spark plan and in its oracle SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,7 @@ from wellmart.operators.lists import distinct_list, prefixed
 from wellmart.operators.measures import sum_by_unit
 from wellmart.operators.ranking import dense_rank_by, latest_row, partition_agg, top_group
 from wellmart.operators.setops import distinct_ci, keys_only_in_each, union_all, union_distinct
-from wellmart.plans import frac_detail, header_mart, piping, well_test
+from wellmart.plans import batch, frac_detail, header_mart, piping, well_test
 from wellmart.plans.frac_detail import (
     completion_summary,
     disclosure_unit,
@@ -55,7 +56,9 @@ from wellmart.plans.frac_detail import (
     version_label,
 )
 from wellmart.plans.well_test import choke_size, rate_fill
-from wellmart.sources.tables import read_table, schema
+from wellmart.session import ensure_checkpoint_dir
+from wellmart.sources.sinks import checkpoint_root, publish
+from wellmart.sources.tables import Catalog, read_table, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1197,11 +1200,20 @@ def ratios_and_casts(spark, sf):
 # Whole jobs on the role-mapped tables
 # --------------------------------------------------------------------------
 
-@register("piping_job", """
-WITH ch AS (
+_PIPING_CH_SQL = """ch AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS API, CAST(o.o_orderkey AS VARCHAR) AS cid, o.o_orderpriority AS purpose,
          CASE n.n_nationkey % 3 WHEN 0 THEN 'texas ' WHEN 1 THEN 'Oklahoma' ELSE n.n_name END AS state
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey),
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
+_PIPING_EH_SQL = """eh AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS api, lower(c.c_mktsegment) AS play, c.c_acctbal AS lat, c.c_acctbal / 2 AS lon,
+         c.c_name AS operator, o.o_orderdate AS cd,
+         CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE o.o_orderdate + INTERVAL 45 DAY END AS fpd
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey)"""
+
+
+def _piping_sql(ch, eh):
+    """The piping job over the CTEs ch (completion headers) and eh (published headers)."""
+    return f"""WITH {ch},
 cp AS (
   SELECT CASE WHEN l_linenumber = 7 THEN '-1' ELSE CAST(l_orderkey AS VARCHAR) END AS cid,
          CASE l_returnflag WHEN 'R' THEN 'casing ' WHEN 'A' THEN NULL ELSE 'Liner hanger' END AS rt,
@@ -1232,11 +1244,7 @@ cl AS (
     CASE WHEN dry AND toc = 0 AND upper(rtrim(tocBy)) = 'UNKNOWN' THEN NULL ELSE tocBy END AS tocBy,
     CASE WHEN slurry = 0 THEN NULL ELSE slurry END AS slurryVolume
   FROM j),
-eh AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS api, lower(c.c_mktsegment) AS play, c.c_acctbal AS lat, c.c_acctbal / 2 AS lon,
-         c.c_name AS operator, o.o_orderdate AS cd,
-         CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE o.o_orderdate + INTERVAL 45 DAY END AS fpd
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+{eh},
 h AS (
   SELECT DISTINCT api, play, lat, lon, operator, minDate FROM (
     SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY fpd DESC NULLS LAST, cd DESC NULLS LAST) AS dr,
@@ -1249,10 +1257,13 @@ FROM cl JOIN h ON h.api = cl.API
 WHERE casingSize IS NOT NULL OR holeSize IS NOT NULL OR casingBottom IS NOT NULL OR casingTop IS NOT NULL
    OR casingWeight IS NOT NULL OR cementAmount IS NOT NULL OR cementClass IS NOT NULL OR cementTop IS NOT NULL
    OR tocBy IS NOT NULL OR slurryVolume IS NOT NULL
-""")
+"""
+
+
+@register("piping_job", _piping_sql(_PIPING_CH_SQL, _PIPING_EH_SQL))
 def piping_job(spark, sf):
     o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
-    li, col = _t(spark, sf, "lineitem"), F.col
+    col = F.col
     wells = o.join(c, c["c_custkey"] == o["o_custkey"])
     nation = col("n_nationkey") % 3
     cmp_header = wells.join(n, n["n_nationkey"] == c["c_nationkey"]).select(
@@ -1260,8 +1271,19 @@ def piping_job(spark, sf):
         col("o_orderpriority").alias("PurposeOfFiling"),
         F.when(nation == 0, "texas ").when(nation == 1, "Oklahoma").otherwise(col("n_name")).alias("state_name"),
         col("o_orderdate").alias("CompletionDate"))
+    esp_header = wells.select(
+        col("o_custkey").cast("string").alias("api"), F.lower("c_mktsegment").alias("play"),
+        col("c_acctbal").alias("latitude27"), (col("c_acctbal") / 2).alias("longitude27"), col("c_name").alias("operator"),
+        F.when(col("o_orderpriority") == "5-LOW", None)
+        .otherwise(F.timestamp_add("DAY", F.lit(45), col("o_orderdate"))).alias("firstProductionDate"),
+        col("o_orderdate").alias("completionDate"))
+    return piping.build(cmp_header, _pipes(spark, sf), esp_header)
+
+
+def _pipes(spark, sf):
+    li, col = _t(spark, sf, "lineitem"), F.col
     flag, status, line = col("l_returnflag"), col("l_linestatus"), col("l_linenumber")
-    cmp_pipe = li.select(
+    return li.select(
         F.when(line == 7, "-1").otherwise(col("l_orderkey").cast("string")).alias("CompletionID"),
         F.when(flag == "R", "casing ").when(flag == "A", None).otherwise("Liner hanger").alias("CasingRecordType"),
         F.when(status == "O", "surface").otherwise("other").alias("StringType"),
@@ -1271,13 +1293,6 @@ def piping_job(spark, sf):
         F.when(flag == "N", "unknown").otherwise(flag).alias("CementClass"), col("l_discount").alias("TopOfCement"),
         F.when(status == "O", "Unknown ").otherwise("log").alias("TopCementDeterminedBy"),
         (col("l_discount") * 10).alias("SlurryVolume"))
-    esp_header = wells.select(
-        col("o_custkey").cast("string").alias("api"), F.lower("c_mktsegment").alias("play"),
-        col("c_acctbal").alias("latitude27"), (col("c_acctbal") / 2).alias("longitude27"), col("c_name").alias("operator"),
-        F.when(col("o_orderpriority") == "5-LOW", None)
-        .otherwise(F.timestamp_add("DAY", F.lit(45), col("o_orderdate"))).alias("firstProductionDate"),
-        col("o_orderdate").alias("completionDate"))
-    return piping.build(cmp_header, cmp_pipe, esp_header)
 
 
 # --------------------------------------------------------------------------
@@ -1355,8 +1370,7 @@ _MART_HEADER_SQL = ", ".join([
     "h.proppantLbs AS totalProppantLbs", "h.treatmentBbls AS totalTreatmentBbls"])
 
 
-@register("header_mart", f"""
-WITH lo AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+_MART_INPUT_SQL = """lo AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
 hdr AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS api, o.o_orderkey AS hpdiEntityId, c.c_mktsegment AS play,
          c.c_name AS operator,
@@ -1390,7 +1404,12 @@ wt0 AS (
          CAST(NULL AS DOUBLE) AS bottomHoleTempDepth, CAST(l_linenumber AS VARCHAR) AS chokeSize,
          CAST(NULL AS DOUBLE) AS dryGasGravity
   FROM lo WHERE l_returnflag = 'N'),
-wt AS (SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY completionDate DESC NULLS LAST) AS dateRank FROM wt0),
+wt AS (SELECT *, DENSE_RANK() OVER (PARTITION BY api ORDER BY completionDate DESC NULLS LAST) AS dateRank FROM wt0)"""
+
+
+def _mart_sql(inputs, header_sql):
+    """The mart over the CTEs hdr, frac, piping and wt."""
+    return f"""WITH {inputs},
 ms AS (
   SELECT api10,
     CASE WHEN pt IS NULL OR pt = '' THEN NULL ELSE substr(pt, 3) END AS proppantTypeStuff,
@@ -1413,7 +1432,7 @@ hp AS (
   SELECT DISTINCT h.api, h.hpdiEntityId, upper(h.play) AS play, h.operator,
          CAST(DENSE_RANK() OVER (PARTITION BY h.api ORDER BY h.firstProductionDate DESC NULLS LAST,
                                  h.completionDate DESC NULLS LAST) AS BIGINT) AS dateRank,
-         {_MART_HEADER_SQL}
+         {header_sql}
   FROM hdr h WHERE EXISTS (SELECT api FROM ut u WHERE u.api = h.api))
 SELECT DISTINCT h.*, f.cumWaterBbl AS totalWaterBbl,
   MIN(p.casingBottom) OVER (PARTITION BY p.API) AS surfaceCasingDepth,
@@ -1431,7 +1450,10 @@ LEFT JOIN wt w ON w.api = h.api AND h.dateRank = 1 AND w.dateRank = 1
   AND ((w.completionDate + INTERVAL 1 MONTH >= h.completionDate AND w.completionDate - INTERVAL 1 MONTH <= h.completionDate)
     OR (w.completionDate + INTERVAL 1 MONTH >= h.firstProductionDate
         AND w.completionDate - INTERVAL 1 MONTH <= h.firstProductionDate))
-""")
+"""
+
+
+@register("header_mart", _mart_sql(_MART_INPUT_SQL, _MART_HEADER_SQL))
 def header_mart_q(spark, sf):
     header, frac, piping, tests = mart_inputs(spark, sf)
     return header_mart.build(header, frac, piping, tests)
@@ -1767,6 +1789,12 @@ FROM j
 """)
 def well_test_job(spark, sf):
     cmp_header, esp_header = _job_headers(spark, sf)
+    ip, ok_test, gm, ft = _test_inputs(spark, sf)
+    return well_test.build(cmp_header, ip, ok_test, gm, ft, esp_header)[1]
+
+
+def _test_inputs(spark, sf):
+    """Initial tests, Oklahoma production tests, gas measurements and field tests."""
     li, col = _t(spark, sf, "lineitem"), F.col
     line, flag, status = col("l_linenumber"), col("l_returnflag"), col("l_linestatus")
     key, run = col("l_orderkey").cast("string"), F.when(col("l_linestatus") == "F", 1).otherwise(2).alias("RunNumber")
@@ -1802,4 +1830,62 @@ def well_test_job(spark, sf):
         col("l_tax").alias("BottomHoleTempDepth"),
         F.concat(F.lit("choke size of the field test run, line "), line.cast("string")).alias("RunChokeSize"),
         col("l_discount").alias("GravityDryGas"), (col("l_quantity") + 0.5).alias("GravityLiquidHydrocarbon"))
-    return well_test.build(cmp_header, ip.drop("__flag", "__line"), ok_test, gm, ft, esp_header)[1]
+    return ip.drop("__flag", "__line"), ok_test, gm, ft
+
+
+# --------------------------------------------------------------------------
+# The batch from end to end: the role-mapped inputs are written as the raw and
+# published tables, the four jobs run on typed scans of them, the mart is read
+# --------------------------------------------------------------------------
+
+_BATCH_HEADER_SQL = """
+  SELECT CASE WHEN o_orderkey % 10 = 7 THEN NULL ELSE CAST(o_orderkey // 2 AS VARCHAR) END AS api, o_orderkey AS hpdiEntityId,
+         c_mktsegment AS play, c_name AS operator, c_acctbal AS lat, c_acctbal / 2 AS lon, o_totalprice AS tvd,
+         n_nationkey AS stages, lower(c_mktsegment) AS alias,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate + INTERVAL 45 DAY END AS firstProductionDate,
+         o_orderdate AS completionDate, n_name AS state, o_totalprice AS totalDepth, lower(c_mktsegment) AS playArea,
+         CASE WHEN c_acctbal > 0 THEN c_acctbal END AS proppantLbs, CASE WHEN c_acctbal > 5000 THEN c_acctbal END AS treatmentBbls
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"""
+
+_BATCH_MART_HEADER_SQL = _MART_HEADER_SQL
+for _name, _sql in (("reservoirAlias", "h.alias"), ("upperPerforation", "h.lat"), ("lowerPerforation", "h.lon"), ("tvd", "h.tvd"),
+                    ("latitude27", "h.lat"), ("longitude27", "h.lon"), ("stages", "CAST(h.stages AS INTEGER)")):
+    for _kind in ("VARCHAR", "DOUBLE", "INTEGER"):
+        _BATCH_MART_HEADER_SQL = _BATCH_MART_HEADER_SQL.replace(f'CAST(NULL AS {_kind}) AS "{_name}"', f'{_sql} AS "{_name}"')
+_BATCH_PIPING_SQL = _piping_sql(
+    f"ch AS (SELECT API10 AS API, cid, purpose, state FROM ({_JOB_HEADER_SQL}) hd)",
+    f"eh AS (SELECT api, play, lat, lon, operator, completionDate AS cd, firstProductionDate AS fpd FROM ({_BATCH_HEADER_SQL}) b)")
+
+
+@register("batch_mart", _mart_sql(f"""hdr AS ({_BATCH_HEADER_SQL}),
+frac AS ({ORACLE['frac_detail_job']}),
+piping AS ({_BATCH_PIPING_SQL}),
+wt AS ({ORACLE['well_test_job']})""", _BATCH_MART_HEADER_SQL))
+def batch_mart(spark, sf):
+    ff, cmp_header, fd, esp_header = _frac_inputs(spark, sf)
+    ip, ok_test, gm, ft = _test_inputs(spark, sf)
+    col = F.col
+    wells = (_t(spark, sf, "orders").join(_t(spark, sf, "customer"), col("c_custkey") == col("o_custkey"))
+             .join(_t(spark, sf, "nation"), col("n_nationkey") == col("c_nationkey")))
+    header = wells.select(
+        F.when(col("o_orderkey") % 10 == 7, None).otherwise(_well("o_orderkey")).alias("api"), col("o_orderkey").alias("hpdiEntityId"),
+        col("c_mktsegment").alias("play"), col("c_name").alias("operator"), col("c_acctbal").alias("latitude27"),
+        (col("c_acctbal") / 2).alias("longitude27"), col("c_acctbal").alias("upperPerforation"),
+        (col("c_acctbal") / 2).alias("lowerPerforation"), col("o_totalprice").alias("tvd"), col("n_nationkey").alias("stages"),
+        F.lower("c_mktsegment").alias("reservoirAlias"),
+        F.when(col("o_orderpriority") == "5-LOW", None).otherwise(_days(45, "o_orderdate")).alias("firstProductionDate"),
+        col("o_orderdate").alias("completionDate"), col("n_name").alias("state"), col("o_totalprice").alias("totalDepth"),
+        F.lower("c_mktsegment").alias("playArea"), F.when(col("c_acctbal") > 0, col("c_acctbal")).alias("proppantLbs"),
+        F.when(col("c_acctbal") > 5000, col("c_acctbal")).alias("treatmentBbls"))
+    ensure_checkpoint_dir(spark)
+    base = f"{checkpoint_root(ff)}/wellmart/batch-{uuid.uuid4().hex}"
+    tables = {"cmpHeader": cmp_header, "cmpASvFactJobDetailDenormalized": ff, "cmpFracDetail_New": fd, "cmpPipe": _pipes(spark, sf),
+              "cmpInitialPotentialTest": ip, "cmpOKProductionTest": ok_test, "cmpGasMeasurementTest": gm, "cmpFieldTest": ft,
+              "espHeader": header}
+    for name, df in tables.items():
+        have = {c.lower(): c for c in df.columns}
+        # Columns that the benchmark tables do not have are left out: the typed scan reads them as NULL.
+        publish(df.select(*[col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+                            for f in schema(name) if f.name.lower() in have]), f"{base}/{'live' if name == 'espHeader' else 'raw'}/{name}")
+    written = batch.run(spark, Catalog(raw=f"{base}/raw", live=f"{base}/live", stage=f"{base}/stage"))
+    return spark.read.parquet(written["header_mart"])
