@@ -2,6 +2,8 @@ import math
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from wellmart.llm import sharding as sh
 
 
@@ -41,6 +43,32 @@ def test_edges(edge, empty):
     assert sorted(sh.sharded_rows(edge).columns) == sorted({*edge.columns, "slot"})
 
 
+def test_half_the_rows_are_one_row(spark, docs):
+    """Copies of a row that fills a bucket by itself spread over buckets; each stays a row of its own."""
+    n = docs.count()
+    hot = spark.range(n).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "repeat('same words ', 40) AS text",
+                                    *[f"CAST(NULL AS {t}) AS {c}" for c, t in docs.dtypes if c not in ("doc_id", "text")])
+    both = docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]).union(hot)
+    got = check(both, bucket_bytes=1 << 13)
+    at = sorted(r["shard"] for r in got if r["row"]["doc_id"] is None)
+    assert len(at) == n and set(at) == set(range(16)) and max(at.count(s) for s in range(16)) < n / 4
+    rows = both.select(F.struct("*").alias("row"), F.col("doc_id").alias("_i"), sh.row_bytes(F.col("text")).alias("size"),
+                       F.lit(0).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("_h"))
+    bucket = F.pmod("_h", F.lit(256)).cast("int").alias("bucket")
+    dealt = sh.deal_repeated(rows, rows.select(bucket).distinct(), bucket, 3, 1 << 13, 4)
+    assert dealt.groupBy("_h").count().agg(F.max("count")).first()[0] < n / 4
+    assert dealt.count() == 2 * n
+
+
+def test_offsets_are_prefix_sums(spark):
+    rows = [(b, b % 7 + 1) for b in range(0, 3 * sh.RANGE, 5)]
+    got = {r["bucket"]: r["offset"] for r in sh.bucket_offsets(spark.createDataFrame(rows, "bucket int, n long")).collect()}
+    total = 0
+    for b, n in rows:
+        assert got[b] == total
+        total += n
+
+
 def test_written_shards(docs, tmp_path):
     placed = sh.shard(docs, bucket_bytes=1 << 15)
     sh.write_shards(placed, str(tmp_path / "s"))

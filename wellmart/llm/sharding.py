@@ -9,7 +9,9 @@ places from ceil(s n / shards) on. Shards differ by one row at most (law
 ``rows``), and slots have no gaps.
 
 A bucket is a hash of id and content, so no source, key or group of copies can
-swell one; only rows equal in both share a bucket.
+swell one. Rows equal in every column could: where a bucket is far over its
+size, its rows are counted, and a row that fills a bucket by itself stands
+once, with its count, and is dealt out again by the number of the copy.
 """
 
 from __future__ import annotations
@@ -23,6 +25,14 @@ from .common import shared_table
 SHARDS = 16
 SEED = 29
 BUCKET_BYTES = 8 << 20
+#: Small inputs are scattered over so many buckets at least, so that their rows spread over tasks too.
+MIN_BUCKETS = 256
+#: A task takes several small buckets, up to about so much.
+TASK_BYTES = 1 << 20
+#: A bucket of over so many times its size is looked through for repeated rows.
+HEAVY = 4
+#: Buckets whose offsets one task adds up.
+RANGE = 4096
 
 
 def row_bytes(text):
@@ -45,16 +55,24 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.lit(seed), F.col(id_col), text).alias("_h"))
     total = docs.agg(F.sum(row_bytes(F.col(text_col)))).first()[0] or 0
-    buckets = max(1, math.ceil(total / bucket_bytes))
-    parts = max(1, min(buckets, 20000))
+    parts = max(1, min(math.ceil(total / max(bucket_bytes, TASK_BYTES)), 20000))
+    buckets = max(MIN_BUCKETS, math.ceil(total / bucket_bytes))
     bucket = F.pmod(F.col("_h"), F.lit(buckets)).cast("int").alias("bucket")
 
-    # Counts and permutations: a bucket's row numbers in one row, partitioned as the rows are.
-    counts = shared_table(rows.groupBy(bucket).agg(F.count("*").alias("n")), "shard-buckets")
-    n = counts.agg(F.sum("n")).first()[0] or 0
-    offsets = counts.withColumn("upto", F.sum("n").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)))  # one row a bucket
-    order = offsets.select("bucket", (F.col("upto") - F.col("n")).alias("offset"), "n").repartition(parts, "bucket") \
-        .sortWithinPartitions("bucket").select("bucket", "offset", F.shuffle(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), seed).alias("perm"))
+    def count(table: DataFrame):
+        found = shared_table(table.groupBy(bucket).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "shard-buckets")
+        heavy = F.col("bytes") > HEAVY * bucket_bytes
+        return found, heavy, found.agg(F.sum("n").alias("n"), F.count_if(heavy).alias("heavy")).first()
+
+    counts, heavy, sums = count(rows)
+    if sums["heavy"]:
+        rows = deal_repeated(rows, counts.where(heavy).select("bucket"), bucket, seed, bucket_bytes, parts)
+        counts, _, sums = count(rows)
+    n = sums["n"] or 0
+
+    # Permutations: a bucket's row numbers in one row, partitioned as the rows are.
+    order = bucket_offsets(counts).repartition(parts, "bucket").sortWithinPartitions("bucket").select(
+        "bucket", "offset", F.shuffle(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), seed).alias("perm"))
 
     scattered = rows.select("*", bucket).repartition(parts, "bucket")
     inside = W.partitionBy("bucket").orderBy("_h", "_i", "text_crc32", "size")
@@ -66,6 +84,40 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         "row", "size", "text_crc32", "shard", (F.col("_g") - first).cast("long").alias("slot"))
 
 
+def bucket_offsets(counts: DataFrame) -> DataFrame:
+    """``bucket, offset, n``: the rows in smaller buckets, added up inside ranges of buckets and over the ranges."""
+    ranged = counts.select("bucket", "n", F.expr(f"bucket div {RANGE}").alias("range"))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # one row per RANGE buckets
+    ranges = ranged.groupBy("range").agg(F.sum("n").alias("rows")).select(
+        "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    inside = W.partitionBy("range").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    return ranged.withColumn("upto", F.sum("n").over(inside)).join(ranges, "range").select(
+        "bucket", (F.col("start") + F.col("upto") - F.col("n")).alias("offset"), "n")
+
+
+def deal_repeated(rows: DataFrame, heavy: DataFrame, bucket, seed: int, bucket_bytes: int, parts: int) -> DataFrame:
+    """``rows`` with the copies of each row that fills a bucket by itself hashed by their number as well.
+
+    Rows are equal if 128 hash bits of all their columns are. Such a row is
+    taken once and repeated to its count, first by pieces of a bucket's size, so
+    no task holds all copies and a lost task makes the same ones again.
+    """
+    content = F.to_json(F.col("row"), {"ignoreNullFields": "false"})
+    keyed = rows.select("*", bucket, F.xxhash64(F.lit(seed), content).alias("_a"), F.xxhash64(F.lit(~seed), content).alias("_b"))
+    found = shared_table(
+        keyed.join(heavy, "bucket", "left_semi").groupBy("_a", "_b").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+        .where((F.col("bytes") > bucket_bytes) & (F.col("n") > 1)), "shard-repeated")
+    rest = keyed.join(found, ["_a", "_b"], "left_anti").select(*rows.columns)
+    once = keyed.join(found, ["_a", "_b"], "left_semi").groupBy("_a", "_b").agg(
+        *[F.first(c).alias(c) for c in rows.columns if c != "_h"])
+    piece = F.greatest(F.lit(1).cast("long"), F.expr(f"{bucket_bytes} div size"))
+    pieces = once.join(found.select("_a", "_b", "n"), ["_a", "_b"]).withColumn("_k", piece).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(n - 1) div _k"))).alias("_p"))
+    copies = pieces.repartition(parts, "_a", "_b", "_p").select(
+        "*", F.explode(F.sequence(F.expr("_p * _k"), F.least(F.expr("(_p + 1) * _k"), F.col("n")) - 1)).alias("_c"))
+    return rest.union(copies.withColumn("_h", F.xxhash64(F.lit(seed), "_a", "_b", "_c")).select(*rows.columns))
+
+
 def write_shards(placed: DataFrame, path: str) -> None:
     """One folder a shard, rows by slot inside each file. A bucket falls into two shards at most, so nothing moves again."""
     placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
