@@ -141,11 +141,12 @@ def first_non_empty(*cols: Column | str, default: Column | None = None) -> Colum
 
 
 def xml_escape(c: Column | str) -> Column:
-    """Entity-escape ``& < >`` as string concatenation through an XML path does."""
+    """Entity-escape ``& < >`` and the carriage return as string concatenation through an XML path does."""
     col = _c(c)
     col = F.replace(col, F.lit("&"), F.lit("&amp;"))
     col = F.replace(col, F.lit("<"), F.lit("&lt;"))
-    return F.replace(col, F.lit(">"), F.lit("&gt;"))
+    col = F.replace(col, F.lit(">"), F.lit("&gt;"))
+    return F.replace(col, F.lit("\r"), F.lit("&#x0D;"))
 
 
 def guarded_ratio(num: Column | str, den: Column | str) -> Column:
