@@ -1,6 +1,8 @@
 """Typed scans of the raw and published inputs.
 
-Each input has an explicit schema (no inference). Well and completion keys
+Each input has a declared schema. The files' own schema is compared with it
+before a job starts (``Catalog.check``); values of another type are cast one by
+one and rows that cannot be are set aside (``conform``). Well and completion keys
 compare without case and trailing blanks, so the scan folds them to one
 spelling (``fold_keys``) and every later join, grouping, rank and EXCEPT can
 compare them plainly. A job reads only the columns it selects; Parquet scans get column pruning and filter pushdown from
@@ -9,11 +11,12 @@ Catalyst, so listing the full schema here costs nothing at read time.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, BinaryType, StructField, StructType
 
 from wellmart.sources.sinks import current
 
@@ -109,11 +112,103 @@ class Catalog:
             return self.overrides[name]
         return f"{getattr(self, db).rstrip('/')}/{name}"
 
-    def read(self, spark: SparkSession, name: str, db: str = "raw") -> DataFrame:
+    def load(self, spark: SparkSession, name: str, db: str = "raw") -> DataFrame:
+        """The table as its files describe it; formats without a schema of their own get the declared one."""
         reader = spark.read.format(self.fmt)
-        if name in SCHEMAS:
+        if name in SCHEMAS and self.fmt not in SELF_DESCRIBING:
             reader = reader.schema(schema(name))
-        return fold_keys(reader.load(current(spark, self.path(name, db))))
+        return reader.load(current(spark, self.path(name, db)))
+
+    def read(self, spark: SparkSession, name: str, db: str = "raw") -> DataFrame:
+        """The table's good rows in the declared layout, keys folded (``conform``)."""
+        df = self.load(spark, name, db)
+        return fold_keys(conform(df, name)[0] if name in SCHEMAS else df)
+
+    def check(self, spark: SparkSession, tables: Iterable[tuple[str, str]]) -> dict[str, DataFrame]:
+        """Compare (name, db) tables with their declared layouts before anything runs.
+
+        Raises one ``SchemaDrift`` that names every fault of every table. Returns
+        the rejects of the tables that hold columns of another type.
+        """
+        faults, rejects = [], {}
+        for name, db in tables:
+            df = self.load(spark, name, db)
+            found = schema_faults(df.schema, name)
+            faults += found
+            if not found and other_types(df.schema, name):
+                rejects[name] = conform(df, name)[1]
+        if faults:
+            raise SchemaDrift(faults)
+        return rejects
+
+
+#: Formats whose files carry column names and types.
+SELF_DESCRIBING = ("parquet", "orc", "avro")
+
+
+class SchemaDrift(ValueError):
+    """Files do not hold the declared columns; ``faults`` lists each."""
+
+    def __init__(self, faults: list[str]):
+        super().__init__("; ".join(faults))
+        self.faults = faults
+
+
+def _by_name(found: StructType) -> dict[str, list[StructField]]:
+    out: dict[str, list[StructField]] = {}
+    for f in found.fields:
+        out.setdefault(f.name.lower(), []).append(f)
+    return out
+
+
+def schema_faults(found: StructType, name: str) -> list[str]:
+    """What keeps a table from being read: a declared column missing, ambiguous, or no plain value.
+
+    A renamed column is missing under its name; the undeclared columns are
+    listed with it. Names compare without case; columns not declared are ignored.
+    """
+    columns, declared = _by_name(found), schema(name)
+    known = {f.name.lower() for f in declared.fields}
+    others = [f.name for f in found.fields if f.name.lower() not in known]
+    faults = []
+    for f in declared.fields:
+        here = columns.get(f.name.lower(), [])
+        if not here:
+            faults.append(f"{name}.{f.name} is missing" + (f" (not declared: {', '.join(others)})" if others else ""))
+        elif len(here) > 1:
+            faults.append(f"{name}.{f.name} is ambiguous: {', '.join(h.name for h in here)}")
+        elif not isinstance(here[0].dataType, AtomicType) or isinstance(here[0].dataType, BinaryType):
+            faults.append(f"{name}.{f.name} is {here[0].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return faults
+
+
+def other_types(found: StructType, name: str) -> list[str]:
+    """Declared columns that the files hold in another type."""
+    columns = _by_name(found)
+    return [f.name for f in schema(name).fields if columns[f.name.lower()][0].dataType != f.dataType]
+
+
+def conform(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows in the declared layout, rejected rows as they came with ``rejected_columns``).
+
+    Columns of another type are cast value by value; a row with a value that
+    cannot be (text in a number column, a number too large) is rejected whole
+    instead of ending the job late. NULLs are good. Where all types agree this
+    is a plain selection and nothing is rejected.
+    """
+    faults = schema_faults(df.schema, name)
+    if faults:
+        raise SchemaDrift(faults)
+    columns, cast = _by_name(df.schema), set(other_types(df.schema, name))
+    raw = {f.name: F.col(f"`{columns[f.name.lower()][0].name}`") for f in schema(name).fields}
+    typed = {f.name: raw[f.name].try_cast(f.dataType) if f.name in cast else raw[f.name] for f in schema(name).fields}
+    good = df.select(*[c.alias(n) for n, c in typed.items()])
+    if not cast:
+        return good, df.withColumn("rejected_columns", F.array().cast("array<string>")).limit(0)
+    bad = [F.when(raw[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in typed if n in cast]
+    failed = df.withColumn("rejected_columns", F.array_compact(F.array(*bad)))
+    return (failed.where(F.size("rejected_columns") == 0).select(*[c.alias(n) for n, c in typed.items()]),
+            failed.where(F.size("rejected_columns") > 0))
 
 
 #: Columns that hold a well or completion key, in lower case.
