@@ -1884,8 +1884,8 @@ def batch_mart(spark, sf):
               "espHeader": header}
     for name, df in tables.items():
         have = {c.lower(): c for c in df.columns}
-        # Columns that the benchmark tables do not have are left out: the typed scan reads them as NULL.
-        publish(df.select(*[col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
-                            for f in schema(name) if f.name.lower() in have]), f"{base}/{'live' if name == 'espHeader' else 'raw'}/{name}")
+        # The whole declared layout: columns that the benchmark tables do not have are typed NULLs.
+        publish(df.select(*[(col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in schema(name)]), f"{base}/{'live' if name == 'espHeader' else 'raw'}/{name}")
     written = batch.run(spark, Catalog(raw=f"{base}/raw", live=f"{base}/live", stage=f"{base}/stage"))
     return spark.read.parquet(written["header_mart"])
