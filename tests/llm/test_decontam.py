@@ -33,8 +33,8 @@ def brute(docs, items, k=13):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("block_words", [dec.BLOCK_WORDS, 700])
-def test_matches_brute_force(spark, docs, block_words):
+@pytest.mark.parametrize("settings", [{}, {"block_words": 700}, {"block_words": 700, "pass_blocks": 3}])
+def test_matches_brute_force(spark, docs, settings):
     from conftest import SF
 
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
@@ -43,10 +43,25 @@ def test_matches_brute_force(spark, docs, block_words):
     bench = bench.union(spark.createDataFrame(extra, "item_id long, text string"))
     made = docs.select("doc_id", "text").union(spark.createDataFrame(
         [(5000 + i, f"lead {t}\n{t} tail {t}") for i, (_, t) in enumerate(item[:6])] + [(6000, "the " * 500), (6001, None), (6002, "")], "doc_id long, text string"))
-    got = dec.decontam_digest(made, bench, block_words=block_words).collect()
+    got = dec.decontam_digest(made, bench, **settings).collect()
     assert sorted(str(tuple(r)) for r in got) == brute([(r["doc_id"], r["text"]) for r in made.collect()], item + extra)
 
 
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("MapInArrow")
+
+
+def test_blocks_share_one_scan_and_one_index(spark):
+    from conftest import SF
+
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert len(list(dec.item_blocks(bench, "item_id", "text", 700))) > 6
+    assert scans(dec.decontam_digest(docs, bench, block_words=700)) == (1, 1)
+    more = scans(dec.decontam_digest(docs, bench, block_words=700, pass_blocks=3))
+    assert more[0] == 1 and more[1] > 2
+
+
 def test_edges(spark, edge, empty):
     bench = spark.createDataFrame([(1, edge.where("doc_id = 3").first()["text"]), (2, "one")], "item_id long, text string")
     got = dec.decontam_digest(edge, bench).collect()

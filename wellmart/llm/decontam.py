@@ -8,25 +8,30 @@ matrix: all phrases are searched backward at once by rank queries, the
 occurrences are located by stepping to sampled suffix positions, and their
 word spans are merged.
 
-The benchmark is split into blocks of ``block_words`` words, a bounded
-broadcast each; every block is searched in every shard.
+The benchmark is split into blocks of about ``block_words`` words. A pass holds
+``PASS_BLOCKS`` of them with one vocabulary, a bounded broadcast, and searches
+them one after another in one index per shard. The corpus is read once: more
+passes than one follow each other on the same rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import alnum_words, index_runs, texts
+from .common import alnum_words, chunks, index_runs
 
 WINDOW = 13
 SAMPLE_STEP = 8
 SHARD_BYTES = 8 << 20
 BLOCK_WORDS = 1 << 18
+PASS_BLOCKS = 16
 
 
 def suffix_array(symbols: np.ndarray, runs: int) -> np.ndarray:
@@ -121,28 +126,45 @@ class FMIndex:
         return out
 
 
+class Block:
+    """The windows of a block of benchmark items: distinct phrases, as places in its words, and the items that have them."""
+
+    def __init__(self, items: list[tuple], ids: dict[bytes, int], first_item: int, window: int):
+        self.window = window
+        text, starts, seen = [], [], {}
+        for k, (_, t) in enumerate(items):
+            words = [ids.setdefault(w, len(ids) + 1) for w in alnum_words(t)]
+            for s in range(max(1, len(words) - window + 1) if words else 0):
+                phrase = tuple(words[s:s + window])
+                held = seen.get(phrase)
+                if held is None:
+                    held = seen[phrase] = []
+                    starts.append(len(text) + s)
+                if not held or held[-1] != first_item + k:
+                    held.append(first_item + k)
+            text += words
+        self.words, self.start = np.array(text, np.int32), np.array(starts, np.int32)
+        self.length = np.array([len(p) for p in seen], np.int32)
+        self.owners = np.array([k for held in seen.values() for k in held], np.int32)
+        self.owner_count = np.array([len(held) for held in seen.values()], np.int32)
+
+    def padded(self) -> np.ndarray:
+        """One row a phrase, zeros on the left, so that column -1 is the last word."""
+        back = np.arange(self.window - 1, -1, -1)
+        at = self.start[:, None] + self.length[:, None] - 1 - back
+        return np.where(back < self.length[:, None], self.words[np.maximum(at, 0)], 0)
+
+
 class Phrases:
-    """The windows of a block of benchmark items: distinct phrases and the items that have them."""
-
-    def __init__(self, items: list[tuple], window: int = WINDOW):
-        self.items = [i for i, _ in items]
-        words = [alnum_words(t) for _, t in items]
-        self.ids = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
-        seen: dict[tuple, list[int]] = {}
-        for k, ws in enumerate(words):
-            ids = [self.ids[w] for w in ws]
-            for s in range(max(1, len(ids) - window + 1) if ids else 0):
-                held = seen.setdefault(tuple(ids[s:s + window]), [])
-                if not held or held[-1] != k:
-                    held.append(k)
-        self.length = np.array([len(p) for p in seen], np.int64)
-        self.table = np.zeros((len(seen), window), np.int64)
-        for i, p in enumerate(seen):
-            self.table[i, window - len(p):] = p
-        self.owners = np.array([k for held in seen.values() for k in held], np.int64)
-        self.owner_count = np.array([len(held) for held in seen.values()], np.int64)
-        self.owner_first = np.cumsum(self.owner_count) - self.owner_count
-        self.shortest = int(self.length.min(initial=window))
+    """Blocks that share a vocabulary; ``items`` are the ids of all their items."""
+
+    def __init__(self, blocks: list[list[tuple]], window: int = WINDOW):
+        self.ids: dict[bytes, int] = {}
+        self.items, self.blocks = [], []
+        for items in blocks:
+            self.blocks.append(Block(items, self.ids, len(self.items), window))
+            self.items += [i for i, _ in items]
+        self.shortest = min((int(b.length.min(initial=window)) for b in self.blocks), default=window)
 
 
 def shard_hits(docs: list[bytes | None], phrases: Phrases) -> tuple[list[int], list[list[tuple[int, int]]], list[list[int]]]:
@@ -160,25 +182,26 @@ def shard_hits(docs: list[bytes | None], phrases: Phrases) -> tuple[list[int], l
             offset.append(a)
     spans: list[list[tuple[int, int]]] = [[] for _ in docs]
     items: list[list[int]] = [[] for _ in docs]
-    if not pieces or not len(phrases.length):
+    if not pieces:
         return n_words, spans, items
     text = np.concatenate(pieces)
     index = FMIndex(text, len(phrases.ids) + 1)
-    lo, hi = index.search(phrases.table, phrases.length)
-    phrase = np.repeat(np.arange(len(lo)), hi - lo)
-    place = index.locate(index_runs(lo, hi - lo))
     run_of = np.concatenate([[0], np.cumsum(text == 0)])  # run of each text position
     owner, offset = np.array(owner), np.array(offset)
     run_start = np.concatenate([[0], np.flatnonzero(text == 0)[:-1] + 1])
-    doc = owner[run_of[place]]
-    pairs = np.unique(np.stack([doc, phrase], 1), axis=0)
-    each = phrases.owner_count[pairs[:, 1]]
-    found = np.stack([np.repeat(pairs[:, 0], each), phrases.owners[index_runs(phrases.owner_first[pairs[:, 1]], each)]], 1)
-    for d, k in np.unique(found, axis=0).tolist():
+    edge, found = np.zeros(len(text) + 1, np.int64), []
+    for block in phrases.blocks:
+        lo, hi = index.search(block.padded(), block.length)
+        phrase = np.repeat(np.arange(len(lo)), hi - lo)
+        place = index.locate(index_runs(lo, hi - lo))
+        np.add.at(edge, place, 1)
+        np.add.at(edge, place + block.length[phrase], -1)
+        pairs = np.unique(np.stack([owner[run_of[place]], phrase], 1), axis=0)
+        each = block.owner_count[pairs[:, 1]]
+        first = np.cumsum(block.owner_count) - block.owner_count
+        found.append(np.stack([np.repeat(pairs[:, 0], each), block.owners[index_runs(first[pairs[:, 1]], each)]], 1))
+    for d, k in np.unique(np.concatenate(found), axis=0).tolist():
         items[d].append(k)
-    edge = np.zeros(len(text) + 1, np.int64)
-    np.add.at(edge, place, 1)
-    np.add.at(edge, place + phrases.length[phrase], -1)
     hit = np.concatenate([[0], (np.cumsum(edge) > 0)[:-1].astype(np.int8), [0]])
     bound = np.flatnonzero(np.diff(hit)).reshape(-1, 2)
     for a, b in bound.tolist():  # a run's separator is never hit, so a span stays in its run
@@ -197,31 +220,33 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
         yield [(r[0], r[1].encode()) for r in part.collect()]
 
 
-def _search(docs: DataFrame, text_col: str, block: list[tuple], window: int) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(Phrases(block, window))
-    source = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+def _passes(blocks: Iterator[list[tuple]], pass_blocks: int) -> Iterator[list[list[tuple]]]:
+    while held := list(islice(blocks, pass_blocks)):
+        yield held
+
+
+def _search(found: DataFrame, text_at: int, phrases: Phrases) -> DataFrame:
+    """``row, n_words, spans, items`` with what the phrases find in field ``text_at`` of the row added."""
+    held = found.sparkSession.sparkContext.broadcast(phrases)
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = held.value
         for b in batches:
-            data = texts(b)
-            s = 0
-            while s < len(data):
-                e, size = s + 1, len(data[s] or b"")
-                while e < len(data) and size + len(data[e] or b"") <= SHARD_BYTES:
-                    size += len(data[e] or b"")
-                    e += 1
-                n, hits, found = shard_hits(data[s:e], p)
+            data = pc.struct_field(b.column("row"), [text_at]).cast(pa.binary()).to_pylist()
+            sizes = [len(t or b"") for t in data]
+            for s, e in chunks(sizes, SHARD_BYTES):
+                n, hits, places = shard_hits(data[s:e], p)
+                before, had = b.column("spans").slice(s, e - s).to_pylist(), b.column("items").slice(s, e - s).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row").slice(s, e - s), pa.array(n, pa.int64()),
-                     pa.array([[{"start": x, "end": y} for x, y in h] for h in hits], spans),
-                     pa.array([[str(p.items[k]) for k in f if p.items[k] is not None] for f in found], pa.list_(pa.string()))],
+                     pa.array([o + [{"start": x, "end": y} for x, y in h] for o, h in zip(before, hits)], spans),
+                     pa.array([o + [str(p.items[k]) for k in f if p.items[k] is not None] for o, f in zip(had, places)],
+                              pa.list_(pa.string()))],
                     names=["row", "n_words", "spans", "items"])
-                s = e
 
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>")
+    kind = found.schema["row"].dataType.simpleString()
+    return found.mapInArrow(run, f"row {kind}, n_words long, spans array<struct<start:long,end:long>>, items array<string>")
 
 
 def merge_spans(spans):
@@ -235,32 +260,24 @@ def merge_spans(spans):
     return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start:long,end:long>>"), step)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+                  window: int = WINDOW, block_words: int = BLOCK_WORDS, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
     """Per row: ``row`` (the input row as a struct), ``n_words, spans, items``.
 
     ``spans`` are the merged word ranges inside any occurrence of a window,
     ``items`` the ids (as strings, sorted, distinct) of items with one. Null
     and empty texts have no words; an empty benchmark finds nothing. Items of
-    a null id count towards spans only. With several blocks the rows' results
-    are merged by row hash; copies of one row have one result, so they stay copies.
+    a null id count towards spans only. Repeated rows have one result each.
     """
-    found = [_search(docs, text_col, block, window) for block in item_blocks(benchmark, item_id, item_text, block_words)]
-    if len(found) == 1:
-        return found[0].select("row", "n_words", "spans", F.array_sort(F.array_distinct("items")).alias("items"))
-    first = found[0].select("row", "n_words", _row_key().alias("key"))
-    parts = found[0].select(_row_key().alias("key"), "spans", "items")
-    for f in found[1:]:
-        parts = parts.unionByName(f.select(_row_key().alias("key"), "spans", "items"))
-    parts = parts.where("size(spans) > 0").groupBy("key").agg(
-        F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
-    return first.join(parts, "key", "left").select(
-        "row", "n_words", merge_spans(F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>"))).alias("spans"),
-        F.coalesce(F.array_sort(F.array_distinct("items")), F.array().cast("array<string>")).alias("items"))
-
-
-def _row_key():
-    return F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256)
+    text_at = [c.lower() for c in docs.columns].index(text_col.lower())
+    found = docs.select(F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
+                        F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    passes = 0
+    for blocks in _passes(item_blocks(benchmark, item_id, item_text, block_words), pass_blocks):
+        found = _search(found, text_at, Phrases(blocks, window))
+        passes += 1
+    spans = F.col("spans") if passes == 1 else merge_spans(F.col("spans"))
+    return found.select("row", "n_words", spans.alias("spans"), F.array_sort(F.array_distinct("items")).alias("items"))
 
 
 def n_hit():
