@@ -1,8 +1,68 @@
 import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
 
 from wellmart.llm import langid
 
 
+def gram_bucket(gram):
+    """Plain-integer form of the hash of one n-gram."""
+    h, m = 0, 0xFFFFFFFF
+    for k, ch in enumerate(gram):
+        c = ord(ch)
+        c = 32 if c < 97 or 122 < c < 128 else c
+        h = ((h ^ c) * int(langid._MIX[k]) + k + 1) & m
+    return ((h ^ (h >> 15)) * int(langid._MIX[2]) & m) >> (32 - langid.BITS)
+
+
+def brute_vector(text):
+    """Counts per bucket, n-gram by n-gram; behind its end a text reads blanks."""
+    t = "  " + text.lower() + "  "
+    return Counter(gram_bucket((t + "  ")[i:i + n]) for i in range(len(t)) for n in langid.ORDERS)
+
+
+TEXTS = ["a", "Zum Beispiel: \u00dcber 12 \u6f22\u5b57!", "x" * 64, "one two, three " * 9, "\u0130stanbul 7", "caf\u00e9 \U0001f600 z"]
+
+
+@pytest.mark.parametrize("limit", [1 << 19, 64, 7, 1])
+def test_vectors_logits_and_frequencies_match_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(langid, "BATCH_CHARS", limit)
+    want = [brute_vector(t) for t in TEXTS]
+    for t, w in zip(TEXTS, want):
+        idx, count = langid.vector(t)
+        assert dict(zip(idx.tolist(), count.tolist())) == w
+    rng = np.random.default_rng(3)
+    weights, idf, bias = rng.normal(size=(1 << langid.BITS, 3)), rng.uniform(0.1, 2, 1 << langid.BITS), rng.normal(size=3)
+    model = langid.Model(["p", "q", "r"], np.concatenate([weights * idf[:, None], idf[:, None]], axis=1), bias)
+    expect = []
+    for w in want:
+        i, n = np.array(list(w)), np.array(list(w.values()))
+        x = n * idf[i]
+        expect.append(langid.SCALE * (x / x.sum()) @ weights[i] + bias)
+    assert np.allclose(model.logits(TEXTS), expect)
+    lang, score = model.predict([None, *TEXTS, "", "12"])
+    assert lang == ["und", *[model.classes[k] for k in np.argmax(expect, axis=1)], "und", "und"]
+    assert np.allclose(score[1:-2], langid.softmax(np.array(expect)).max(axis=1))
+
+
+def test_frequencies_count_texts(spark):
+    rows = [(t,) for t in TEXTS] + [(TEXTS[0],), (None,), ("123",)]
+    got, n = langid.document_frequencies(spark.createDataFrame(rows, "text string"))
+    want = Counter(b for t in [*TEXTS, TEXTS[0]] for b in brute_vector(t))
+    assert n == len(TEXTS) + 1 and {int(i): int(got[i]) for i in np.flatnonzero(got)} == want
+
+
+def test_one_very_long_text_is_read_in_pieces(monkeypatch):
+    text = "long words stand here " * 100_000
+    whole = [p for p in langid.pieces([text, "short", text])]
+    assert max(codes.shape[1] for codes, _, _ in whole) <= langid.BATCH_CHARS
+    short = langid.vector(text)
+    monkeypatch.setattr(langid, "BATCH_CHARS", 1 << 30)
+    assert all((a == b).all() for a, b in zip(short, langid.vector(text)))
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {r["doc_id"]: r["lang"] for r in docs.collect()}

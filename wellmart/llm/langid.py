@@ -11,6 +11,8 @@
   back to fit the temperature of the softmax.
 * Prediction needs no per-text vector: the weighted n-grams of a text are
   summed in place, so every row costs time in proportion to its length.
+* A text is read in pieces of at most ``BATCH_CHARS`` characters, each with the
+  two that follow it, so a very long text costs no more memory than a batch.
 """
 
 from __future__ import annotations
@@ -34,14 +36,14 @@ UNKNOWN = "und"
 _MIX = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
 
-def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of the texts, shape (orders, characters), and where each text starts.
+def padded(text: str) -> str:
+    """The text between two blanks on each side, so that its n-grams do not depend on its neighbours."""
+    return f"  {text.lower()}  "
 
-    Every text stands between blanks, so its n-grams do not depend on its neighbours.
-    """
-    parts = [f" {t.lower()}  " for t in texts]
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    c = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+
+def buckets(piece: str) -> np.ndarray:
+    """Hashed n-grams that start in the piece, shape (orders, characters); behind its end it reads blanks."""
+    c = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
     c[(c < 97) | ((c > 122) & (c < 128))] = 32
     h, out = np.zeros(len(c), np.uint32), []
     for k in range(max(ORDERS)):
@@ -49,7 +51,26 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         shifted[:len(c) - k] = c[k:]
         h = (h ^ shifted) * _MIX[k % 3] + np.uint32(k + 1)
         out.append((h ^ (h >> np.uint32(15))) * _MIX[2] >> np.uint32(32 - BITS))
-    return np.stack([out[k - 1] for k in ORDERS]), starts
+    return np.stack([out[k - 1] for k in ORDERS])
+
+
+def pieces(texts: list[str], limit: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of the texts: their n-grams, where each text's part starts in them, and the places of those texts.
+
+    A part has ``limit`` characters at most. Every n-gram of every text stands
+    in exactly one part: a part is hashed with the characters behind it.
+    """
+    limit, overlap = limit or BATCH_CHARS, max(ORDERS) - 1
+    for s, e in chunks([len(t) for t in texts], limit):
+        parts = [padded(t) for t in texts[s:e]]
+        if e == s + 1 and len(parts[0]) > limit:
+            whole = parts[0]
+            for at in range(0, len(whole), limit):
+                size = min(limit, len(whole) - at)
+                yield buckets(whole[at:at + size + overlap])[:, :size], np.zeros(1, np.int64), np.array([s])
+        else:
+            starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
+            yield buckets("".join(parts)), starts, np.arange(s, e)
 
 
 def has_letter(text: str | None) -> bool:
@@ -57,11 +78,10 @@ def has_letter(text: str | None) -> bool:
 
 
 def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of one text and their counts; long texts are read in pieces cut at no n-gram."""
+    """Distinct buckets of one text and their counts, read in pieces."""
     count = np.zeros(1 << BITS, np.int64)
-    codes, _ = buckets([text])
-    for row in codes:
-        count += np.bincount(row, minlength=1 << BITS)
+    for codes, _, _ in pieces([text]):
+        count += np.bincount(codes.ravel(), minlength=1 << BITS)
     idx = np.flatnonzero(count)
     return idx, count[idx]
 
@@ -77,13 +97,17 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         seen = np.zeros(1 << BITS, bool)
         for b in batches:
             ts = [t for t in _strings(b, "text") if has_letter(t)]
-            for s, e in chunks([len(t) for t in ts], BATCH_CHARS):
-                codes, starts = buckets(ts[s:e])
-                for k in range(e - s):
-                    seen[:] = False
-                    seen[codes[:, starts[k]:starts[k + 1]]] = True
-                    df += seen
-                    n += 1
+            n += len(ts)
+            last = -1
+            for codes, starts, where in pieces(ts):
+                for i, x, y in zip(where.tolist(), starts, np.append(starts[1:], codes.shape[1])):
+                    if i != last:
+                        df += seen
+                        seen[:] = False
+                        last = i
+                    seen[codes[:, x:y]] = True
+            df += seen
+            seen[:] = False
         idx = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(idx, -1)), pa.array(np.append(df[idx], n))], names=["bucket", "n"])
 
@@ -107,19 +131,18 @@ class Model:
     temperature: float = 1.0
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        codes, starts = buckets(texts)
         total = np.zeros((len(texts), self.table.shape[1]))
-        for row in codes:
-            total += np.add.reduceat(self.table[row], starts[:-1], axis=0, dtype=np.float64)
+        for codes, starts, where in pieces(texts):
+            for row in codes:
+                total[where] += np.add.reduceat(self.table[row], starts, axis=0, dtype=np.float64)
         return SCALE * total[:, :-1] / np.maximum(total[:, -1:], 1e-9) + self.bias
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
         where = [i for i, t in enumerate(texts) if self.classes and has_letter(t)]
-        for s, e in chunks([len(texts[i]) for i in where], BATCH_CHARS):
-            z = self.logits([texts[i] for i in where[s:e]]) / self.temperature
-            p = softmax(z)
-            for i, k, q in zip(where[s:e], p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
+        if where:
+            p = softmax(self.logits([texts[i] for i in where]) / self.temperature)
+            for i, k, q in zip(where, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                 lang[i], score[i] = self.classes[k], min(1.0, q)
         return lang, score
 
