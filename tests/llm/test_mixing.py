@@ -15,6 +15,39 @@ def test_targets():
     assert mixing.targets([], []) == []
 
 
+def test_targets_match_the_water_level():
+    import random
+
+    r = random.Random(7)
+    for n in (1, 2, 5, 40):
+        sizes, weights = [r.choice([0, 1, 10, 1000, 50000]) for _ in range(n)], [float((5, 2, 1)[i % 3]) for i in range(n)]
+        low, high = 0.0, 3.0 * sum(sizes) + 1
+        for _ in range(200):  # the level at which min(3 x size, weight x level) add up to all words
+            level = (low + high) / 2
+            low, high = (level, high) if sum(min(3 * s, w * level) for s, w in zip(sizes, weights)) < sum(sizes) else (low, level)
+        assert mixing.targets(sizes, weights) == pytest.approx([min(3 * s, w * high) for s, w in zip(sizes, weights)], abs=1e-6)
+
+
+def test_many_sources_are_joined_without_broadcast(docs, monkeypatch):
+    many = docs.selectExpr("doc_id", "text", "CASE WHEN doc_id % 3 = 0 THEN 'big' ELSE concat('host', doc_id) END AS source")
+    want = sorted(map(str, mixing.plan(many).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 10)
+    assert sorted(map(str, mixing.plan(many).collect())) == want
+    monkeypatch.setattr(mixing, "MAX_DRAWS", 40)  # one block a source: blocks grow, no row is lost
+    check(many)
+
+
+def test_slices_follow_the_bytes(docs, monkeypatch):
+    planned = mixing.plan(docs, block_rows=2)
+    held = {r["row"]["doc_id"]: len(r["row"]["text"].encode()) * len(r["draws"]) for r in planned.collect()}
+    size = planned.schema["draws"].metadata["bytes"]
+    assert abs(size - sum(held.values())) < 0.2 * size
+    whole = [r["doc_id"] for r in mixing.mixed_rows(planned).collect()]
+    monkeypatch.setattr(mixing, "SLICE_BYTES", size // 16 // 4)
+    cut = mixing.mixed_rows(planned)
+    assert cut.rdd.getNumPartitions() >= 4 * mixing.SHARDS and [r["doc_id"] for r in cut.collect()] == whole
+
+
 def test_split_is_exact_and_even():
     counts = np.array([1000, 3, 0, 77, 12345])
     out = mixing.split_counts(counts, 16)

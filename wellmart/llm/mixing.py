@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import shared_table
@@ -38,6 +39,12 @@ SHARDS = 16
 SEED = 17
 BLOCK_ROWS = 256
 MAX_BLOCKS = 4096
+#: Block draws of all sources together; the hypergeometric draws are exact below 10 ** 9.
+MAX_DRAWS = 900_000_000
+#: Up to so many sources the plan's tables (one row a source) are broadcast, beyond they are joined by shuffle.
+BROADCAST_SOURCES = 100_000
+#: A task orders about so much of a shard at once.
+SLICE_BYTES = 256 << 20
 
 
 def targets(sizes: list[int], weights: list[float], max_repeats: int = MAX_REPEATS) -> list[float]:
@@ -70,7 +77,7 @@ def split_counts(counts: np.ndarray, shards: int, seed: int = SEED) -> np.ndarra
         total = int(held.sum())
         sizes = [total * (s + 1) // n - total * s // n for s in range(n)]
         rng = np.random.default_rng([seed, first, n])
-        # Marginal draws: exact for any counts below 2 ** 30; above, blocks are too many for one tree (see max_blocks).
+        # Marginal draws are exact below MAX_DRAWS, which bounds the blocks of a source in ``plan``.
         left = rng.multivariate_hypergeometric(held, sum(sizes[:near]), method="marginals") if total else held
         node(left, first, near)
         node(held - left, first + near, n - near)
@@ -137,17 +144,19 @@ def word_counts(column: pa.Array) -> np.ndarray:
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, columns: list[str] | None = None) -> DataFrame:
-    """``row`` (the input row, or its ``columns``), source key ``_s``, row hash ``_k`` of id and text, ``size``."""
+    """``row`` (the input row, or its ``columns``), source key ``_s``, row hash ``_k`` of id and text, ``size``, ``bytes`` of the text."""
     row = F.struct(*(columns or ["*"])).alias("row")
     source = docs.select(row, _key(F.col(source_col)).alias("_s"), _hash(seed, 1, F.col(id_col), F.col(text_col)).alias("_k"),
                          F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*map(b.column, ("row", "_s", "_k")), pa.array(word_counts(b.column("text")))],
-                                             names=["row", "_s", "_k", "size"])
+            text = b.column("text").cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*map(b.column, ("row", "_s", "_k")), pa.array(word_counts(text)), pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())],
+                names=["row", "_s", "_k", "size", "bytes"])
 
-    return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, _s string, _k long, size long")
+    return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, _s string, _k long, size long, bytes long")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -163,26 +172,30 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     row's size times their number, never over ``max_repeats`` times. A
     source's taken words miss its target by what the rows of one block cannot
     make up between them: mostly nothing, at worst half their smallest. A null text has size 0 and a null source is a source of its
-    own. Rows of equal id and text are taken together. An empty table gives an
+    own. Rows of equal id and text are taken together. The metadata of column
+    ``draws`` has the mix's ``bytes``. An empty table gives an
     empty plan; a source without words has target 0 and no draws.
     """
     spark = docs.sparkSession
     whole_rows = measured(docs, id_col, text_col, source_col, seed, columns)
-    rows = shared_table(whole_rows.select("_s", "_k", "size"), "mix-sizes")
-    sizes = rows.groupBy("_s").agg(F.sum("size").alias("words"), F.count("*").alias("rows")).collect()
-    table = pd.DataFrame([tuple(r) for r in sizes], columns=["_s", "words", "rows"])
+    rows = shared_table(whole_rows.select("_s", "_k", "size", "bytes"), "mix-sizes")
+    sizes = rows.groupBy("_s").agg(F.sum("size").alias("words"), F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).collect()
+    table = pd.DataFrame([tuple(r) for r in sizes], columns=["_s", "words", "rows", "bytes"])
     # Code point order of Python strings; "=..." sorts before "n", the null source.
     table = table.sort_values("_s", ignore_index=True)
     table["words"] = table["words"].astype("int64")
     table["target"] = targets(table["words"].tolist(), [float(weights[i % len(weights)]) for i in range(len(table))], max_repeats)
     table["passes"] = [min(max_repeats, int(t // s)) if s else 0 for t, s in zip(table["target"], table["words"])]
     table["rest"] = [max(0.0, t - p * s) if s else 0.0 for t, p, s in zip(table["target"], table["passes"], table["words"])]
-    table["blocks"] = [max(1, min(max_blocks, math.ceil(n / block_rows))) for n in table["rows"]]
+    most = max(1, min(max_blocks, MAX_DRAWS // ((max_repeats + 1) * max(1, len(table)))))
+    table["blocks"] = [max(1, min(most, math.ceil(n / block_rows))) for n in table["rows"]]
+    mix_bytes = sum(int(b * t / s) if s else 0 for b, t, s in zip(table["bytes"], table["target"], table["words"]))
     small = spark.createDataFrame(
         [tuple(r) for r in table[["_s", "words", "target", "passes", "rest", "blocks"]].itertuples(index=False)],
         "_s string, source_size long, target double, passes int, rest double, blocks int")
 
-    known = F.broadcast(small)  # one row a source
+    bounded = F.broadcast if len(table) <= BROADCAST_SOURCES else (lambda t: t)
+    known = bounded(small)
     block = F.pmod(F.col("_k"), F.col("blocks")).cast("int")
     rows = rows.join(known, "_s").withColumn("block", block)
 
@@ -219,7 +232,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     extra = last.select("_s", F.lit(max_repeats).alias("pass"), "block", "whole")
     draws = full.unionByName(extra)
     rank = W.partitionBy("_s").orderBy("pass", _hash(seed, 4, "_s", "pass", "block"), "block")
-    draws = draws.withColumn("rank", F.row_number().over(rank) - 1).join(F.broadcast(quota), "_s")
+    draws = draws.withColumn("rank", F.row_number().over(rank) - 1).join(bounded(quota), "_s")
     shard = F.size(F.filter("ends", lambda e: e <= F.col("rank")))
     per_block = draws.groupBy("_s", "block").agg(
         F.array_sort(F.collect_list(F.struct("pass", shard.alias("shard"), "whole"))).alias("all"))  # max_repeats + 1 at most
@@ -232,12 +245,14 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         d["pass"].alias("pass"), d["shard"].alias("shard"),
         F.shiftrightunsigned(_hash(seed, 5, "_s", "_k", d["pass"]), 1).alias("place")))
     return out.select("row", "size", "source_size", "target", drawn.alias("draws")).select(
-        "row", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "draws")
+        "row", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"),
+        F.col("draws").alias("draws", metadata={"bytes": mix_bytes}))
 
 
 def _by_shard(planned: DataFrame, shards: int) -> DataFrame:
     """``shard, row`` per draw, every shard in slices of its seeded order: one slice a task, slices and rows in order."""
-    slices = max(1, math.ceil(int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards))
+    tasks = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(1, math.ceil(tasks / shards), math.ceil(planned.schema["draws"].metadata["bytes"] / shards / SLICE_BYTES))
     out = planned.select("row", F.explode("draws").alias("d")).select("row", "d.shard", "d.place")
     at = F.col("shard") * slices + F.shiftright(F.shiftright("place", 32) * slices, 31)  # places are even in 63 bits
     return out.repartitionById(shards * slices, at.cast("int")).sortWithinPartitions("shard", "place").select("shard", "row")
