@@ -15,8 +15,10 @@ local checkpoint), and later reads get column pruning and filter pushdown.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Paths of the intermediates written by this process and not yet dropped.
 CUTS: list[str] = []
@@ -63,21 +65,39 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/{name}" if name else path
 
 
-def publish(df: DataFrame, path: str, fmt: str = "parquet", sort_within: list[str] | None = None) -> str:
+def clustered(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with the rows of a key in few files, in its order: one shuffle, no sampling pass over ``df``.
+
+    AQE joins small partitions and splits those over the advisory size by input
+    range, so a hot key spreads over files and light keys share one. With too few
+    shuffle partitions for the data, light keys spread over the pieces as well.
+    """
+    return df.hint("rebalance", F.col(key)).sortWithinPartitions(key)
+
+
+def publish(df: DataFrame, path: str, fmt: str = "parquet", sort_within: list[str] | None = None, cluster_by: str | None = None) -> str:
     """Write ``df`` as the next version of the table at ``path``, make it current and return its folder.
 
     The pointer is replaced by renaming a finished file over it, after all rows
     are written; until then, and if the write fails or dies, readers get the
     old version. Folders of versions other than the new one and the one before
-    go afterwards, with what broken runs left. Plain files of a table that was
+    go afterwards, with what broken runs left. ``cluster_by`` names a key that
+    readers look up: its rows are ``clustered``, and Parquet files get a Bloom
+    filter on it, so a keyed read skips the files without it. Plain files of a table that was
     written before it had versions count as the version before. One writer at a
     time, as in the source; readers may be many.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     before, name = _pointed(spark, path), f"{VERSION}{uuid.uuid4().hex}"
+    if cluster_by:
+        df = clustered(df, cluster_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    df.write.mode("error").format(fmt).save(f"{path}/{name}")
+    writer = df.write.mode("error").format(fmt)
+    if cluster_by and fmt == "parquet":
+        writer = writer.option(f"parquet.bloom.filter.enabled#{cluster_by}", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true")  # sized by the keys a file has
+    writer.save(f"{path}/{name}")
     fs, table = _file_system(spark, path)
     hadoop = spark._jvm.org.apache.hadoop.fs
     fresh, pointer = hadoop.Path(f"{path}/{POINTER}-{name}"), hadoop.Path(f"{path}/{POINTER}")
@@ -111,10 +131,20 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def drop_cuts(spark: SparkSession, since: int = 0) -> None:
-    """Delete the intermediates written after the first ``since``; nothing may read them any more."""
-    paths = CUTS[since:]
-    del CUTS[since:]
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owner of the intermediates written inside it: they are deleted at its end, also after an error."""
+    held = len(CUTS)
+    try:
+        yield
+    finally:
+        drop_cuts(spark, held)
+
+
+def drop_cuts(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
+    """Delete the intermediates written after the first ``since`` (but the last one); nothing may read them any more."""
+    paths = CUTS[since:len(CUTS) - keep_last]
+    del CUTS[since:len(CUTS) - keep_last]
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
