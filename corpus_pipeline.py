@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wellmart.llm import decontam, mixing, quality, sharding, simhash
 from wellmart.llm.common import read_table, shared_table
+from wellmart.sources.sinks import CUTS, drop_cuts
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows. Once a stage is written, what it was made from is deleted.
+
+    What the last stage itself reads stays until its reader is done: ``sinks.scratch`` around the run deletes it.
+    """
+    docs, held = read_table(spark, sf_dir, "documents"), len(CUTS)
     for name, stage in STAGES[:-1]:
         docs = shared_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_cuts(spark, held, keep_last=True)
     return STAGES[-1][1](spark, docs, sf_dir)
